@@ -374,7 +374,7 @@ def mart_host_neighbourhood(spark, sf_dir):
 def mart_from_collapsed_history(spark, sf_dir):
     """The same mart from histories without unchanged versions."""
     s = t.star(spark, sf_dir)
-    listings = t.silver(spark, sf_dir)
+    listings = s.listings
     hosts = star.host_history(listings).drop("month_date", "version_id")
     homes = star.property_history(listings).drop("month_date", "version_id")
     hosts = h.collapse_unchanged(
@@ -453,7 +453,7 @@ _ALL_BANDS = " + ".join(f"b_{n}" for n in _BAND_SQL)
     ),
 )
 def demographics_top_bottom(spark, sf_dir):
-    s = t.star(spark, sf_dir, census=True)
+    s = t.star(spark, sf_dir)
     return plain(reports.demographics_top_bottom(s.fact, s.dim_lga, s.g01, s.g02))
 
 
@@ -493,7 +493,7 @@ def _correlation(rank_sql: str) -> str:
 
 @query("report_correlation", _correlation("rank() over (order by {0})"))
 def correlation_report(spark, sf_dir):
-    s = t.star(spark, sf_dir, census=True)
+    s = t.star(spark, sf_dir)
     return plain(reports.correlation_report(s.fact, s.dim_lga, s.g02))
 
 
@@ -502,7 +502,7 @@ def correlation_report(spark, sf_dir):
     _correlation("rank() over (order by {0}) + (count(*) over (partition by {0}) - 1) / 2.0"),
 )
 def correlation_average_ties(spark, sf_dir):
-    s = t.star(spark, sf_dir, census=True)
+    s = t.star(spark, sf_dir)
     return plain(reports.correlation_report(s.fact, s.dim_lga, s.g02, ties="average"))
 
 
@@ -518,7 +518,7 @@ def correlation_average_ties(spark, sf_dir):
     ),
 )
 def correlation_detail(spark, sf_dir):
-    s = t.star(spark, sf_dir, census=True)
+    s = t.star(spark, sf_dir)
     return plain(reports.correlation_detail(s.fact, s.dim_lga, s.g02))
 
 
@@ -658,7 +658,7 @@ def portfolio_concentration(spark, sf_dir):
     ),
 )
 def mortgage_coverage(spark, sf_dir):
-    s = t.star(spark, sf_dir, census=True)
+    s = t.star(spark, sf_dir)
     return plain(reports.mortgage_coverage(s.fact, s.dim_lga, s.g02, periods=1))
 
 

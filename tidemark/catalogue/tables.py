@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.operators.joins import heavy_keys
 from tidemark.plans.silver import (
     clean_counts,
     clean_lga,
@@ -20,6 +19,7 @@ from tidemark.plans.silver import (
     one_per_month,
 )
 from tidemark.plans.star import Star, build_star, dim_lga, dim_suburb, lga_history, suburb_history
+from tidemark.session import shared_dir
 
 TIE_BREAK = ("host_id", "accommodates", "scrape_id")
 LOADS = ("1995-03-15", "1998-06-10")
@@ -213,21 +213,25 @@ def g02(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_medians(raw_g02(spark, sf_dir))
 
 
-def hot_hosts(spark: SparkSession, sf_dir: str) -> tuple:
-    return tuple(heavy_keys(table(spark, sf_dir, "lineitem"), "l_orderkey"))
+_STARS: dict[tuple[str, str], Star] = {}
 
 
-def star(spark: SparkSession, sf_dir: str, census: bool = False) -> Star:
-    """The gold layer over the given tables."""
-    hosts = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("host_id"))
-    return build_star(
-        silver(spark, sf_dir),
-        lga_loads(spark, sf_dir),
-        suburb_loads(spark, sf_dir),
-        g01(spark, sf_dir) if census else None,
-        g02(spark, sf_dir) if census else None,
-        hosts,
-    )
+def star(spark: SparkSession, sf_dir: str) -> Star:
+    """The silver and gold tables, written once per application to the shared folder.
+
+    Marts and reports are views over them, as in any layered warehouse.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STARS:
+        _STARS[key] = build_star(
+            silver(spark, sf_dir),
+            lga_loads(spark, sf_dir),
+            suburb_loads(spark, sf_dir),
+            g01(spark, sf_dir),
+            g02(spark, sf_dir),
+            shared_dir(spark, "star"),
+        )
+    return _STARS[key]
 
 
 def areas(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.numbers import mean, percent
-from tidemark.operators.joins import null_safe_join
 from tidemark.operators.windows import cells, scaled_units
 
 
@@ -107,33 +106,32 @@ def exact_median(df: DataFrame, keys: Sequence[str], column: str, name: str) ->
     found = None
     for depth, cell in enumerate(names, start=1):
         path = names[: depth - 1]
+        group = Window.partitionBy(*keys, *path)
         rows = counts
         if found is not None:
-            rows = null_safe_join(counts, found, [*keys, *path])
-        # the wanted positions are the same for the whole path: keep any copy
-        kept = [] if found is None else [F.first("_want").alias("_want")]
-        sizes = rows.groupBy(*keys, *path, cell).agg(F.sum("_n").alias("_n"), *kept)
-        group = Window.partitionBy(*keys, *path)
+            # rows and wanted positions meet in one shuffle, NULL keys included
+            rows = rows.unionByName(found, allowMissingColumns=True)
+            rows = rows.withColumn("_want", F.max("_want").over(group))
+            rows = rows.filter("_want IS NOT NULL AND _n IS NOT NULL")
+        if depth < len(names):
+            kept = [] if found is None else [F.max("_want").alias("_want")]
+            rows = rows.groupBy(*keys, *path, cell).agg(F.sum("_n").alias("_n"), *kept)
         if found is None:
             everything = F.sum("_n").over(group)
-            sizes = sizes.withColumn(
-                "_want",
-                F.array(
-                    F.floor((everything - 1) / 2).cast("bigint"),
-                    F.floor(everything / 2).cast("bigint"),
-                ),
-            )
+            ends = [F.floor((everything - 1) / 2), F.floor(everything / 2)]
+            rows = rows.withColumn("_want", F.array(*[e.cast("bigint") for e in ends]))
         before = F.sum("_n").over(group.orderBy(cell)) - F.col("_n")
-        sizes = sizes.withColumn("_before", before)
+        rows = rows.withColumn("_before", before)
         inside = F.filter(
             "_want",
             lambda p: (p >= F.col("_before")) & (p < F.col("_before") + F.col("_n")),
         )
-        found = (
-            sizes.withColumn("_want", F.transform(inside, lambda p: p - F.col("_before")))
-            .filter(F.size("_want") > 0)
-            .select(*keys, *path, cell, "_want")
-        )
+        found = rows.select(
+            *keys,
+            *path,
+            cell,
+            F.transform(inside, lambda p: p - F.col("_before")).alias("_want"),
+        ).filter(F.size("_want") > 0)
     middle = F.sum(F.col(names[-1]) * F.size("_want"))
     median = (middle.cast("decimal(20,0)") / F.lit(2 * 10**scale).cast("decimal(19,0)")).cast(
         f"decimal(20,{scale + 1})"

@@ -90,18 +90,25 @@ class HistoryTable:
         self.spark, self.path = spark, path.rstrip("/")
         self.key, self.updated_at = key, updated_at
 
-    def last_batch(self) -> int:
+    def _last_commit(self) -> tuple[int, int]:
+        """Last batch and the batch its history starts at; (0, 1) before the first."""
         try:
-            commits = self.spark.read.schema("batch INT").parquet(f"{self.path}/commits")
+            commits = self.spark.read.schema("batch INT, base INT").parquet(
+                f"{self.path}/commits"
+            )
         except AnalysisException:
-            return 0
-        return commits.agg(F.max("batch")).first()[0] or 0
+            return 0, 1
+        row = commits.agg(F.max(F.struct("batch", "base")).alias("last")).first()["last"]
+        return (row["batch"], row["base"]) if row else (0, 1)
 
     def _versions(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/versions")
 
+    def last_batch(self) -> int:
+        return self._last_commit()[0]
+
     def open_versions(self) -> DataFrame | None:
-        batch = self.last_batch()
+        batch, _ = self._last_commit()
         if batch == 0:
             return None
         now = self._versions().filter((F.col("batch") == batch) & (F.col("state") == "open"))
@@ -109,26 +116,35 @@ class HistoryTable:
 
     def read(self) -> DataFrame:
         """All versions as of the last committed batch."""
-        batch = self.last_batch()
+        batch, base = self._last_commit()
         if batch == 0:
             raise ValueError(f"{self.path} holds no committed batch")
-        past = (F.col("batch") <= batch) & (F.col("state") == "closed")
+        past = F.col("batch").between(base, batch) & (F.col("state") == "closed")
         now = (F.col("batch") == batch) & (F.col("state") == "open")
         return self._versions().filter(past | now).drop("batch", "state")
 
-    def apply(self, incoming: DataFrame) -> int:
-        """One snapshot step; returns the committed batch number."""
-        batch = self.last_batch() + 1
-        stepped = scd2_apply(self.open_versions(), incoming, self.key, self.updated_at)
+    def _write(self, versions: DataFrame, batch: int, base: int) -> None:
         state = F.when(F.col("valid_to").isNull(), "open").otherwise("closed")
         (
-            stepped.withColumn("state", state)
+            versions.withColumn("state", state)
             .write.mode("overwrite")
             .partitionBy("state")
             .parquet(f"{self.path}/versions/batch={batch}")
         )
-        commit = self.spark.range(1).select(F.lit(batch).alias("batch"))
+        commit = self.spark.range(1).select(F.lit(batch).alias("batch"), F.lit(base).alias("base"))
         commit.write.mode("append").parquet(f"{self.path}/commits")
+
+    def apply(self, incoming: DataFrame) -> int:
+        """One snapshot step; returns the committed batch number."""
+        batch, base = self._last_commit()
+        stepped = scd2_apply(self.open_versions(), incoming, self.key, self.updated_at)
+        self._write(stepped, batch + 1, base)
+        return batch + 1
+
+    def replace(self, history: DataFrame) -> int:
+        """Start over from a rebuilt history; earlier batches are no longer read."""
+        batch = self._last_commit()[0] + 1
+        self._write(history, batch, batch)
         return batch
 
 

@@ -24,6 +24,21 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return df.withColumn("_row", F.row_number().over(window)).filter("_row = 1").drop("_row")
 
 
+def group_rank(
+    df: DataFrame, column: str, name: str, descending: bool = False, ties: str = "min"
+) -> DataFrame:
+    """Rank a result already aggregated to a bounded number of groups.
+
+    One task sees all groups; use :func:`global_rank` on tables that grow.
+    """
+    value = F.col(column)
+    order = Window.orderBy(value.desc_nulls_last() if descending else value.asc_nulls_last())
+    rank = F.rank().over(order)
+    if ties == "average":
+        rank = rank + (F.count("*").over(Window.partitionBy(column)) - 1) / 2
+    return df.withColumn(name, rank)
+
+
 def keep_rank(df: DataFrame, rank_col: str, n: int) -> DataFrame:
     return df.filter(F.col(rank_col) <= n)
 

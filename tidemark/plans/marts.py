@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.numbers import COUNT, half_up, percent, ratio
 from tidemark.operators.aggregates import exact_median
-from tidemark.operators.joins import null_safe_join, pit_join
+from tidemark.operators.joins import pit_join
 from tidemark.operators.windows import pct_change
 
 PERIOD = "month_date"
@@ -74,12 +74,16 @@ def monthly_kpis(
         kept = F.sum(f"{name}_sum") if name != "revenue" else F.sum("revenue")
         return ratio(kept.cast("decimal(28,2)"), F.sum(f"{name}_n").cast(COUNT))
 
-    monthly = per_host.groupBy(*at).agg(
+    medians = exact_median(rows.filter(active), at, "price", "median_price")
+    # a median row has no host, so it adds to none of the counts and sums
+    parts = per_host.unionByName(medians, allowMissingColumns=True)
+    monthly = parts.groupBy(*at).agg(
         F.sum("total").alias("total_listings"),
         F.sum("active").alias("active_listings"),
         F.sum("inactive").alias("inactive_listings"),
         F.min("low").alias("min_price"),
         F.max("high").alias("max_price"),
+        F.max("median_price").alias("median_price"),
         average("price").alias("avg_price"),
         F.count("host_id").alias("distinct_hosts"),
         F.count_if(F.col("superhost")).alias("distinct_superhosts"),
@@ -87,9 +91,8 @@ def monthly_kpis(
         F.sum("stays").alias("total_stays"),
         average("revenue").alias("avg_revenue"),
     )
-    medians = exact_median(rows.filter(active), at, "price", "median_price")
     changed = pct_change(
-        null_safe_join(monthly, medians, at, "left"),
+        monthly,
         keys,
         PERIOD,
         {

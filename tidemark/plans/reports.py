@@ -26,7 +26,13 @@ from tidemark.operators.aggregates import (
 )
 from tidemark.operators.joins import current_join, null_safe_join, pit_join, restrict_to
 from tidemark.operators.topk import top_bottom, top_k
-from tidemark.operators.windows import global_rank, share_of_total, spread, top_k_per_group
+from tidemark.operators.windows import (
+    global_rank,
+    group_rank,
+    share_of_total,
+    spread,
+    top_k_per_group,
+)
 
 ACTIVE = "has_availability"
 
@@ -132,8 +138,8 @@ def rank_method_check(fact: DataFrame, dim_lga: DataFrame, kpis: DataFrame) -> D
         mean("avg_estimated_revenue_per_active_listing").cast("decimal(18,6)").alias("of_months")
     )
     both = weighted.join(monthly, F.upper("lga_name") == F.col("_key"))
-    ranked = global_rank(both, "weighted", "rank_my_way", descending=True)
-    ranked = global_rank(ranked, "of_months", "rank_avg_of_months", descending=True)
+    ranked = group_rank(both, "weighted", "rank_my_way", descending=True)
+    ranked = group_rank(ranked, "of_months", "rank_avg_of_months", descending=True)
     return ranked.select(
         "lga_name",
         half_up("weighted", 2).alias("rev_my_way_weighted"),
@@ -171,8 +177,8 @@ def correlation_report(
 ) -> DataFrame:
     """Pearson and Spearman between an area's median age and its revenue, with ranges."""
     per_lga = _attributes_and_revenue(fact, dim_lga, g02)
-    ranked = global_rank(per_lga, "median_age_persons", "rank_age", ties=ties)
-    ranked = global_rank(ranked, "revenue_per_active_listing", "rank_revenue", ties=ties)
+    ranked = group_rank(per_lga, "median_age_persons", "rank_age", ties=ties)
+    ranked = group_rank(ranked, "revenue_per_active_listing", "rank_revenue", ties=ties)
     money = [
         half_up(f("revenue_per_active_listing"), 2).cast("string") for f in (F.min, F.max)
     ]

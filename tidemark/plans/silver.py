@@ -54,22 +54,23 @@ def type_listings(raw: DataFrame, strict: bool = True) -> DataFrame:
     return raw.withColumns(kinds)
 
 
-def one_per_month(listings: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
+def one_per_month(listings: DataFrame, tie_break: Sequence[str] | None = None) -> DataFrame:
     """One row per listing and month: the latest scrape, then the latest load.
 
-    Rows equal in both are settled by ``tie_break`` and then by every other
-    column, so that the choice does not change between runs.
+    Rows equal in both are settled by ``tie_break``, or by every other column
+    when none is named, so that the choice does not change between runs.
     """
     order = [F.col("scraped_date").desc_nulls_first(), F.col("loaded_at").desc_nulls_first()]
-    settled = {"listing_id", "month_date", "scraped_date", "loaded_at", *tie_break}
+    if tie_break is None:
+        settled = {"listing_id", "month_date", "scraped_date", "loaded_at"}
+        tie_break = [c for c in LISTING_COLUMNS if c not in settled]
     order += [F.col(c).desc_nulls_last() for c in tie_break]
-    order += [F.col(c).desc_nulls_last() for c in LISTING_COLUMNS if c not in settled]
     kept = latest_per_key(listings, ["listing_id", "month_date"], order)
     return kept.select(*LISTING_COLUMNS)
 
 
 def clean_listings(
-    raw: DataFrame, strict: bool = True, tie_break: Sequence[str] = ("scrape_id",)
+    raw: DataFrame, strict: bool = True, tie_break: Sequence[str] | None = None
 ) -> DataFrame:
     return one_per_month(type_listings(raw, strict), tie_break)
 

@@ -15,6 +15,7 @@ from tidemark.plans.silver import (
     host_order,
     property_order,
 )
+from tidemark.sources.load import write_table
 
 LGA_ATTRIBUTES = ("lga_name", "lga_name_key")
 SUBURB_ATTRIBUTES = ("suburb_name", "lga_code", "lga_name")
@@ -107,6 +108,7 @@ def fact_listings(listings: DataFrame, lga: DataFrame, hot: tuple = ()) -> DataF
 class Star:
     """The gold layer. ``hot_hosts`` are the host keys that joins should spread."""
 
+    listings: DataFrame
     fact: DataFrame
     dim_host: DataFrame
     dim_property: DataFrame
@@ -123,18 +125,29 @@ def build_star(
     suburb_loads: DataFrame,
     g01: DataFrame | None = None,
     g02: DataFrame | None = None,
-    hosts: DataFrame | None = None,
+    root: str | None = None,
 ) -> Star:
-    """All of gold from silver. ``hosts`` is a cheap table to look for hot hosts in
-    (default: the listings)."""
-    areas = dim_lga(lga_history(lga_loads))
+    """All of gold from silver.
+
+    With ``root`` the listings, the fact and the dimensions are written below it
+    and read back, as marts and reports use each of them several times; without
+    it everything stays lazy.
+    """
+
+    def keep(df: DataFrame, layer: str, name: str) -> DataFrame:
+        return df if root is None else write_table(df, root, layer, name)
+
+    listings = keep(listings, "silver", "silver_listings")
+    areas = keep(dim_lga(lga_history(lga_loads)), "gold", "dim_lga")
+    fact = keep(fact_listings(listings, areas), "gold", "fact_listings")
     return Star(
-        fact=fact_listings(listings, areas),
-        dim_host=dim_host(host_history(listings)),
-        dim_property=dim_property(property_history(listings)),
+        listings=listings,
+        fact=fact,
+        dim_host=keep(dim_host(host_history(listings)), "gold", "dim_host"),
+        dim_property=keep(dim_property(property_history(listings)), "gold", "dim_property"),
         dim_lga=areas,
-        dim_suburb=dim_suburb(suburb_history(suburb_loads)),
-        g01=g01,
-        g02=g02,
-        hot_hosts=tuple(heavy_keys(hosts if hosts is not None else listings, "host_id")),
+        dim_suburb=keep(dim_suburb(suburb_history(suburb_loads)), "gold", "dim_suburb"),
+        g01=g01 if g01 is None else keep(g01, "gold", "census_g01"),
+        g02=g02 if g02 is None else keep(g02, "gold", "census_g02"),
+        hot_hosts=tuple(heavy_keys(fact, "host_id")),
     )
