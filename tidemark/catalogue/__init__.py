@@ -27,4 +27,10 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def load_all() -> None:
-    from tidemark.catalogue import expressions, marts, quality, relational  # noqa: F401
+    from tidemark.catalogue import (  # noqa: F401
+        expressions,
+        ingestion,
+        marts,
+        quality,
+        relational,
+    )
