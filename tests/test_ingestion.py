@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tidemark.plans import silver
 from tidemark.sources import load
-from tidemark.sources.raw import read_raw_csv
+from tidemark.sources.paths import read_if_present
+from tidemark.sources.raw import has_split_cells, read_raw_csv
 from tidemark.sources.schemas import AREAS, COUNTS, LISTINGS, MEDIANS, RAW_TABLES
 from tidemark.streaming.incremental import IncrementalWarehouse, run_incremental
 
@@ -246,3 +247,34 @@ def test_rerun_after_a_crash_repeats_nothing(spark, tmp_path, monkeypatch):
     assert warehouse.process_batch(load.list_files(spark, str(source))) == ["05_2020.csv"]
     assert len(warehouse.hosts.read().collect()) == 1
     assert len(facts(warehouse)) == 2
+
+
+def test_files_without_line_breaks_in_cells_can_be_split(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('lga_code,lga_name\n1,"a, ""b"""\n')
+    (tmp_path / "b.csv").write_text('lga_code,lga_name\n1,"a\nb"\n')
+    assert not has_split_cells(spark, str(tmp_path / "a.csv"))
+    assert has_split_cells(spark, str(tmp_path / "b.csv"))
+    both = read_raw_csv(spark, [str(tmp_path / n) for n in ("a.csv", "b.csv")], AREAS)
+    assert {r.lga_name for r in both.collect()} == {'a, "b"', "a\nb"}
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.range(100).select("id", (F.col("id") % 7).alias("v"))
+        a = load.write_table(rows, str(tmp_path), "gold", "a", bucket_by="id", buckets=4)
+        b = load.write_table(rows, str(tmp_path), "gold", "b", bucket_by="id", buckets=4)
+        joined = a.join(b.withColumnRenamed("v", "w"), "id")
+        assert joined.count() == 100
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+
+
+def test_an_unreadable_table_is_not_taken_for_an_absent_one(spark, tmp_path):
+    assert read_if_present(spark, str(tmp_path / "none")) is None
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "part-0.parquet").write_text("not parquet")
+    with pytest.raises(Exception):
+        read_if_present(spark, str(tmp_path / "bad"))

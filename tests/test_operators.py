@@ -72,7 +72,7 @@ def test_heavy_keys_finds_the_third(spark):
     assert joins.heavy_keys(df.filter("k > 0"), "k") == []
 
 
-@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("how", ["inner", "left", "left_anti"])
 @pytest.mark.parametrize("hot", [(), (1,), (1, 2, 99)])
 def test_salted_join_equals_plain_join(spark, how, hot):
     rng = random.Random(1)

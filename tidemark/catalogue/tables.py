@@ -49,7 +49,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def source_file(month: Column) -> Column:
-    return F.concat(F.date_format(month, "MM_yyyy"), F.lit(".csv"))
+    number = F.lpad(F.month(month).cast("string"), 2, "0")
+    return F.concat(number, F.lit("_"), F.year(month).cast("string"), F.lit(".csv"))
 
 
 def listing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

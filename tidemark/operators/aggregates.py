@@ -103,36 +103,40 @@ def exact_median(df: DataFrame, keys: Sequence[str], column: str, name: str) ->
     levels = cells(F.col("_units"), precision)
     names = [f"_cell_{i}" for i in range(len(levels))]
     counts = counts.select(*keys, *[c.alias(n) for c, n in zip(levels, names)], "_n")
+    low, high, before = F.col("_low"), F.col("_high"), F.col("_before")
     found = None
     for depth, cell in enumerate(names, start=1):
         path = names[: depth - 1]
         group = Window.partitionBy(*keys, *path)
         rows = counts
+        ends = []
         if found is not None:
             # rows and wanted positions meet in one shuffle, NULL keys included
             rows = rows.unionByName(found, allowMissingColumns=True)
-            rows = rows.withColumn("_want", F.max("_want").over(group))
-            rows = rows.filter("_want IS NOT NULL AND _n IS NOT NULL")
+            rows = rows.withColumns({c: F.max(c).over(group) for c in ("_low", "_high")})
+            rows = rows.filter("coalesce(_low, _high) IS NOT NULL AND _n IS NOT NULL")
+            ends = [F.max(c).alias(c) for c in ("_low", "_high")]
         if depth < len(names):
-            kept = [] if found is None else [F.max("_want").alias("_want")]
-            rows = rows.groupBy(*keys, *path, cell).agg(F.sum("_n").alias("_n"), *kept)
+            rows = rows.groupBy(*keys, *path, cell).agg(F.sum("_n").alias("_n"), *ends)
         if found is None:
-            everything = F.sum("_n").over(group)
-            ends = [F.floor((everything - 1) / 2), F.floor(everything / 2)]
-            rows = rows.withColumn("_want", F.array(*[e.cast("bigint") for e in ends]))
-        before = F.sum("_n").over(group.orderBy(cell)) - F.col("_n")
-        rows = rows.withColumn("_before", before)
-        inside = F.filter(
-            "_want",
-            lambda p: (p >= F.col("_before")) & (p < F.col("_before") + F.col("_n")),
-        )
+            size = F.sum("_n").over(group)
+            rows = rows.withColumns(
+                {
+                    "_low": F.floor((size - 1) / 2).cast("bigint"),
+                    "_high": F.floor(size / 2).cast("bigint"),
+                }
+            )
+        rows = rows.withColumn("_before", F.sum("_n").over(group.orderBy(cell)) - F.col("_n"))
+        after = before + F.col("_n")
         found = rows.select(
             *keys,
             *path,
             cell,
-            F.transform(inside, lambda p: p - F.col("_before")).alias("_want"),
-        ).filter(F.size("_want") > 0)
-    middle = F.sum(F.col(names[-1]) * F.size("_want"))
+            F.when((low >= before) & (low < after), low - before).alias("_low"),
+            F.when((high >= before) & (high < after), high - before).alias("_high"),
+        ).filter("coalesce(_low, _high) IS NOT NULL")
+    value = F.col(names[-1])
+    middle = F.sum(F.when(low.isNotNull(), value)) + F.sum(F.when(high.isNotNull(), value))
     median = (middle.cast("decimal(20,0)") / F.lit(2 * 10**scale).cast("decimal(19,0)")).cast(
         f"decimal(20,{scale + 1})"
     )

@@ -9,10 +9,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
-from pyspark.sql.utils import AnalysisException
 
 from tidemark.functions.dates import FIRST_DAY, LAST_DAY, month_floor
 from tidemark.operators.windows import latest_per_key, version_number
+from tidemark.sources.paths import read_if_present
 
 BOUNDS = ("version_id", "valid_from", "valid_to")
 
@@ -92,11 +92,8 @@ class HistoryTable:
 
     def _last_commit(self) -> tuple[int, int]:
         """Last batch and the batch its history starts at; (0, 1) before the first."""
-        try:
-            commits = self.spark.read.schema("batch INT, base INT").parquet(
-                f"{self.path}/commits"
-            )
-        except AnalysisException:
+        commits = read_if_present(self.spark, f"{self.path}/commits", "batch INT, base INT")
+        if commits is None:
             return 0, 1
         row = commits.agg(F.max(F.struct("batch", "base")).alias("last")).first()["last"]
         return (row["batch"], row["base"]) if row else (0, 1)
@@ -155,22 +152,15 @@ def collapse_unchanged(history: DataFrame, key: str, attributes: Sequence[str])
     is dropped; counts of versions do not.
     """
     by_start = Window.partitionBy(key).orderBy("valid_from")
+    whole = by_start.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     same = F.lag(F.lit(True)).over(by_start).isNotNull()
     for name in attributes:
         same = same & F.col(name).eqNullSafe(F.lag(name).over(by_start))
-    starts = history.withColumn("_same", same).filter(~F.col("_same")).drop("_same")
-    last_end = history.groupBy(key).agg(F.max("valid_from").alias("_last"))
-    ends = (
-        history.join(last_end, key)
-        .filter(F.col("valid_from") == F.col("_last"))
-        .select(key, F.col("valid_to").alias("_end"))
-    )
-    return (
-        starts.withColumn("_next", F.lead("valid_from").over(by_start))
-        .join(ends, key)
-        .withColumn("valid_to", F.coalesce("_next", "_end"))
-        .drop("_next", "_end")
-    )
+    # all three windows share one shuffle and one sort
+    marked = history.withColumns({"_same": same, "_end": F.last("valid_to").over(whole)})
+    starts = marked.filter(~F.col("_same"))
+    until = F.coalesce(F.lead("valid_from").over(by_start), F.col("_end"))
+    return starts.withColumn("valid_to", until).drop("_same", "_end")
 
 
 def to_dimension(history: DataFrame, key: str, attributes: Sequence[str], name: str) -> DataFrame:

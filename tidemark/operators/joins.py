@@ -42,14 +42,14 @@ def salted_join(
     Only rows of hot keys get a salt, and only the right rows of those keys are
     repeated, so the right side grows by at most ``len(hot) * salts`` keys. The
     salt is a hash of the row and therefore the same when a task is retried. In
-    a left join the rows without a key are spread as well. ``right_key`` is
-    dropped.
+    a left or anti join the rows without a key are spread as well. ``right_key``
+    is dropped.
     """
     nulls = F.col(left_key).isNull()
     spread = None
     if hot:
         spread = F.col(left_key).isin(list(hot))
-    if how == "left":
+    if how in ("left", "left_anti"):
         spread = nulls if spread is None else spread | nulls
     on = F.col(left_key) == F.col(right_key)
     if spread is not None:
@@ -99,7 +99,11 @@ def pit_join(
 
 
 def current_join(
-    df: DataFrame, dim: DataFrame, on: str | tuple[Column | str, str], how: str = "inner"
+    df: DataFrame,
+    dim: DataFrame,
+    on: str | tuple[Column | str, str],
+    how: str = "inner",
+    hot: Sequence = (),
 ) -> DataFrame:
     """Join to the current version only; the filter runs before the join."""
     left_key, right_key = (on, on) if isinstance(on, str) else on
@@ -108,16 +112,21 @@ def current_join(
     ]
     current = dim.filter("is_current").select(F.col(right_key).alias("_key"), *attributes)
     keyed = df.withColumn("_left_key", col(left_key))
-    return salted_join(keyed, current, "_left_key", "_key", how).drop("_left_key")
+    return salted_join(keyed, current, "_left_key", "_key", how, hot=hot).drop("_left_key")
 
 
 def name_join(
-    df: DataFrame, other: DataFrame, left_col: str, key_col: str, how: str = "inner"
+    df: DataFrame,
+    other: DataFrame,
+    left_col: str,
+    key_col: str,
+    how: str = "inner",
+    hot: Sequence = (),
 ) -> DataFrame:
     """Join a display name to a table keyed by the trimmed upper-case name."""
     named = df.withColumn("_name", join_key(left_col))
     keyed = other.withColumnRenamed(key_col, "_key")
-    return salted_join(named, keyed, "_name", "_key", how).drop("_name")
+    return salted_join(named, keyed, "_name", "_key", how, hot=hot).drop("_name")
 
 
 def null_safe_join(
@@ -138,15 +147,20 @@ def null_safe_join(
     return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def unmatched(df: DataFrame, other: DataFrame, on: tuple[Column | str, str]) -> DataFrame:
+def unmatched(
+    df: DataFrame, other: DataFrame, on: tuple[Column | str, str], hot: Sequence = ()
+) -> DataFrame:
     """Rows of ``df`` whose key does not occur in ``other``."""
     left_key, right_key = on
     keys = other.select(F.col(right_key).alias("_key"))
     keyed = df.withColumn("_left_key", col(left_key))
-    return keyed.join(keys, F.col("_left_key") == F.col("_key"), "left_anti").drop("_left_key")
+    lost = salted_join(keyed, keys, "_left_key", "_key", "left_anti", hot=hot)
+    return lost.drop("_left_key")
 
 
-def not_in(df: DataFrame, column: str, other: DataFrame, other_column: str) -> DataFrame:
+def not_in(
+    df: DataFrame, column: str, other: DataFrame, other_column: str, hot: Sequence = ()
+) -> DataFrame:
     """SQL ``NOT IN``: one NULL in the list rejects every row, an empty list none.
 
     Written as an ordinary anti join plus two facts about the list, because the
@@ -156,7 +170,7 @@ def not_in(df: DataFrame, column: str, other: DataFrame, other_column: str) -> D
     facts = listed.agg(
         F.count(F.lit(1)).alias("_size"), F.count_if(F.col("_listed").isNull()).alias("_nulls")
     )
-    missing = df.join(listed, F.col(column) == F.col("_listed"), "left_anti")
+    missing = salted_join(df, listed, column, "_listed", "left_anti", hot=hot)
     keep = (F.col("_size") == 0) | ((F.col("_nulls") == 0) & F.col(column).isNotNull())
     return missing.crossJoin(F.broadcast(facts)).filter(keep).drop("_size", "_nulls")
 

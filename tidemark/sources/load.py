@@ -12,9 +12,9 @@ from collections.abc import Iterable
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.utils import AnalysisException
 
 from tidemark.functions.dates import period_of
+from tidemark.sources.paths import read_if_present
 
 # keeps one written file near a gigabyte for rows of about 200 bytes
 MAX_RECORDS = 5_000_000
@@ -24,6 +24,15 @@ def _partition(table: str, file_name: str) -> str:
     return f"{table.rstrip('/')}/source_file={quote(file_name, safe='._- ')}"
 
 
+def one_writer_per(df: DataFrame, column: str) -> DataFrame:
+    """Bring the rows of a partition together before they are written.
+
+    Without it every task would leave a small file in every partition. A
+    rebalance splits partitions that are too large and merges small ones.
+    """
+    return df.hint("rebalance", column)
+
+
 def load_file(df: DataFrame, table: str, file_name: str) -> None:
     """Replace the rows of one file; an empty file leaves none behind."""
     rows = df.filter(F.col("source_file") == file_name).drop("source_file")
@@ -35,7 +44,8 @@ def load_file(df: DataFrame, table: str, file_name: str) -> None:
 def load_files(df: DataFrame, table: str) -> None:
     """Replace the rows of every file present in ``df`` in one job."""
     (
-        df.write.mode("overwrite")
+        one_writer_per(df, "source_file")
+        .write.mode("overwrite")
         .partitionBy("source_file")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", MAX_RECORDS)
@@ -45,12 +55,8 @@ def load_files(df: DataFrame, table: str) -> None:
 
 def read_table(spark: SparkSession, table: str) -> DataFrame | None:
     """The loaded table, or None before the first load."""
-    try:
-        # file names such as 2020 must stay text
-        df = spark.read.option("mergeSchema", False).parquet(table)
-    except AnalysisException:
-        return None
-    if "source_file" not in df.columns:
+    df = read_if_present(spark, table)
+    if df is None or "source_file" not in df.columns:
         return None
     return df.withColumn("source_file", F.col("source_file").cast("string"))
 
@@ -133,13 +139,34 @@ def unload_from(spark: SparkSession, table: str, period: dt.date) -> list[str]:
 
 
 def write_table(
-    df: DataFrame, root: str, layer: str, name: str, partition_by: str | None = None
+    df: DataFrame,
+    root: str,
+    layer: str,
+    name: str,
+    partition_by: str | None = None,
+    bucket_by: str | None = None,
+    buckets: int = 0,
 ) -> DataFrame:
-    """Materialise a table and return it read back, which cuts its lineage."""
+    """Materialise a table and return it read back, which cuts its lineage.
+
+    Bucketed tables are registered as ``<layer>_<name>``; two tables with equal
+    buckets on their join key are joined without a shuffle.
+    """
     path = f"{root.rstrip('/')}/{layer}/{name}"
-    writer = df.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS)
+    if bucket_by:
+        # one task per bucket, so a bucket is one sorted file
+        (
+            df.repartition(buckets, bucket_by)
+            .write.mode("overwrite")
+            .bucketBy(buckets, bucket_by)
+            .sortBy(bucket_by)
+            .option("path", path)
+            .saveAsTable(f"{layer}_{name}")
+        )
+        return df.sparkSession.table(f"{layer}_{name}")
+    rows = one_writer_per(df, partition_by) if partition_by else df
+    writer = rows.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS)
     if partition_by:
-        # one writer per period, split further by rows when a period is large
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
     return df.sparkSession.read.parquet(path)
