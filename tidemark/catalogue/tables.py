@@ -20,6 +20,7 @@ from tidemark.plans.silver import (
 )
 from tidemark.plans.star import Star, build_star, dim_lga, dim_suburb, lga_history, suburb_history
 from tidemark.session import shared_dir
+from tidemark.sources.paths import read_if_present
 
 TIE_BREAK = ("host_id", "accommodates", "scrape_id")
 LOADS = ("1995-03-15", "1998-06-10")
@@ -214,25 +215,31 @@ def g02(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_medians(raw_g02(spark, sf_dir))
 
 
-_STARS: dict[tuple[str, str], Star] = {}
+_STARS: dict[tuple[str, str], tuple[str, Star]] = {}
 
 
 def star(spark: SparkSession, sf_dir: str) -> Star:
     """The silver and gold tables, written once per application to the shared folder.
 
-    Marts and reports are views over them, as in any layered warehouse.
+    Marts and reports are views over them, as in any layered warehouse. Tables
+    that were removed in the meantime are written again.
     """
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _STARS:
-        _STARS[key] = build_star(
-            silver(spark, sf_dir),
-            lga_loads(spark, sf_dir),
-            suburb_loads(spark, sf_dir),
-            g01(spark, sf_dir),
-            g02(spark, sf_dir),
-            shared_dir(spark, "star"),
-        )
-    return _STARS[key]
+    if key in _STARS:
+        root, built = _STARS[key]
+        if read_if_present(spark, f"{root}/gold/fact_listings", "listing_id BIGINT") is not None:
+            return built
+    root = shared_dir(spark, "star")
+    built = build_star(
+        silver(spark, sf_dir),
+        lga_loads(spark, sf_dir),
+        suburb_loads(spark, sf_dir),
+        g01(spark, sf_dir),
+        g02(spark, sf_dir),
+        root,
+    )
+    _STARS[key] = (root, built)
+    return built
 
 
 def areas(spark: SparkSession, sf_dir: str) -> DataFrame:
