@@ -11,12 +11,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from tidemark.operators.windows import latest_per_key
 from tidemark.plans.silver import (
+    LISTING_COLUMNS,
     clean_counts,
     clean_lga,
     clean_medians,
     clean_suburb,
-    one_per_month,
 )
 from tidemark.plans.star import Star, build_star, dim_lga, dim_suburb, lga_history, suburb_history
 from tidemark.session import shared_dir
@@ -45,8 +46,15 @@ MEDIAN_DIVISORS = {
 }
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its schema is read from the file once."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def source_file(month: Column) -> Column:
@@ -54,13 +62,16 @@ def source_file(month: Column) -> Column:
     return F.concat(number, F.lit("_"), F.year(month).cast("string"), F.lit(".csv"))
 
 
-def listing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed observations, several per listing and month."""
-    line = table(spark, sf_dir, "lineitem")
+def listing_rows(
+    spark: SparkSession, sf_dir: str, line: DataFrame | None = None
+) -> DataFrame:
+    """Typed observations, several per listing and month; ``line`` defaults to all line items."""
+    if line is None:
+        line = table(spark, sf_dir, "lineitem")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    rows = line.join(supplier, line.l_suppkey == supplier.s_suppkey).join(
-        nation, supplier.s_nationkey == nation.n_nationkey
+    rows = line.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).join(
+        nation, F.col("s_nationkey") == F.col("n_nationkey")
     )
     day = F.col("l_shipdate").cast("date")
     month = F.trunc("l_shipdate", "MM")
@@ -122,7 +133,20 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return one_per_month(listing_rows(spark, sf_dir), TIE_BREAK)
+    """One observation per listing and month: :func:`one_per_month` on the narrow line items.
+
+    All columns that decide are the line item's own, so the duplicates go before
+    the names are joined and the wide row is built.
+    """
+    line = table(spark, sf_dir, "lineitem").withColumn("_month", F.trunc("l_shipdate", "MM"))
+    order = [
+        F.to_date("l_shipdate").desc_nulls_first(),
+        F.col("l_orderkey").desc_nulls_last(),
+        F.col("l_linenumber").desc_nulls_last(),
+        F.col("l_suppkey").cast("string").desc_nulls_last(),
+    ]
+    latest = latest_per_key(line, ["l_partkey", "_month"], order)
+    return listing_rows(spark, sf_dir, latest).select(*LISTING_COLUMNS)
 
 
 def raw_lga(spark: SparkSession, sf_dir: str, load: int) -> DataFrame:
@@ -227,7 +251,7 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key in _STARS:
         root, built = _STARS[key]
-        if read_if_present(spark, f"{root}/gold/fact_listings", "listing_id BIGINT") is not None:
+        if read_if_present(spark, f"{root}/gold/fact", "listing_id BIGINT") is not None:
             return built
     root = shared_dir(spark, "star")
     built = build_star(

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.history import build_history, to_dimension
 from tidemark.operators.joins import heavy_keys, pit_join
@@ -133,21 +136,37 @@ def build_star(
     and read back, as marts and reports use each of them several times; without
     it everything stays lazy.
     """
-
-    def keep(df: DataFrame, layer: str, name: str) -> DataFrame:
-        return df if root is None else write_table(df, root, layer, name)
-
-    listings = keep(listings, "silver", "silver_listings")
-    areas = keep(dim_lga(lga_history(lga_loads)), "gold", "dim_lga")
-    fact = keep(fact_listings(listings, areas), "gold", "fact_listings")
+    frames = {
+        "dim_host": lambda: dim_host(host_history(silver)),
+        "dim_property": lambda: dim_property(property_history(silver)),
+        "dim_suburb": lambda: dim_suburb(suburb_history(suburb_loads)),
+        "dim_lga": lambda: areas,
+        "fact": lambda: fact_listings(silver, areas),
+        "g01": lambda: g01,
+        "g02": lambda: g02,
+    }
+    areas = dim_lga(lga_history(lga_loads))
+    silver = listings
+    if root is None:
+        tables = {name: frame() for name, frame in frames.items()}
+    else:
+        silver = write_table(listings, root, "silver", "listings")
+        tables = _write_all(frames, root)
     return Star(
-        listings=listings,
-        fact=fact,
-        dim_host=keep(dim_host(host_history(listings)), "gold", "dim_host"),
-        dim_property=keep(dim_property(property_history(listings)), "gold", "dim_property"),
-        dim_lga=areas,
-        dim_suburb=keep(dim_suburb(suburb_history(suburb_loads)), "gold", "dim_suburb"),
-        g01=g01 if g01 is None else keep(g01, "gold", "census_g01"),
-        g02=g02 if g02 is None else keep(g02, "gold", "census_g02"),
-        hot_hosts=tuple(heavy_keys(fact, "host_id")),
+        listings=silver, hot_hosts=tuple(heavy_keys(tables["fact"], "host_id")), **tables
     )
+
+
+def _write_all(
+    frames: Mapping[str, Callable[[], DataFrame | None]], root: str
+) -> dict[str, DataFrame | None]:
+    """Write independent tables at the same time; their jobs share the cluster."""
+
+    def write(name: str) -> DataFrame | None:
+        df = frames[name]()
+        return df if df is None else write_table(df, root, "gold", name)
+
+    spark = SparkSession.active()
+    with ThreadPoolExecutor(len(frames)) as pool:
+        running = {name: pool.submit(inheritable_thread_target(spark)(write), name) for name in frames}
+        return {name: future.result() for name, future in running.items()}

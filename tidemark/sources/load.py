@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import quote
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.dates import period_of
@@ -125,9 +127,14 @@ def unload(spark: SparkSession, table: str, file_names: Iterable[str]) -> None:
         return
     schema = df.drop("source_file").schema
     empty = spark.createDataFrame([], schema)
-    for name in file_names:
+
+    def clear(name: str) -> None:
         empty.write.mode("overwrite").parquet(_partition(table, name))
 
+    # nothing but one small job per file, so several run at a time
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(inheritable_thread_target(spark)(clear), file_names))
+
 
 def unload_from(spark: SparkSession, table: str, period: dt.date) -> list[str]:
     """Empty every file of ``period`` or later and return their names, oldest first."""
@@ -169,7 +176,7 @@ def write_table(
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def register_view(df: DataFrame, name: str) -> DataFrame:
