@@ -17,13 +17,7 @@ from tidemark.functions.numbers import (
     ratio_of_sums,
     weighted_mean,
 )
-from tidemark.operators.aggregates import (
-    bucketize,
-    composition,
-    exact_median,
-    mean_of_means,
-    with_total,
-)
+from tidemark.operators.aggregates import bucketize, composition, exact_median, with_total
 from tidemark.operators.joins import current_join, null_safe_join, pit_join, restrict_to
 from tidemark.operators.topk import top_bottom, top_k
 from tidemark.operators.windows import (
@@ -502,7 +496,6 @@ __all__ = [
     "correlation_report",
     "demographics_top_bottom",
     "host_portfolios",
-    "mean_of_means",
     "mortgage_coverage",
     "portfolio_concentration",
     "portfolio_scope",
