@@ -5,10 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import simhash_dedup
+from tidemark.llm import (
+    embedding_dedup,
+    packing,
+    quality_gam,
+    simhash_dedup,
+    sketches,
+    suffix_dedup,
+    token_output,
+)
 from tidemark.llm.common import documents, ship
+from tidemark.session import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,3 +40,46 @@ def query(function: Query) -> Query:
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash classes of all documents: three-word shingles, at most 3 differing bits."""
     return simhash_dedup.near_duplicates(documents(spark, sf_dir), shingle=3, distance=3)
+
+
+@query
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and classes of all embeddings of one label at a cosine of 0.93 or more."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return embedding_dedup.near_duplicates(vectors, threshold=0.93)
+
+
+@query
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents, learnt from the labelled ones that are not held out."""
+    docs = documents(spark, sf_dir)
+    model = quality_gam.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality_gam.score(docs, model)
+
+
+@query
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What repeated 200-byte strings take from each document."""
+    return suffix_dedup.removed(documents(spark, sf_dir))
+
+
+@query
+def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token ids, written as packed segments and read back."""
+    path = shared_dir(spark, "token-segments")
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    token_output.write_ids(documents(spark, sf_dir), path, tokenizer, end_id=2)
+    return token_output.read_ids(spark, path, digest=True)
+
+
+@query
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 ids."""
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(documents(spark, sf_dir), tokenizer, end_id=1)
+
+
+@query
+def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Threshold-scaled sketches of all documents, of their edited texts and their likeness."""
+    return sketches.fingerprints(documents(spark, sf_dir))
