@@ -6,11 +6,14 @@ from collections.abc import Callable
 from functools import wraps
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import (
     embedding_dedup,
+    licenses,
+    merge_dropout,
     packing,
+    preferences,
     quality_gam,
     simhash_dedup,
     sketches,
@@ -83,3 +86,32 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Threshold-scaled sketches of all documents, of their edited texts and their likeness."""
     return sketches.fingerprints(documents(spark, sf_dir))
+
+
+@query
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known licenses that whole documents, or lines of them, are."""
+    return licenses.scan(documents(spark, sf_dir))
+
+
+@query
+def op6_sentencepiece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded with merge dropout, and the digest of what they decode to."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return merge_dropout.encode(
+        documents(spark, sf_dir), model, seed=2024, dropout=0.1, digest=True
+    )
+
+
+@query
+def op7_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations as chosen ones against the same with another last answer."""
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    pairs = preferences.format_pairs(*preferences.swapped_answers(conversations))
+    for name in ("chosen_spans", "rejected_spans"):
+        pairs = pairs.withColumn(name, preferences.spans_as_text(F.col(name)))
+    return pairs
+
+
+ORACLES["op5_license_scan"] = licenses.ORACLE
+ORACLES["op7_preference_formatting"] = preferences.ORACLE
