@@ -39,6 +39,14 @@ def texts(docs: DataFrame) -> DataFrame:
     )
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, longer if ``df`` has such a column already."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def longs(batch: pa.RecordBatch, name: str) -> np.ndarray:
     """A column without nulls as a numpy array."""
     return batch.column(name).to_numpy(zero_copy_only=False)

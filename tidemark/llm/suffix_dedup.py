@@ -37,7 +37,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import keep, longs, raw_texts, sorted_groups, table
+from tidemark.llm.common import fresh, keep, longs, raw_texts, sorted_groups, table
 
 LENGTH = 200
 SPAN = 128
@@ -452,3 +452,26 @@ def removed(docs: DataFrame) -> DataFrame:
         .otherwise(F.coalesce("kept_sha256", "sha256"))
         .alias("kept_sha256"),
     )
+
+
+def cleaned(docs: DataFrame) -> DataFrame:
+    """``docs`` with the repeated bytes taken out of ``text``; all rows and columns stay.
+
+    ``n_chars`` follows where the text changes. What is left of a character that was
+    cut in two becomes U+FFFD. Texts that lose nothing stay as they are, null included.
+    """
+    facts, results = repeats(docs)
+    cid, kept = fresh(docs, "text_id"), fresh(docs, "kept_text")
+    copied = facts.filter("copied").select("cid").distinct()
+    gone = copied.select(F.col("cid").alias(cid), F.lit("").alias(kept))
+    shorter = results.join(copied, "cid", "left_anti").select(
+        F.col("cid").alias(cid), F.make_valid_utf8(F.col("kept").cast("string")).alias(kept)
+    )
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    joined = docs.withColumn(cid, content_id(text)).join(gone.union(shorter), cid, "left")
+    changed = F.col(kept).isNotNull()
+    new = {"text": F.when(changed, F.col(kept)).otherwise(F.col("text"))}
+    if "n_chars" in docs.columns:
+        size = F.length(kept).cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.when(changed, size).otherwise(F.col("n_chars"))
+    return joined.withColumns(new).select(docs.columns)
