@@ -177,14 +177,15 @@ def near_links(classes: DataFrame, distance: int = 3) -> DataFrame:
         .select("anchor", F.ceil(F.col("n") / HOMES_PER_GROUP).cast("int").alias("parts")),
         "crowded-anchors",
     )
-    own = F.array(F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
-    every = F.sequence(F.lit(0), F.col("parts") - 1)
+    # at home in one part, and a visitor in the others
+    part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    own = F.pmod(F.xxhash64("fp"), F.col("parts")) == F.col("part")
     placed = (
         classes.mapInArrow(replicate(False), "anchor long, fp long, home boolean")
         .join(crowded, "anchor", "left")
         .withColumn("parts", F.coalesce("parts", F.lit(1)))
-        .withColumn("part", F.explode(F.when(F.col("home"), own).otherwise(every)))
-        .select("anchor", "part", "home", "fp")
+        .select("anchor", "fp", "home", "parts", part)
+        .select("anchor", "part", (F.col("home") & own).alias("home"), "fp")
     )
     return (
         placed.repartition("anchor", "part")
