@@ -22,7 +22,8 @@ import heapq
 import re
 import zlib
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,13 +32,15 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.common import table
+from tidemark.llm.tokens import WordMemory, gathered
 
 SPACE = "▁"
 # variants of one seed, dealt to the documents
 VARIANTS = 4
 # words of more characters are merged with a heap
 SIDE_BY_SIDE = 48
-REMEMBERED = 1 << 19
+# words remembered per worker
+REMEMBERED = 1 << 21
 
 _WORDS = re.compile(" *[^ ]+| +$")
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -223,19 +226,20 @@ class DropoutEncoder:
     def __init__(self, path: str, seed: int, dropout: float):
         self.vocabulary = vocabulary(path)
         self.seed, self.dropout = seed, dropout
-        self.known: dict[tuple[int, str], bytes] = {}
+        self.memories: dict[int, WordMemory] = {}
 
-    def _learn(self, words: list[str], variant: int) -> None:
-        new = [w for w in words if (variant, w) not in self.known]
-        keys = np.array([_word_key(w, self.seed, variant) for w in new], np.uint64)
+    def _learn(self, words: list[str], variant: int) -> list[list[int]]:
+        """The ids of words, each with a space before it."""
+        words = [" " + w for w in words]
+        keys = np.array([_word_key(w, self.seed, variant) for w in words], np.uint64)
         # a literal U+2581 must not look like a space
-        marked = [w.replace(SPACE, "\0").replace(" ", SPACE) for w in new]
-        for word, text, ids in zip(
-            new, marked, agendas(self.vocabulary, marked, keys, self.dropout)
-        ):
+        marked = [w.replace(SPACE, "\0").replace(" ", SPACE) for w in words]
+        found = agendas(self.vocabulary, marked, keys, self.dropout)
+        for k, ids in enumerate(found):
             if min(ids, default=0) < 0:
-                ids = self._with_bytes(ids, text.replace("\0", SPACE) if SPACE in word else text)
-            self.known[variant, word] = np.array(ids, "<u4").tobytes()
+                text = marked[k].replace("\0", SPACE) if SPACE in words[k] else marked[k]
+                found[k] = self._with_bytes(ids, text)
+        return found
 
     def _with_bytes(self, ids: list[int], text: str) -> list[int]:
         out = []
@@ -248,29 +252,36 @@ class DropoutEncoder:
 
     def encode(self, texts: pa.Array, variant: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and where each text's ids begin and end."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
+        if variant not in self.memories:
+            learn = partial(self._learn, variant=variant)
+            self.memories[variant] = WordMemory(learn, REMEMBERED // VARIANTS)
+        memory = self.memories[variant]
         # where words are parted by single spaces, each is one space and the word
         odd = pc.or_(pc.match_substring(texts, "  "), pc.ends_with(texts, " "))
         odd = pc.or_(odd, pc.or_(pc.starts_with(texts, " "), pc.equal(texts, "")))
-        plain = pc.if_else(odd, "", texts)
-        cut = pc.split_pattern(plain, " ")
+        cut = pc.split_pattern(pc.if_else(odd, "", texts), " ")
         coded = cut.flatten().dictionary_encode()
         at = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         ends = np.cumsum(cut.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
-        words = [" " + w for w in coded.dictionary.to_pylist()]
-        self._learn([w for w in words if w != " "], variant)
-        values = [self.known[variant, w] if w != " " else b"" for w in words]
-        for k in np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist():
-            text = texts[k].as_py()
-            pieces = _WORDS.findall(" " + text) if text else []
-            self._learn(list(dict.fromkeys(pieces)), variant)
-            at[ends[k] - 1] = len(values)
-            values.append(b"".join([self.known[variant, p] for p in pieces]))
-        ids = pa.array(values, pa.large_binary()).take(pa.array(at))
-        bounds = np.frombuffer(ids.buffers()[1], np.int64, len(at) + 1)
-        flat = np.frombuffer(ids.buffers()[2] or b"", "<u4", bounds[-1] // 4)
-        return flat, np.concatenate([[0], bounds[ends] // 4])
+        # the others are cut before each run of spaces, and after the last word
+        others = np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist()
+        pieces = [
+            [p[1:] for p in _WORDS.findall(" " + t)] if (t := texts[k].as_py()) else []
+            for k in others
+        ]
+        more = {p: n for n, p in enumerate(dict.fromkeys(chain.from_iterable(pieces)))}
+        words = pa.concat_arrays([coded.dictionary, pa.array(list(more), pa.string())])
+        begins, counts = memory.look_up(words)
+        first, size = begins[at], counts[at]
+        extra, end = [memory.ids], len(memory.ids)
+        for k, own in zip(others, pieces):
+            rows = [len(coded.dictionary) + more[p] for p in own]
+            ids = gathered(memory.ids, begins[rows], counts[rows])
+            first[ends[k] - 1], size[ends[k] - 1] = end, len(ids)
+            end += len(ids)
+            extra.append(ids)
+        flat = gathered(np.concatenate(extra), first, size)
+        return flat, np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], ends])]
 
 
 def decode(vocabulary: Vocabulary, ids: np.ndarray) -> bytes:

@@ -8,18 +8,112 @@ is full. The ids of a text are those that the library gives for the whole text.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
+from collections.abc import Callable
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# pieces remembered per worker; then it starts afresh
-REMEMBERED = 1 << 19
+# words remembered per worker, about 40 bytes each; then it starts afresh
+REMEMBERED = 1 << 21
 
 _BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
+# letters that every Unicode version and every normal form treats alike
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+class WordMemory:
+    """Ids of words under two hashes of the word, in flat arrays.
+
+    ``learn`` gives the ids of new words. Words are told apart by 64 + 32 bits of hash.
+    """
+
+    def __init__(self, learn: Callable[[list[str]], list[list[int]]], limit: int | None = None):
+        self.learn, self.limit = learn, limit
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys = np.zeros(0, np.uint64)
+        self.checks = np.zeros(0, np.uint32)
+        self.begins = np.zeros(0, np.int64)
+        self.counts = np.zeros(0, np.int32)
+        self.ids = np.zeros(0, np.uint32)
+
+    def look_up(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Where in ``ids`` the ids of each word begin, and how many there are.
+
+        Words should be distinct; one that comes twice is only learnt twice.
+        """
+        if len(self.keys) > (self.limit or REMEMBERED):
+            self.clear()
+        keys, checks = _names(words)
+        found = self._find(keys, checks)
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            lists = self.learn(words.take(pa.array(new)).to_pylist())
+            counts = np.fromiter(map(len, lists), np.int64, len(lists))
+            flat = np.fromiter(chain.from_iterable(lists), np.uint32, int(counts.sum()))
+            begins = len(self.ids) + np.cumsum(counts) - counts
+            self.ids = np.concatenate([self.ids, flat])
+            keys_now = np.concatenate([self.keys, keys[new]])
+            # two sorted runs: a merge
+            order = np.argsort(keys_now, kind="stable")
+            self.keys = keys_now[order]
+            self.checks = np.concatenate([self.checks, checks[new]])[order]
+            self.begins = np.concatenate([self.begins, begins])[order]
+            self.counts = np.concatenate([self.counts, counts.astype(np.int32)])[order]
+            found = self._find(keys, checks)
+        return self.begins[found], self.counts[found].astype(np.int64)
+
+    def _find(self, keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        # in the order of the keys, so that neighbours are read together
+        order = np.argsort(keys)
+        at = np.empty(len(keys), np.int64)
+        at[order] = np.minimum(np.searchsorted(self.keys, keys[order]), len(self.keys) - 1)
+        same = (self.keys[at] == keys) & (self.checks[at] == checks)
+        return np.where(same, at, -1)
+
+
+@cache
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    r = np.random.default_rng(17)
+    return r.integers(1, 1 << 63, (2, 256), np.uint64) * 2 + 1, r.integers(1, 1 << 62, 2, np.uint64)
+
+
+def _names(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit and a 32-bit hash of each word: polynomials over random values of its bytes."""
+    words = words.cast(pa.large_string())
+    bounds = np.frombuffer(words.buffers()[1], np.int64)[words.offset :][: len(words) + 1]
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
+    bounds = bounds - bounds[0]
+    sizes = np.diff(bounds)
+    place = np.arange(len(data)) - np.repeat(bounds[:-1], sizes)
+    octets, bases = _tables()
+    out = []
+    for table, base in zip(octets, bases):
+        powers = np.full(int(sizes.max(initial=0)) + 1, base * np.uint64(2) + np.uint64(1))
+        powers[0] = 1
+        powers = np.multiply.accumulate(powers)
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(table[data] * powers[place], out=sums[1:])
+        x = (sums[bounds[1:]] - sums[bounds[:-1]] + sizes.astype(np.uint64)) * _ODD
+        out.append(x ^ (x >> np.uint64(31)))
+    return out[0], (out[1] >> np.uint64(32)).astype(np.uint32)
+
+
+def gathered(ids: np.ndarray, begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The runs of ``ids`` one after the other."""
+    ends = np.cumsum(counts)
+    shift = np.repeat(begins - (ends - counts), counts)
+    return ids[shift + np.arange(len(shift))]
 
 
 class WordEncoder:
@@ -35,59 +129,94 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.spaces = spaces
-        self.known: dict[str, bytes] = {}
+        self.memory = WordMemory(lambda words: self._learn(words, " " * spaces))
+        self.ends: dict[str, list[int]] = {}
+        # the characters that stand for the bytes of the letters above
+        letters = [chr(c) for c in range(256) if _LETTERS.fullmatch(chr(c))] + [" "]
+        signs = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.signs = {ord(c): "".join(s for s, _ in signs(c)) or None for c in letters}
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and where each text's ids begin and end."""
         if not self.spaces:
             texts = pc.replace_substring(texts, "\n", " ")
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
         cut = pc.split_pattern(texts, " ")
         coded = cut.flatten().dictionary_encode()
         at = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        words = coded.dictionary.to_pylist()
-        counts = cut.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-        ends = np.cumsum(counts)
-        heads = ends - counts
-        # the word that begins a text has no space before it
-        starts = [words[w] for w in at[heads].tolist()]
-        own = np.arange(len(words), len(words) + len(starts))
-        inner = np.ones(len(words) + len(starts) + 1, bool)
+        begins, counts = self.memory.look_up(coded.dictionary)
+        held = self.memory.ids
+        sizes = cut.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = np.cumsum(sizes)
+        heads = ends - sizes
+        begins, counts = begins[at], counts[at]
         if self.spaces:
-            # a space next to other white space is no border
-            inner[: len(words)] = [_inner(w) for w in words]
-            inner[own] = [bool(w) and not w[-1].isspace() for w in starts]
-            alone = counts == 1
-            inner[own[alone]] = True
-        new = [w for w, good in zip(words, inner.tolist()) if good and w not in self.known]
-        self.known.update(zip(new, self._ids(new, " " * self.spaces)))
-        values = [self.known.get(w, b"") for w in words] + self._ids(starts, "") + [b""]
-        at[heads] = own
-        for k in np.unique(np.searchsorted(ends, np.flatnonzero(~inner[at]), "right")).tolist():
-            values[own[k]] = self._whole(texts[k].as_py())
-            at[heads[k] + 1 : ends[k]] = len(values) - 1
-        ids = pa.array(values, pa.large_binary()).take(pa.array(at))
-        bounds = np.frombuffer(ids.buffers()[1], np.int64, len(at) + 1)
-        flat = np.frombuffer(ids.buffers()[2] or b"", "<u4", bounds[-1] // 4)
-        return flat, np.concatenate([[0], bounds[ends] // 4])
-
-    def _whole(self, text: str) -> bytes:
+            # the word that begins a text has no space before it; a space next to other white
+            # space is no border
+            odd = _edged(coded.dictionary)
+            known = odd[at]
+            starts = coded.dictionary.take(pa.array(at[heads])).to_pylist()
+            known[heads] = [not w or w[-1].isspace() for w in starts]
+            known[heads[sizes == 1]] = False
+            own = self._ids(starts)
+            for k in np.unique(np.searchsorted(ends, np.flatnonzero(known), "right")).tolist():
+                own[k] = list(chain.from_iterable(self._whole(texts[k].as_py())))
+                counts[heads[k] : ends[k]] = 0
+            counts[heads] = list(map(len, own))
+            begins[heads] = len(held) + np.cumsum(counts[heads]) - counts[heads]
+            fresh = np.fromiter(chain.from_iterable(own), np.uint32, int(counts[heads].sum()))
+            held = np.concatenate([held, fresh])
+        flat = gathered(held, begins, counts)
+        return flat, np.concatenate([[0], np.cumsum(counts)])[np.concatenate([[0], ends])]
+
+    def _whole(self, text: str) -> list[list[int]]:
         first, *words = _BETWEEN_WORDS.split(text)
-        found = [self.known.get(w) for w in words]
-        lost = [w for w, ids in zip(words, found) if ids is None]
-        ids = iter(self._ids(lost, " "))
-        return self._ids([first], "")[0] + b"".join([next(ids) if x is None else x for x in found])
-
-    def _ids(self, pieces: list[str], before: str) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch_fast(
-            [before + p for p in pieces], add_special_tokens=False
-        )
-        return [b"".join([i.to_bytes(4, "little") for i in e.ids]) for e in encoded]
-
-
-def _inner(piece: str) -> bool:
-    return bool(piece) and not piece[0].isspace() and not piece[-1].isspace()
+        return self._ids([first] + [" " + w for w in words])
+
+    def _ids(self, pieces: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def _learn(self, words: list[str], before: str) -> list[list[int]]:
+        """The ids of words: letters go straight to the merges of the library's model.
+
+        Both patterns cut between a letter and a sign. What follows the letters begins with
+        an ASCII character, so that no normal form joins it to them.
+        """
+        out: list[list[int]] = [[]] * len(words)
+        letters, rest = _LETTERS.match, []
+        merge, signs = self.tokenizer.model.tokenize, self.signs
+        collecting = gc.isenabled()
+        # millions of small lists without cycles
+        gc.disable()
+        for k, word in enumerate(words):
+            stem = letters(word)
+            end = word[stem.end() :] if stem else ""
+            if not stem or not end.isascii():
+                rest.append(k)
+                continue
+            # the normaliser of the vocabulary without spaces lower-cases
+            start = before + stem[0] if self.spaces else stem[0].lower()
+            ids = [t.id for t in merge(start.translate(signs))]
+            out[k] = ids + self._end(end) if end else ids
+        if collecting:
+            gc.enable()
+        for k, ids in zip(rest, self._ids([before + words[k] for k in rest])):
+            out[k] = ids
+        return out
+
+    def _end(self, end: str) -> list[int]:
+        ids = self.ends.get(end)
+        if ids is None:
+            if len(self.ends) > 100_000:
+                self.ends.clear()
+            ids = self.ends[end] = self._ids([end])[0]
+        return ids
+
+
+def _edged(words: pa.Array) -> np.ndarray:
+    """Words that are empty, or begin or end with white space."""
+    space = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
+    found = pc.match_substring_regex(words, f"^$|^{space}|{space}$")
+    return found.to_numpy(zero_copy_only=False)
 
 
 @cache
