@@ -11,8 +11,11 @@ from tidemark import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session("local[8]", **{"spark.sql.shuffle.partitions": "4"})
+def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("shared"))
+    session = build_session(
+        "local[8]", **{"spark.sql.shuffle.partitions": "4", "spark.checkpoint.dir": shared}
+    )
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.plans import silver
 from tidemark.sources import load
 from tidemark.sources.paths import read_if_present
-from tidemark.sources.raw import has_split_cells, read_raw_csv
+from tidemark.sources.raw import has_split_cells, overlong_lines, read_raw_csv
 from tidemark.sources.schemas import AREAS, COUNTS, LISTINGS, MEDIANS, RAW_TABLES
 from tidemark.streaming.incremental import IncrementalWarehouse, run_incremental
 
@@ -73,6 +73,55 @@ def test_csv_columns_are_matched_by_name(spark, tmp_path):
         read_raw_csv(spark, str(tmp_path / "c.csv"), AREAS)
 
 
+def test_swapped_headers_inside_a_folder_never_swap_cells(spark, tmp_path):
+    (tmp_path / "1.csv").write_text("lga_name,lga_code\nx,1\n")
+    (tmp_path / "2.csv").write_text("lga_code,lga_name\n2,y\n")
+    each = read_raw_csv(spark, [str(tmp_path / n) for n in ("1.csv", "2.csv")], AREAS)
+    assert {(r.lga_code, r.lga_name) for r in each.collect()} == {("1", "x"), ("2", "y")}
+    with pytest.raises(Exception, match="(?i)header"):
+        read_raw_csv(spark, str(tmp_path), AREAS).collect()
+
+
+def test_headers_with_blanks_are_read_file_by_file(spark, tmp_path):
+    (tmp_path / "1.csv").write_text("lga_name,lga_code,,\nx,1,,\n")
+    (tmp_path / "2.csv").write_text("lga_code,lga_name,,\n2,y,,\n")
+    df = read_raw_csv(spark, str(tmp_path), AREAS)
+    assert {(r.lga_code, r.lga_name) for r in df.collect()} == {("1", "x"), ("2", "y")}
+
+
+def test_files_with_one_header_are_one_scan(spark, tmp_path):
+    for k in range(3):
+        (tmp_path / f"{k}.csv").write_text(f"lga_name,lga_code\nx,{k}\n")
+    df = read_raw_csv(spark, [str(tmp_path / f"{k}.csv") for k in range(3)], AREAS)
+    assert "Union" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert df.count() == 3
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_lines_with_too_many_cells(spark, tmp_path, multi_line):
+    path = tmp_path / "codes.csv"
+    path.write_text('lga_name,lga_code\n"a,b",1\nx,2,EXTRA\ny\nz,3,\n"q ""r"", s",4\n')
+    with pytest.raises(Exception, match="too many cells"):
+        read_raw_csv(spark, str(path), AREAS, multi_line).collect()
+    kept = read_raw_csv(spark, str(path), AREAS, multi_line, on_long="skip")
+    got = sorted((r.lga_name, r.lga_code) for r in kept.collect())
+    assert got == [("a,b", "1"), ('q "r", s', "4"), ("y", None)]
+    lines = overlong_lines(spark, str(path), multi_line).collect()
+    assert sorted(r.line.strip() for r in lines) == ["x,2,EXTRA", "z,3,"]
+    assert {r.source_file for r in lines} == {"codes.csv"}
+
+
+def test_a_reload_that_fails_keeps_the_rows(spark, tmp_path):
+    table = str(tmp_path / "t")
+    load.load_file(rows_of(spark, "05_2020.csv", "1", "2"), table, "05_2020.csv")
+    broken = rows_of(spark, "05_2020.csv", "3", "x").withColumn(
+        "code", F.when(F.col("code") == "x", F.raise_error(F.lit("half-way"))).otherwise("3")
+    )
+    with pytest.raises(Exception, match="half-way"):
+        load.load_file(broken, table, "05_2020.csv")
+    assert codes(spark, table) == [("05_2020.csv", "1"), ("05_2020.csv", "2")]
+
+
 def rows_of(spark, name, *codes):
     return spark.createDataFrame([(c, name) for c in codes], "code STRING, source_file STRING")
 

@@ -36,11 +36,16 @@ def one_writer_per(df: DataFrame, column: str) -> DataFrame:
 
 
 def load_file(df: DataFrame, table: str, file_name: str) -> None:
-    """Replace the rows of one file; an empty file leaves none behind."""
-    rows = df.filter(F.col("source_file") == file_name).drop("source_file")
-    rows.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS).parquet(
-        _partition(table, file_name)
-    )
+    """Replace the rows of one file; an empty file leaves none behind.
+
+    The partition is exchanged when the job commits: a load that fails half-way leaves
+    the rows of the last one in place.
+    """
+    rows = df.filter(F.col("source_file") == file_name)
+    if rows.isEmpty():
+        unload(df.sparkSession, table, [file_name])
+    else:
+        load_files(rows, table)
 
 
 def load_files(df: DataFrame, table: str) -> None:
