@@ -11,21 +11,20 @@ from tidemark.catalogue.tables import AGE_COLUMNS, MEDIAN_DIVISORS, plain
 from tidemark.operators import history as h
 from tidemark.operators.joins import pit_join
 from tidemark.plans import marts, reports, silver, star
+from tidemark.plans.silver import LISTING_COLUMNS
 from tidemark.session import shared_dir
 from tidemark.sources.load import write_table
 
+SCORES_OUT = ", ".join(
+    f"cast({c} as double) as {c}" for c in LISTING_COLUMNS if c.startswith("review_scores_")
+)
+
 SILVER_OUT = """listing_id, host_id, scraped_date, month_date, host_since, host_name,
   host_is_superhost, host_neighbourhood, listing_neighbourhood, property_type, room_type,
   cast(accommodates as bigint) as accommodates, cast(price as double) as price,
   has_availability, cast(availability_30 as bigint) as availability_30,
   cast(number_of_reviews as bigint) as number_of_reviews,
-  cast(review_scores_rating as double) as review_scores_rating,
-  cast(review_scores_accuracy as double) as review_scores_accuracy, source_file"""
-
-_SILVER_DROP = [
-    "loaded_at",
-    *[f"review_scores_{p}" for p in ("cleanliness", "checkin", "communication", "value")],
-]
+  """ + SCORES_OUT + ", source_file, cast(loaded_at as date) as loaded_at"
 
 
 # --- silver ------------------------------------------------------------------
@@ -35,7 +34,7 @@ _SILVER_DROP = [
 def clean_listings(spark, sf_dir):
     raw = t.raw_listings(spark, sf_dir)
     cleaned = silver.clean_listings(raw, tie_break=t.TIE_BREAK)
-    return plain(cleaned.drop(*_SILVER_DROP))
+    return plain(cleaned.withColumn("loaded_at", F.to_date("loaded_at")))
 
 
 @query(
@@ -112,12 +111,12 @@ def clean_medians(spark, sf_dir):
 
 # --- history -----------------------------------------------------------------
 
-HOST_HISTORY = """select host_id, host_name, host_since, host_is_superhost, host_neighbourhood,
+HOST_HISTORY = """select version_id, host_id, host_name, host_since, host_is_superhost, host_neighbourhood,
   month_date as valid_from, next_month as valid_to from host_versions"""
 
 
 def _bounds(df):
-    return plain(df.drop("version_id", "month_date", "loaded_at"))
+    return plain(df.drop("month_date", "loaded_at"))
 
 
 @query("history_hosts", with_tables("host_versions", HOST_HISTORY))
@@ -129,7 +128,7 @@ def host_history(spark, sf_dir):
     "history_properties",
     with_tables(
         "property_versions",
-        """select listing_id, listing_neighbourhood, property_type, room_type,
+        """select version_id, listing_id, listing_neighbourhood, property_type, room_type,
           cast(accommodates as bigint) as accommodates, month_date as valid_from,
           next_month as valid_to from property_versions""",
     ),
@@ -148,7 +147,8 @@ def _dated(df):
     "history_lga",
     with_tables(
         "lga_loads",
-        """select cast(lga_code as bigint) as lga_code, lga_name, lga_name_key,
+        """select md5(lga_code || '|' || loaded_on || ' 00:00:00') as version_id,
+          cast(lga_code as bigint) as lga_code, lga_name, lga_name_key,
           loaded_on as valid_from, lead(loaded_on) over (partition by lga_code
           order by loaded_on) as valid_to from lga_loads""",
     ),
@@ -161,7 +161,8 @@ def lga_history(spark, sf_dir):
     "history_suburb",
     with_tables(
         "suburb_loads",
-        """select suburb_name_key, suburb_name, cast(lga_code as bigint) as lga_code, lga_name,
+        """select md5(suburb_name_key || '|' || loaded_on || ' 00:00:00') as version_id,
+          suburb_name_key, suburb_name, cast(lga_code as bigint) as lga_code, lga_name,
           loaded_on as valid_from, lead(loaded_on) over (partition by suburb_name_key
           order by loaded_on) as valid_to from suburb_loads""",
     ),
@@ -174,7 +175,8 @@ def suburb_history(spark, sf_dir):
     "history_snapshot_step",
     with_tables(
         "lga_loads",
-        """select cast(lga_code as bigint) as lga_code, lga_name, lga_name_key,
+        """select md5(lga_code || '|' || loaded_on || ' 00:00:00') as version_id,
+          cast(lga_code as bigint) as lga_code, lga_name, lga_name_key,
           loaded_on as valid_from, lead(loaded_on) over (partition by lga_code
           order by loaded_on) as valid_to from lga_loads""",
     ),
@@ -192,29 +194,31 @@ def snapshot_step(spark, sf_dir):
     "history_snapshot_step_hosts",
     with_tables(
         "silver",
-        """select host_id, host_is_superhost, valid_from,
-          lead(valid_from) over (partition by host_id order by valid_from) as valid_to
-        from (select host_id, host_is_superhost, month_date as valid_from,
-                row_number() over (partition by host_id, year(month_date) order by
-                  month_date desc, scraped_date desc nulls first, listing_id desc) as k
-              from silver) where k = 1""",
+        """select md5(host_id || '|' || month_date) as version_id, host_id, host_is_superhost,
+          month_date as valid_from,
+          lead(month_date) over (partition by host_id order by month_date) as valid_to
+        from (select *, row_number() over (partition by host_id, year(month_date) order by
+                month_date desc, scraped_date desc nulls first, listing_id desc) as k
+              from silver where host_id is not null)
+        where k = 1""",
     ),
 )
 def snapshot_step_hosts(spark, sf_dir):
-    """One snapshot per year of data, each seeing everything up to that year's end."""
+    """One snapshot per year, each fed with that year's months only."""
     path = shared_dir(spark, "host-history")
     needed = t.silver(spark, sf_dir).select(
         "host_id", "host_is_superhost", "month_date", "scraped_date", "listing_id"
     )
-    seen = write_table(needed, path, "silver", "listings")
+    seen = write_table(needed, path, "silver", "listings", "month_date")
     versions = h.HistoryTable(spark, f"{path}/history", "host_id", "month_date")
     order = [F.col("month_date").desc(), *silver.host_order()]
     years = seen.agg(F.min(F.year("month_date")), F.max(F.year("month_date"))).first()
     for year in range(years[0], years[1] + 1):
-        until = seen.filter(F.year("month_date") <= year)
-        state = silver.latest_per_key(until, ["host_id"], order)
+        first, after = (F.make_date(F.lit(y), F.lit(1), F.lit(1)) for y in (year, year + 1))
+        rows = seen.filter((F.col("month_date") >= first) & (F.col("month_date") < after))
+        state = silver.latest_per_key(rows, ["host_id"], order)
         versions.apply(state.select("host_id", "host_is_superhost", "month_date"))
-    return versions.read().drop("version_id", "month_date")
+    return versions.read().drop("month_date")
 
 
 @query(
@@ -265,46 +269,47 @@ def timeline(spark, sf_dir):
 
 # --- star --------------------------------------------------------------------
 
-HOST_DIM = """host_id, host_name, host_since, host_is_superhost, host_neighbourhood,
+HOST_DIM = """host_version_id, host_id, host_name, host_since, host_is_superhost, host_neighbourhood,
   valid_from, valid_to, is_current"""
-PROPERTY_DIM = """listing_id, listing_neighbourhood, property_type, room_type,
+PROPERTY_DIM = """property_version_id, listing_id, listing_neighbourhood, property_type, room_type,
   cast(accommodates as bigint) as accommodates, valid_from, valid_to, is_current"""
 
 
 @query("star_dim_host", with_tables("dim_host", f"select {HOST_DIM} from dim_host"))
 def dim_host(spark, sf_dir):
     dim = star.dim_host(star.host_history(t.silver(spark, sf_dir)))
-    return plain(dim.drop("host_version_id"))
+    return plain(dim)
 
 
 @query("star_dim_property", with_tables("dim_property", f"select {PROPERTY_DIM} from dim_property"))
 def dim_property(spark, sf_dir):
     dim = star.dim_property(star.property_history(t.silver(spark, sf_dir)))
-    return plain(dim.drop("property_version_id"))
+    return plain(dim)
 
 
 @query(
     "star_dim_lga",
     with_tables(
         "dim_lga",
-        "select cast(lga_code as bigint) as lga_code, lga_name, lga_name_key, valid_from, "
+        "select lga_version_id, cast(lga_code as bigint) as lga_code, lga_name, lga_name_key, "
+        "valid_from, "
         "valid_to, is_current from dim_lga",
     ),
 )
 def dim_lga(spark, sf_dir):
-    return plain(t.areas(spark, sf_dir).drop("lga_version_id"))
+    return plain(t.areas(spark, sf_dir))
 
 
 @query(
     "star_dim_suburb",
     with_tables(
         "dim_suburb",
-        "select suburb_name_key, suburb_name, cast(lga_code as bigint) as lga_code, lga_name, "
-        "valid_from, valid_to, is_current from dim_suburb",
+        "select suburb_version_id, suburb_name_key, suburb_name, "
+        "cast(lga_code as bigint) as lga_code, lga_name, valid_from, valid_to, is_current from dim_suburb",
     ),
 )
 def dim_suburb(spark, sf_dir):
-    return plain(t.suburbs(spark, sf_dir).drop("suburb_version_id"))
+    return plain(t.suburbs(spark, sf_dir))
 
 
 @query(
@@ -315,15 +320,14 @@ def dim_suburb(spark, sf_dir):
           month_date, {dbl("price")} as price, has_availability,
           cast(availability_30 as bigint) as availability_30,
           cast(number_of_reviews as bigint) as number_of_reviews,
-          {dbl("review_scores_rating")} as review_scores_rating,
-          {dbl("review_scores_accuracy")} as review_scores_accuracy,
+          {SCORES_OUT},
           cast(number_of_stays as bigint) as number_of_stays,
           {dbl("estimated_revenue")} as estimated_revenue from fact""",
     ),
 )
 def fact_listings(spark, sf_dir):
     fact = star.fact_listings(t.silver(spark, sf_dir), t.areas(spark, sf_dir))
-    return plain(fact.drop(*_SILVER_DROP))
+    return plain(fact)
 
 
 @query("star_census_g01", with_tables("g01", f"select {_G01_OUT} from g01"))

@@ -60,6 +60,10 @@ _cte(
       case when l_quantity <= 45 then cast(100 - l_quantity as decimal(5,2)) end
         as review_scores_rating,
       cast(l_linenumber as decimal(5,2)) as review_scores_accuracy,
+      cast(l_linenumber + 1 as decimal(5,2)) as review_scores_cleanliness,
+      cast(l_linenumber + 2 as decimal(5,2)) as review_scores_checkin,
+      cast(l_linenumber + 3 as decimal(5,2)) as review_scores_communication,
+      cast(l_linenumber + 4 as decimal(5,2)) as review_scores_value,
       strftime(l_shipdate, '%m_%Y') || '.csv' as source_file,
       cast(date_trunc('month', l_shipdate) as date) + interval 1 month as loaded_at
     from lineitem join supplier on l_suppkey = s_suppkey
@@ -80,6 +84,7 @@ _cte(
     "silver",
     """
     select host_id, host_name, host_since, host_is_superhost, host_neighbourhood, month_date,
+      md5(host_id || '|' || month_date) as version_id,
       lead(month_date) over (partition by host_id order by month_date) as next_month,
       row_number() over (partition by host_id order by month_date) as n
     from (select *, row_number() over (partition by host_id, month_date
@@ -90,7 +95,8 @@ _cte(
     "dim_host",
     "host_versions",
     """
-    select host_id, host_name, host_since, host_is_superhost, host_neighbourhood,
+    select version_id as host_version_id, host_id, host_name, host_since, host_is_superhost,
+      host_neighbourhood,
       case when n = 1 then date '1900-01-01' else month_date end as valid_from,
       coalesce(next_month, date '9999-12-31') as valid_to, next_month is null as is_current
     from host_versions""",
@@ -100,6 +106,7 @@ _cte(
     "silver",
     """
     select listing_id, listing_neighbourhood, property_type, room_type, accommodates, month_date,
+      md5(listing_id || '|' || month_date) as version_id,
       lead(month_date) over (partition by listing_id order by month_date) as next_month,
       row_number() over (partition by listing_id order by month_date) as n
     from silver""",
@@ -108,7 +115,8 @@ _cte(
     "dim_property",
     "property_versions",
     """
-    select listing_id, listing_neighbourhood, property_type, room_type, accommodates,
+    select version_id as property_version_id, listing_id, listing_neighbourhood, property_type,
+      room_type, accommodates,
       case when n = 1 then date '1900-01-01' else month_date end as valid_from,
       coalesce(next_month, date '9999-12-31') as valid_to, next_month is null as is_current
     from property_versions""",
@@ -128,7 +136,8 @@ _cte(
     "dim_lga",
     "lga_loads",
     """
-    select lga_code, lga_name, lga_name_key,
+    select md5(lga_code || '|' || loaded_on || ' 00:00:00') as lga_version_id,
+      lga_code, lga_name, lga_name_key,
       case when row_number() over w = 1 then date '1900-01-01'
            else cast(date_trunc('month', loaded_on) as date) end as valid_from,
       coalesce(cast(date_trunc('month', lead(loaded_on) over w) as date), date '9999-12-31')
@@ -165,7 +174,8 @@ _cte(
     "dim_suburb",
     "suburb_loads",
     """
-    select suburb_name_key, suburb_name, lga_code, lga_name,
+    select md5(suburb_name_key || '|' || loaded_on || ' 00:00:00') as suburb_version_id,
+      suburb_name_key, suburb_name, lga_code, lga_name,
       case when row_number() over w = 1 then date '1900-01-01'
            else cast(date_trunc('month', loaded_on) as date) end as valid_from,
       coalesce(cast(date_trunc('month', lead(loaded_on) over w) as date), date '9999-12-31')
@@ -179,7 +189,8 @@ _cte(
     """
     select s.listing_id, s.host_id, g.lga_code, s.scraped_date, s.month_date, s.price,
       s.has_availability, s.availability_30, s.number_of_reviews, s.review_scores_rating,
-      s.review_scores_accuracy,
+      s.review_scores_accuracy, s.review_scores_cleanliness, s.review_scores_checkin,
+      s.review_scores_communication, s.review_scores_value,
       case when s.has_availability then 30 - s.availability_30 else 0 end as number_of_stays,
       case when s.has_availability then (30 - s.availability_30) * s.price else 0 end
         as estimated_revenue
