@@ -134,14 +134,19 @@ def merge_labels(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray
 
 
 _SHIPPED: set[str] = set()
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20
 
 
 def ship(spark: SparkSession) -> None:
     """Make this package importable in the Python workers, once per application.
 
     The functions that run inside tasks are pickled by name. A cluster that
-    already has the package on its Python path only gets a second copy.
+    already has the package on its Python path only gets a second copy. Unless the session
+    says otherwise, Arrow batches are bounded in bytes: texts differ much in length.
     """
+    if spark.conf.get(_BATCH, None) is None:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return
