@@ -283,3 +283,45 @@ def test_every_fact_row_meets_one_version(spark, seed):
     pick = lambda d: sorted((r.o, r.a) for r in d.collect())
     assert pick(joins.pit_join(facts, merged, "k")) == pick(full)
     assert pick(joins.pit_join(facts, dim, "k", how="left", hot=[1, 2])) == pick(full)
+
+
+@pytest.fixture
+def plain_shuffles(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("how", ["left", "left_anti"])
+def test_equal_rows_are_spread(spark, plain_shuffles, how):
+    """Nothing tells the rows of the hot key, or those without a key, apart."""
+    half = F.when(F.col("id") % 2 == 0, 7)
+    left = spark.range(20_000, numPartitions=8).select(half.alias("k"))
+    right = spark.createDataFrame([(7, "x") if how == "left" else (8, "x")], "rk INT, v STRING")
+    joined = joins.salted_join(left, right, "k", "rk", how, hot=[7])
+    parts = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(p["count"] for p in parts) == 20_000
+    assert len(parts) >= 4 and max(p["count"] for p in parts) < 10_000
+
+
+def test_a_hot_key_of_the_list_is_taken_once(spark, plain_shuffles):
+    df = spark.range(100).select((F.col("id") % 10).alias("a"))
+    listed = spark.range(30_000).select(F.lit(3).cast("long").alias("b"))
+    for lost in (joins.unmatched(df, listed, ("a", "b")), joins.not_in(df, "a", listed, "b")):
+        assert lost.count() == 90
+        # partial and final, below the join
+        assert lost._jdf.queryExecution().executedPlan().toString().count("HashAggregate(keys=[") >= 2
+
+
+def test_heavy_keys_follow_the_number_of_partitions(spark, plain_shuffles):
+    df = spark.range(1600).select(F.when(F.col("id") < 120, 5).otherwise(F.col("id")).alias("k"))
+    assert joins.heavy_keys(df, "k") == [5]
+    assert joins.heavy_keys(df, "k", share=0.1) == []

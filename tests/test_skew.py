@@ -70,3 +70,32 @@ def test_a_hot_host_changes_no_figure(spark):
     # listings without a neighbourhood are a group of their own, medians included
     lost = groups.filter("listing_neighbourhood IS NULL")
     assert lost.count() == 4 and lost.filter("median_price IS NULL").isEmpty()
+
+
+def test_marts_join_once_and_leave_unwanted_medians_out(spark):
+    """Two point-in-time joins in the plan that runs, whether medians are asked for or not."""
+    from tidemark.catalogue import tables as t
+    from tidemark.plans import marts
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    s = t.star(spark, "/root/testdata/sf0.001")
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        for medians in (True, False):
+            kpis = marts.dm_listing_neighbourhood(
+                s.fact, s.dim_property, s.dim_host, s.hot_hosts, medians
+            )
+            plan = kpis._jdf.queryExecution().executedPlan().toString()
+            joins = plan.count("SortMergeJoin")
+            reused = plan.count("ReusedExchange")
+            assert ("median_price" in kpis.columns) == medians
+            assert joins == 2, plan
+            assert (reused > 0) == medians
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -368,7 +368,10 @@ def mart_property_type(spark, sf_dir):
 @query("mart_host_neighbourhood", with_tables("host_area_kpis", "select * from host_area_kpis"))
 def mart_host_neighbourhood(spark, sf_dir):
     s = t.star(spark, sf_dir)
-    return plain(marts.dm_host_neighbourhood(s.fact, s.dim_host, s.dim_suburb, s.hot_hosts))
+    areas = marts.dm_host_neighbourhood(
+        s.fact, s.dim_host, s.dim_suburb, s.hot_hosts, hot_suburbs=s.hot_suburbs
+    )
+    return plain(areas)
 
 
 @query(
@@ -477,7 +480,9 @@ def demographics_top_bottom(spark, sf_dir):
 )
 def rank_method_check(spark, sf_dir):
     s = t.star(spark, sf_dir)
-    kpi = marts.dm_listing_neighbourhood(s.fact, s.dim_property, s.dim_host, s.hot_hosts)
+    kpi = marts.dm_listing_neighbourhood(
+        s.fact, s.dim_property, s.dim_host, s.hot_hosts, medians=False
+    )
     return plain(reports.rank_method_check(s.fact, s.dim_lga, kpi))
 
 

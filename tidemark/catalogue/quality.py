@@ -13,11 +13,16 @@ from tidemark.plans import marts, star
 
 
 def _kpis(s):
-    return marts.dm_listing_neighbourhood(s.fact, s.dim_property, s.dim_host, s.hot_hosts)
+    """No check reads the medians."""
+    return marts.dm_listing_neighbourhood(
+        s.fact, s.dim_property, s.dim_host, s.hot_hosts, medians=False
+    )
 
 
 def _host_areas(s):
-    return marts.dm_host_neighbourhood(s.fact, s.dim_host, s.dim_suburb, s.hot_hosts)
+    return marts.dm_host_neighbourhood(
+        s.fact, s.dim_host, s.dim_suburb, s.hot_hosts, hot_suburbs=s.hot_suburbs
+    )
 
 
 # --- declared tests ----------------------------------------------------------
@@ -293,7 +298,9 @@ def row_counts(spark, sf_dir):
 )
 def mart_row_counts(spark, sf_dir):
     s = t.star(spark, sf_dir)
-    by_type = marts.dm_property_type(s.fact, s.dim_property, s.dim_host, s.hot_hosts)
+    by_type = marts.dm_property_type(
+        s.fact, s.dim_property, s.dim_host, s.hot_hosts, medians=False
+    )
     return q.row_counts(
         {
             "dm_listing_neighbourhood": _kpis(s),

@@ -198,7 +198,7 @@ def filter_first_qualifying(spark, sf_dir):
         orders, ["o_custkey"], [F.count_distinct("o_orderstatus").alias("k")], "k > 2"
     )
     first = joins.pick_first(varied.select("o_custkey"), [F.col("o_custkey")])
-    chosen = joins.restrict_to(orders, first, "o_custkey")
+    chosen = joins.restrict_to(orders, first, "o_custkey", 1)
     return plain(chosen.select("o_orderkey", "price"))
 
 
@@ -319,7 +319,8 @@ def join_point_in_time_other_table(spark, sf_dir):
         "listing_id", "property_type", "listing_neighbourhood", "valid_from", "valid_to"
     )
     orders = _orders(spark, sf_dir).select("o_orderkey", "o_custkey", "month")
-    joined = joins.pit_join(orders, homes, ("o_custkey", "listing_id"), at="month")
+    hot = joins.heavy_keys(orders, "o_custkey")
+    joined = joins.pit_join(orders, homes, ("o_custkey", "listing_id"), at="month", hot=hot)
     return joined.drop("o_custkey", "month")
 
 
@@ -341,7 +342,26 @@ def join_point_in_time_chain(spark, sf_dir):
     fact = s.fact.select("listing_id", "month_date", "host_id")
     lived = joins.pit_join(fact, hosts, "host_id", hot=s.hot_hosts)
     key = (F.upper("host_neighbourhood"), "suburb_name_key")
-    return joins.pit_join(lived, suburbs, key, how="left").drop("host_id")
+    return joins.pit_join(lived, suburbs, key, how="left", hot=s.hot_suburbs).drop("host_id")
+
+
+@query(
+    "join_point_in_time_hot_names",
+    with_tables(
+        "silver dim_lga",
+        """select l.listing_id, l.month_date, l.listing_neighbourhood, g.lga_name
+        from silver l left join dim_lga g on upper(l.listing_neighbourhood) = g.lga_name_key
+          and l.month_date >= g.valid_from and l.month_date < g.valid_to""",
+    ),
+)
+def join_point_in_time_hot_names(spark, sf_dir):
+    """A join on a few names, each with a large share of the rows, which are found and spread."""
+    s = t.star(spark, sf_dir)
+    listings = s.listings.select("listing_id", "month_date", "listing_neighbourhood")
+    areas = s.dim_lga.select("lga_name_key", "lga_name", "valid_from", "valid_to")
+    name = F.upper("listing_neighbourhood")
+    hot = joins.heavy_keys(listings, name, share=1 / 64)
+    return joins.pit_join(listings, areas, (name, "lga_name_key"), how="left", hot=hot)
 
 
 @query(
@@ -388,7 +408,7 @@ def join_restrict_to_top(spark, sf_dir):
     orders = _orders(spark, sf_dir)
     spent = orders.groupBy("o_custkey").agg(F.sum("price").alias("spent"))
     best = topk.top_k(spent, F.col("spent").desc(), 5, [F.col("o_custkey")])
-    chosen = joins.restrict_to(orders.select("o_orderkey", "o_custkey"), best, "o_custkey")
+    chosen = joins.restrict_to(orders.select("o_orderkey", "o_custkey"), best, "o_custkey", 5)
     return plain(chosen.drop("o_custkey"))
 
 

@@ -84,21 +84,27 @@ def mean_of_means(
     ])
 
 
-def exact_median(df: DataFrame, keys: Sequence[str], column: str, name: str) -> DataFrame:
+def exact_median(
+    df: DataFrame, keys: Sequence[str], column: str, name: str, weight: str | None = None
+) -> DataFrame:
     """Interpolated median per group, exact, without holding a group in one task.
 
-    Equal values are counted first (partial counts before the shuffle, spread by
+    ``weight`` names a column that says how often a row's value counts. Equal values are counted first (partial counts before the shuffle, spread by
     key *and* value). The middle positions are then followed down a scale of
     10**6-wide cells: each window runs over the cells of a group, or the values
     inside its one or two middle cells, never over the group's rows.
     """
     units, precision, scale = scaled_units(df, column)
     keys = list(keys)
+    often = F.count("*") if weight is None else F.sum("_weight")
     counts = (
-        df.select(*keys, units.alias("_units"))
-        .filter("_units IS NOT NULL")
+        df.select(*keys, units.alias("_units"), *([F.col(weight).alias("_weight")] if weight else []))
         .groupBy(*keys, "_units")
-        .agg(F.count("*").alias("_n"))
+        # rows without a value go after the count: a filter on the key would be pushed down
+        # to the scan, which then differs from that of a caller's other branches
+        .agg(often.alias("_n"), F.count("_units").alias("_known"))
+        .filter("_known > 0")
+        .drop("_known")
     )
     levels = cells(F.col("_units"), precision)
     names = [f"_cell_{i}" for i in range(len(levels))]

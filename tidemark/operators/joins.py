@@ -8,25 +8,38 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.text import col, join_key
 
-# a key is hot when it holds at least this share of the rows; at most 64 can
-HOT_SHARE = 1 / 64
-SALTS = 32
+# keys that are found hot, at most, and counters of the sketch that finds them
+HOT_KEYS = 1024
+COUNTERS = 65_536
 
 
-def heavy_keys(df: DataFrame, key: Column | str, share: float = HOT_SHARE) -> list:
+def heavy_keys(df: DataFrame, key: Column | str, share: float | None = None) -> list:
     """Keys that hold at least ``share`` of the rows (one pass, constant-size result).
 
-    A frequent-items sketch keeps 16384 counters per task, so no key above the
+    The default share is that of one shuffle partition, but not below one in HOT_KEYS. The
+    frequent-items sketch keeps many times as many counters, so no key above the
     share is missed. The answer only decides which keys are spread over several
     tasks, never which rows are kept.
     """
+    if share is None:
+        share = max(1 / _partitions(df), 1 / HOT_KEYS)
     keys = df.select(col(key).alias("k")).filter(F.col("k").isNotNull())
     row = keys.agg(
-        F.expr("approx_top_k(k, 256, 16384)").alias("top"), F.count(F.lit(1)).alias("n")
+        F.expr(f"approx_top_k(k, {HOT_KEYS}, {COUNTERS})").alias("top"),
+        F.count(F.lit(1)).alias("n"),
     ).first()
     return [item["item"] for item in row["top"] or [] if item["count"] >= share * row["n"]]
 
 
+def _partitions(df: DataFrame) -> int:
+    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _salts(df: DataFrame) -> int:
+    """Enough for a key with a third of all rows to come down to one partition's share."""
+    return max(8, -(-_partitions(df) // 3))
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
@@ -35,16 +48,18 @@ def salted_join(
     how: str = "inner",
     residual: Column | None = None,
     hot: Sequence = (),
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Equi join that spreads hot keys of the left side over ``salts`` tasks.
 
     Only rows of hot keys get a salt, and only the right rows of those keys are
     repeated, so the right side grows by at most ``len(hot) * salts`` keys. The
-    salt is a hash of the row and therefore the same when a task is retried. In
-    a left or anti join the rows without a key are spread as well. ``right_key``
-    is dropped.
+    salt is a hash of the row and of the task that reads it: equal rows of different
+    tasks are spread, and a task that is retried deals the same salts. In a left or anti
+    join the rows without a key are spread as well. By default a third of the shuffle
+    partitions take part. ``right_key`` is dropped.
     """
+    salts = salts or _salts(left)
     nulls = F.col(left_key).isNull()
     spread = None
     if hot:
@@ -53,7 +68,7 @@ def salted_join(
         spread = nulls if spread is None else spread | nulls
     on = F.col(left_key) == F.col(right_key)
     if spread is not None:
-        pick = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
+        pick = F.pmod(F.xxhash64(F.spark_partition_id(), *left.columns), F.lit(salts)).cast("int")
         left = left.withColumn("_salt", F.when(spread, pick).otherwise(0))
         if hot:
             copies = F.when(
@@ -152,7 +167,8 @@ def unmatched(
 ) -> DataFrame:
     """Rows of ``df`` whose key does not occur in ``other``."""
     left_key, right_key = on
-    keys = other.select(F.col(right_key).alias("_key"))
+    # each key once: a hot key of the list would otherwise meet in one task
+    keys = other.select(F.col(right_key).alias("_key")).distinct()
     keyed = df.withColumn("_left_key", col(left_key))
     lost = salted_join(keyed, keys, "_left_key", "_key", "left_anti", hot=hot)
     return lost.drop("_left_key")
@@ -170,17 +186,17 @@ def not_in(
     facts = listed.agg(
         F.count(F.lit(1)).alias("_size"), F.count_if(F.col("_listed").isNull()).alias("_nulls")
     )
-    missing = salted_join(df, listed, column, "_listed", "left_anti", hot=hot)
+    missing = salted_join(df, listed.distinct(), column, "_listed", "left_anti", hot=hot)
     keep = (F.col("_size") == 0) | ((F.col("_nulls") == 0) & F.col(column).isNotNull())
     return missing.crossJoin(F.broadcast(facts)).filter(keep).drop("_size", "_nulls")
 
 
-def restrict_to(df: DataFrame, top: DataFrame, on: str) -> DataFrame:
-    """Keep the rows of a chosen set of k keys and attach that set's columns.
+def restrict_to(df: DataFrame, top: DataFrame, on: str, k: int) -> DataFrame:
+    """Keep the rows of a chosen set of at most k keys and attach that set's columns.
 
-    ``top`` comes from a LIMIT k, which bounds what is broadcast.
+    The limit bounds what is broadcast; a set that is larger is cut to k rows.
     """
-    return df.join(F.broadcast(top), on)
+    return df.join(F.broadcast(top.limit(k)), on)
 
 
 def join_aggregates(a: DataFrame, b: DataFrame, on: str, how: str = "inner") -> DataFrame:

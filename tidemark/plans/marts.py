@@ -44,24 +44,23 @@ def monthly_kpis(
     dim_host: DataFrame,
     keys: Sequence[str],
     hot_hosts: Sequence = (),
+    medians: bool = True,
 ) -> DataFrame:
     """Measures per group and month, with the change against the month before.
 
-    Hosts are counted by aggregating per host first, which needs one pass and
-    no row expansion for the two distinct counts; medians come from value counts.
+    The joined rows are first summed per host and price, which is all that both the
+    host counts and the medians need, so the joins run once. Hosts are counted by
+    aggregating per host, without a row expansion for the two distinct counts; medians come
+    from value counts. ``medians=False`` leaves that column out, and its work.
     """
     keys = list(keys)
     rows = visits(fact, dim_property, dim_host, keys, hot_hosts)
     active = F.col("has_availability")
     at = [*keys, PERIOD]
-    per_host = rows.groupBy(*at, "host_id").agg(
+    narrow = rows.groupBy(*at, "host_id", F.when(active, F.col("price")).alias("price")).agg(
         F.count("*").alias("total"),
         F.count_if(active).alias("active"),
         F.count_if(~active).alias("inactive"),
-        F.min(F.when(active, F.col("price"))).alias("low"),
-        F.max(F.when(active, F.col("price"))).alias("high"),
-        F.sum(F.when(active, F.col("price"))).alias("price_sum"),
-        F.count(F.when(active, F.col("price"))).alias("price_n"),
         F.max("host_is_superhost").alias("superhost"),
         F.sum(F.when(active, F.col("review_scores_rating"))).alias("rating_sum"),
         F.count(F.when(active, F.col("review_scores_rating"))).alias("rating_n"),
@@ -69,21 +68,34 @@ def monthly_kpis(
         F.sum(F.when(active, F.col("estimated_revenue"))).alias("revenue"),
         F.count(F.when(active, F.col("estimated_revenue"))).alias("revenue_n"),
     )
+    sums = ["total", "active", "inactive", "rating_sum", "rating_n", "stays", "revenue"]
+    parts = narrow.groupBy(*at, "host_id").agg(
+        *[F.sum(c).alias(c) for c in (*sums, "revenue_n")],
+        F.max("superhost").alias("superhost"),
+        F.min("price").alias("low"),
+        F.max("price").alias("high"),
+        F.sum(F.col("price") * F.col("active")).alias("price_sum"),
+        F.sum(F.when(F.col("price").isNotNull(), F.col("active"))).alias("price_n"),
+    )
 
     def average(name: str):
         kept = F.sum(f"{name}_sum") if name != "revenue" else F.sum("revenue")
         return ratio(kept.cast("decimal(28,2)"), F.sum(f"{name}_n").cast(COUNT))
 
-    medians = exact_median(rows.filter(active), at, "price", "median_price")
-    # a median row has no host, so it adds to none of the counts and sums
-    parts = per_host.unionByName(medians, allowMissingColumns=True)
+    if medians:
+        # always true: it reads every column, so that both branches have the same exchange
+        # below them and Spark computes it once
+        whole = F.hash(*narrow.columns) <= 2**31 - 1
+        middle = exact_median(narrow.filter(whole), at, "price", "median_price", "active")
+        # a median row has no host, so it adds to none of the counts and sums
+        parts = parts.unionByName(middle, allowMissingColumns=True)
     monthly = parts.groupBy(*at).agg(
         F.sum("total").alias("total_listings"),
         F.sum("active").alias("active_listings"),
         F.sum("inactive").alias("inactive_listings"),
         F.min("low").alias("min_price"),
         F.max("high").alias("max_price"),
-        F.max("median_price").alias("median_price"),
+        *([F.max("median_price").alias("median_price")] if medians else []),
         average("price").alias("avg_price"),
         F.count("host_id").alias("distinct_hosts"),
         F.count_if(F.col("superhost")).alias("distinct_superhosts"),
@@ -108,7 +120,7 @@ def monthly_kpis(
         ),
         "min_price",
         "max_price",
-        half_up("median_price", 2).alias("median_price"),
+        *([half_up("median_price", 2).alias("median_price")] if medians else []),
         half_up("avg_price", 2).alias("avg_price"),
         "distinct_hosts",
         percent(F.col("distinct_superhosts"), F.col("distinct_hosts"), 2).alias("superhost_rate"),
@@ -121,16 +133,25 @@ def monthly_kpis(
 
 
 def dm_listing_neighbourhood(
-    fact: DataFrame, dim_property: DataFrame, dim_host: DataFrame, hot_hosts: Sequence = ()
+    fact: DataFrame,
+    dim_property: DataFrame,
+    dim_host: DataFrame,
+    hot_hosts: Sequence = (),
+    medians: bool = True,
 ) -> DataFrame:
-    return monthly_kpis(fact, dim_property, dim_host, ["listing_neighbourhood"], hot_hosts)
+    keys = ["listing_neighbourhood"]
+    return monthly_kpis(fact, dim_property, dim_host, keys, hot_hosts, medians)
 
 
 def dm_property_type(
-    fact: DataFrame, dim_property: DataFrame, dim_host: DataFrame, hot_hosts: Sequence = ()
+    fact: DataFrame,
+    dim_property: DataFrame,
+    dim_host: DataFrame,
+    hot_hosts: Sequence = (),
+    medians: bool = True,
 ) -> DataFrame:
     keys = ["property_type", "room_type", "accommodates"]
-    return monthly_kpis(fact, dim_property, dim_host, keys, hot_hosts)
+    return monthly_kpis(fact, dim_property, dim_host, keys, hot_hosts, medians)
 
 
 def dm_host_neighbourhood(
@@ -139,11 +160,12 @@ def dm_host_neighbourhood(
     dim_suburb: DataFrame,
     hot_hosts: Sequence = (),
     unknown: str = "Unknown",
+    hot_suburbs: Sequence = (),
 ) -> DataFrame:
     """Revenue by the area the host lives in; hosts without one form their own group.
 
     The fact is first summed per host, month and suburb, so the second hop joins
-    aggregates instead of rows.
+    aggregates instead of rows. ``hot_suburbs`` lists upper-case names to spread.
     """
     wanted = fact.select("host_id", PERIOD, "has_availability", "estimated_revenue")
     homes = dim_host.select("host_id", "valid_from", "valid_to", "host_neighbourhood")
@@ -154,7 +176,11 @@ def dm_host_neighbourhood(
     )
     suburbs = dim_suburb.select("suburb_name_key", "lga_name", "valid_from", "valid_to")
     placed = pit_join(
-        sums, suburbs, (F.upper("host_neighbourhood"), "suburb_name_key"), how="left"
+        sums,
+        suburbs,
+        (F.upper("host_neighbourhood"), "suburb_name_key"),
+        how="left",
+        hot=hot_suburbs,
     )
     area = F.coalesce("lga_name", F.lit(unknown)).alias("host_neighbourhood_lga")
     per_host = placed.groupBy(area, PERIOD, "host_id").agg(

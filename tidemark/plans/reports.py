@@ -238,7 +238,7 @@ def types_in_best_areas(fact: DataFrame, dim_property: DataFrame, areas: int = 5
         areas,
         [F.col("listing_neighbourhood")],
     )
-    return restrict_to(by_type.drop("_revenue"), best, "listing_neighbourhood")
+    return restrict_to(by_type.drop("_revenue"), best, "listing_neighbourhood", areas)
 
 
 def best_types(

@@ -109,7 +109,7 @@ def fact_listings(listings: DataFrame, lga: DataFrame, hot: tuple = ()) -> DataF
 
 @dataclass(frozen=True)
 class Star:
-    """The gold layer. ``hot_hosts`` are the host keys that joins should spread."""
+    """The gold layer. ``hot_hosts`` and ``hot_suburbs`` are the keys that joins should spread."""
 
     listings: DataFrame
     fact: DataFrame
@@ -120,6 +120,7 @@ class Star:
     g01: DataFrame | None = None
     g02: DataFrame | None = None
     hot_hosts: tuple = field(default=())
+    hot_suburbs: tuple = field(default=())
 
 
 def build_star(
@@ -141,19 +142,24 @@ def build_star(
         "dim_property": lambda: dim_property(property_history(silver)),
         "dim_suburb": lambda: dim_suburb(suburb_history(suburb_loads)),
         "dim_lga": lambda: areas,
-        "fact": lambda: fact_listings(silver, areas),
+        "fact": lambda: fact_listings(silver, areas, hot_areas),
         "g01": lambda: g01,
         "g02": lambda: g02,
     }
     areas = dim_lga(lga_history(lga_loads))
     silver = listings
+    hot_areas: tuple = ()
     if root is None:
         tables = {name: frame() for name, frame in frames.items()}
     else:
         silver = write_table(listings, root, "silver", "listings")
+        hot_areas = tuple(heavy_keys(silver, F.upper("listing_neighbourhood")))
         tables = _write_all(frames, root)
     return Star(
-        listings=silver, hot_hosts=tuple(heavy_keys(tables["fact"], "host_id")), **tables
+        listings=silver,
+        hot_hosts=tuple(heavy_keys(tables["fact"], "host_id")),
+        hot_suburbs=tuple(heavy_keys(tables["dim_host"], F.upper("host_neighbourhood"))),
+        **tables,
     )
 
 
