@@ -154,72 +154,79 @@ def agenda(vocabulary: Vocabulary, word: str, key: int, dropout: float) -> list[
 
 def agendas(
     vocabulary: Vocabulary, words: list[str], keys: np.ndarray, dropout: float
-) -> list[list[int]]:
-    """As ``agenda``, for many words at once."""
-    out: list[list[int]] = [[]] * len(words)
+) -> tuple[np.ndarray, np.ndarray]:
+    """As ``agenda``, for many words at once: all ids one after the other, and how many of each."""
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     order = np.argsort(lengths, kind="stable")
     short = order[lengths[order] <= SIDE_BY_SIDE]
-    for k in order[len(short) :].tolist():
-        out[k] = agenda(vocabulary, words[k], int(keys[k]), dropout)
+    parts = [np.zeros(0, np.int64)]
+    counts = np.zeros(len(words), np.int64)
     for some in np.array_split(short, len(short) // 8192 + 1):
         if len(some):
-            found = _side_by_side(vocabulary, [words[k] for k in some], keys[some], dropout)
-            for k, ids in zip(some.tolist(), found):
-                out[k] = ids
-    return out
+            ids, each = _side_by_side(vocabulary, [words[k] for k in some], keys[some], dropout)
+            parts.append(ids)
+            counts[some] = each
+    for k in order[len(short) :].tolist():
+        ids = agenda(vocabulary, words[k], int(keys[k]), dropout)
+        parts.append(np.array(ids, np.int64))
+        counts[k] = len(ids)
+    begins = np.zeros(len(words), np.int64)
+    begins[order] = np.cumsum(counts[order]) - counts[order]
+    return gathered(np.concatenate(parts), begins, counts), counts
 
 
 def _side_by_side(
     vocabulary: Vocabulary, words: list[str], keys: np.ndarray, dropout: float
-) -> list[list[int]]:
-    limit, width = _limit(dropout), max(map(len, words)) + 1
-    known = vocabulary.ids
+) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols are linked lists in one row per word; a symbol stands where its text begins."""
+    limit = _limit(dropout)
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    # the column after a word's last character stands for its end
+    width = int(size.max()) + 1
+    columns = np.arange(width)
+    inside = columns < size[:, None]
+    signs = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+    distinct, at = np.unique(signs, return_inverse=True)
+    known = np.array([vocabulary.ids.get(chr(c), -1) for c in distinct.tolist()], np.int64)
     none = -1 - width
-    # one column more than the longest word, which stands for the end
     symbols = np.full((len(words), width), none, np.int64)
-    for r, word in enumerate(words):
-        symbols[r, : len(word)] = [known.get(c, -1 - i) for i, c in enumerate(word)]
-    size = np.fromiter(map(len, words), np.int64, len(words))
-    begin = np.minimum(np.arange(width), size[:, None])
-    score = np.full((len(words), width), -np.inf)
+    place = np.broadcast_to(columns, symbols.shape)[inside]
+    symbols[inside] = np.where(known[at] >= 0, known[at], -1 - place)
+    after = np.minimum(columns + 1, size[:, None])
+    before = np.broadcast_to(columns - 1, symbols.shape).copy()
+    merged = np.zeros(symbols.shape, np.int64)
+    score = np.full(symbols.shape, -np.inf)
+    alive = inside.copy()
 
     def weigh(r: np.ndarray, c: np.ndarray) -> None:
-        """The candidate of symbol c with the next one."""
-        merged = vocabulary.merge_of(symbols[r, c], symbols[r, c + 1])
-        good = merged >= 0
+        """The candidate of the symbol at c with the next one."""
+        middle = after[r, c]
+        made = vocabulary.merge_of(symbols[r, c], symbols[r, middle])
+        good = made >= 0
         if limit:
-            stop = np.where(c + 2 < width, begin[r, np.minimum(c + 2, width - 1)], size[r])
-            where = begin[r, c] << 16 | stop
-            good &= ~_skipped(keys[r], where, begin[r, c + 1], limit)
-        score[r, c] = np.where(good, vocabulary.scores[merged], -np.inf)
+            good &= ~_skipped(keys[r], c << 16 | after[r, middle], middle, limit)
+        merged[r, c] = made
+        score[r, c] = np.where(good, vocabulary.scores[made], -np.inf)
 
-    grid = np.indices((len(words), width - 1)).reshape(2, -1)
-    weigh(*grid)
-    columns = np.arange(width)
+    weigh(*np.nonzero(inside))
     rows = np.arange(len(words))
     while True:
-        at = score[rows].argmax(axis=1)
-        open_ = score[rows, at] > -np.inf
-        rows, at = rows[open_], at[open_]
+        best = score[rows].argmax(axis=1)
+        open_ = score[rows, best] > -np.inf
+        rows, best = rows[open_], best[open_]
         if not len(rows):
             break
-        merged = vocabulary.merge_of(symbols[rows, at], symbols[rows, at + 1])
-        # drop the right part; its pairs go with it
-        shift = np.minimum(columns + (columns > at[:, None]), width - 1)
-        symbols[rows] = np.take_along_axis(symbols[rows], shift, 1)
-        begin[rows] = np.take_along_axis(begin[rows], shift, 1)
-        score[rows] = np.take_along_axis(score[rows], shift, 1)
-        symbols[rows, width - 1], begin[rows, width - 1] = none, size[rows]
-        score[rows, width - 1] = -np.inf
-        symbols[rows, at] = merged
-        left = at > 0
-        weigh(rows[left], at[left] - 1)
-        inner = at < width - 1
-        score[rows[~inner], at[~inner]] = -np.inf
-        weigh(rows[inner], at[inner])
-    counts = (symbols != none).sum(axis=1)
-    return [symbols[r, : counts[r]].tolist() for r in range(len(words))]
+        right = after[rows, best]
+        end = after[rows, right]
+        symbols[rows, best] = merged[rows, best]
+        after[rows, best] = end
+        before[rows, end] = best
+        score[rows, right] = -np.inf
+        alive[rows, right] = False
+        weigh(rows, best)
+        left = before[rows, best]
+        weigh(rows[left >= 0], left[left >= 0])
+    return symbols[alive], alive.sum(axis=1)
 
 
 class DropoutEncoder:
@@ -228,18 +235,22 @@ class DropoutEncoder:
         self.seed, self.dropout = seed, dropout
         self.memories: dict[int, WordMemory] = {}
 
-    def _learn(self, words: list[str], variant: int) -> list[list[int]]:
+    def _learn(self, new: pa.Array, variant: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of words, each with a space before it."""
-        words = [" " + w for w in words]
+        words = [" " + w for w in new.to_pylist()]
         keys = np.array([_word_key(w, self.seed, variant) for w in words], np.uint64)
         # a literal U+2581 must not look like a space
         marked = [w.replace(SPACE, "\0").replace(" ", SPACE) for w in words]
-        found = agendas(self.vocabulary, marked, keys, self.dropout)
-        for k, ids in enumerate(found):
-            if min(ids, default=0) < 0:
+        ids, counts = agendas(self.vocabulary, marked, keys, self.dropout)
+        lost = np.unique(np.searchsorted(np.cumsum(counts), np.flatnonzero(ids < 0), "right"))
+        if len(lost):
+            lists = np.split(ids, np.cumsum(counts)[:-1])
+            for k in lost.tolist():
                 text = marked[k].replace("\0", SPACE) if SPACE in words[k] else marked[k]
-                found[k] = self._with_bytes(ids, text)
-        return found
+                lists[k] = np.array(self._with_bytes(lists[k].tolist(), text), np.int64)
+                counts[k] = len(lists[k])
+            ids = np.concatenate(lists)
+        return ids, counts
 
     def _with_bytes(self, ids: list[int], text: str) -> list[int]:
         out = []

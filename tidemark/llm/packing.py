@@ -4,8 +4,8 @@ A document's ids are cut after every CAPACITY ids; what remains is one more piec
 counted by length class (UNIT ids wide, rounded up), so the histogram has at most
 CAPACITY / UNIT entries at every size of the corpus. On it a linear program chooses
 how often to use each pattern, a multiset of classes that fits a sequence: starting from
-patterns of one class, a knapsack dynamic program over the current prices finds
-the pattern that improves most, until none does. The uses are rounded down, and
+greedy patterns, a knapsack dynamic program over the current prices finds the patterns
+that improve it, until none does. The uses are rounded down, and
 the few pieces per class that are left over are packed by best fit. Then the pieces of
 each class are ranked, and ranks are dealt to the patterns' places.
 
@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.llm.common import keep, longs, table
+from tidemark.llm.common import keep, table
 from tidemark.llm.tokens import encoder
 
 CAPACITY = 2048
@@ -29,57 +29,104 @@ UNIT = 8
 # pieces of one class that are ranked in one group, about
 RANKED = 200_000
 
+# the linear program ends within this share of its optimum
+TOLERANCE = 5e-4
+# patterns that are tried again before the knapsack is asked for others
+KNOWN = 4096
+
 Pattern = tuple[tuple[int, int], ...]
 
 
-def best_pattern(prices: np.ndarray, sizes: np.ndarray, room: int) -> tuple[float, np.ndarray]:
-    """The multiset of sizes with the highest total price that fits the room (knapsack)."""
+def best_patterns(
+    prices: np.ndarray, sizes: np.ndarray, room: int, above: float
+) -> tuple[float, np.ndarray]:
+    """Knapsack over the room: the highest total price of a multiset of sizes that fits.
+
+    Also returns, one per row, the counts of the best multiset that holds each single size,
+    where its price is over ``above``.
+    """
     value = np.zeros(room + 1)
     taken = np.full(room + 1, -1)
+    fits = np.searchsorted(sizes, np.arange(room + 1), "right")
     for w in range(1, room + 1):
-        fits = int(np.searchsorted(sizes, w, "right"))
-        if fits:
-            gains = value[w - sizes[:fits]] + prices[:fits]
-            k = int(gains.argmax())
+        gains = value[w - sizes[: fits[w]]] + prices[: fits[w]]
+        k = int(gains.argmax()) if len(gains) else -1
+        if k >= 0 and gains[k] > value[w - 1]:
             value[w], taken[w] = gains[k], k
-        if value[w - 1] >= value[w]:
-            value[w], taken[w] = value[w - 1], -1
-    counts, w = np.zeros(len(sizes), np.int64), room
-    while w > 0:
-        if taken[w] < 0:
-            w -= 1
         else:
-            counts[taken[w]] += 1
-            w -= int(sizes[taken[w]])
-    return float(value[room]), counts
+            value[w] = value[w - 1]
+    rows = []
+    for k in np.flatnonzero(prices + value[room - sizes] > above).tolist():
+        counts, w = np.zeros(len(sizes), np.int64), room - int(sizes[k])
+        counts[k] = 1
+        while w > 0:
+            if taken[w] < 0:
+                w -= 1
+            else:
+                counts[taken[w]] += 1
+                w -= int(sizes[taken[w]])
+        rows.append(counts)
+    return float(value[room]), np.array(rows, np.int64).reshape(len(rows), len(sizes))
+
+
+def first_patterns(sizes: np.ndarray, demand: np.ndarray, room: int) -> np.ndarray:
+    """A basis of patterns: fill up with the largest sizes left, until one of them is used up.
+
+    A size used up by one pattern is in none of the later ones, so that the patterns are
+    independent; a size that is used up along with another gets a pattern of its own.
+    """
+    left = demand.astype(float)
+    columns = np.diag(room // sizes).astype(float)
+    while (left > 0).any():
+        counts, free = np.zeros(len(sizes)), room
+        for k in np.flatnonzero(left > 0)[::-1].tolist():
+            counts[k] = free // sizes[k]
+            free -= int(counts[k] * sizes[k])
+        used = np.flatnonzero(counts)
+        times = (left[used] / counts[used]).min()
+        left[used] -= times * counts[used]
+        gone = used[left[used] <= 1e-9 * demand[used]]
+        columns[:, gone[0]] = counts
+        left[gone] = 0
+    return columns
 
 
 def column_generation(
     sizes: np.ndarray, demand: np.ndarray, room: int
 ) -> list[tuple[float, np.ndarray]]:
-    """An optimal basis of the cutting-stock program: (uses, counts per size).
+    """A basis of the cutting-stock program within TOLERANCE of its optimum: (uses, counts).
 
     ``sizes`` ascend and fit the room, every demand is positive.
     """
     m = len(sizes)
-    columns = np.diag(room // sizes).astype(float)
-    inverse = np.diag(1 / np.diag(columns))
+    columns = first_patterns(sizes, demand, room)
+    inverse = np.linalg.inv(columns)
     uses = inverse @ demand
-    # each round brings in one pattern; the basis is feasible at any time
-    for _ in range(40 * m):
+    known = np.zeros((0, m))
+    # each step brings in one pattern; the basis is feasible at any time
+    for step in range(40 * m):
         prices = inverse.sum(axis=0)
-        value, counts = best_pattern(prices, sizes, room)
-        if value <= 1 + 1e-7:
-            break
-        step = inverse @ counts
-        rising = step > 1e-9
+        worth = known @ prices
+        if not len(known) or worth.max() <= 1 + TOLERANCE:
+            value, found = best_patterns(prices, sizes, room, 1 + TOLERANCE)
+            # all prices divided by this are a bound from below
+            if value <= 1 + TOLERANCE:
+                break
+            known = np.concatenate([known, found])[-KNOWN:]
+            worth = known @ prices
+        counts = known[int(worth.argmax())]
+        rise = inverse @ counts
+        rising = rise > 1e-9
         ratios = np.full(m, np.inf)
-        ratios[rising] = np.maximum(uses[rising], 0) / step[rising]
+        ratios[rising] = np.maximum(uses[rising], 0) / rise[rising]
         leave = int(ratios.argmin())
         columns[:, leave] = counts
-        pivot = inverse[leave] / step[leave]
-        inverse -= np.outer(step, pivot)
-        inverse[leave] = pivot
+        if step % 200 == 199:
+            inverse = np.linalg.inv(columns)
+        else:
+            pivot = inverse[leave] / rise[leave]
+            inverse -= np.outer(rise, pivot)
+            inverse[leave] = pivot
         uses = inverse @ demand
     return [(float(max(0, u)), c.astype(np.int64)) for u, c in zip(uses, columns.T)]
 

@@ -45,7 +45,7 @@ GRAM = 8
 # bytes from the trigger on that all windows of a trigger contain
 SHORT = LENGTH - SPAN + 1
 # rows of one short name that are looked at together; beyond, a name is split
-CROWD = 20_000
+CROWD = 4096
 SLICE = 16
 # texts of a batch are read in portions of this many bytes
 PORTION = 4 << 20

@@ -38,6 +38,8 @@ PERCENTILE = 98
 # ids in a segment, about: the next document opens a new one
 SEGMENT = 1 << 21
 
+# widths of whole bytes need no shifting
+_WHOLE = {8: ">u1", 16: ">u2", 32: ">u4"}
 _HEAD = struct.Struct("<QQQQ")
 _BLOCK_HEAD = struct.Struct("<IBH")
 
@@ -61,10 +63,7 @@ def pack_ids(ids: np.ndarray) -> list[bytes]:
         for some in np.array_split(rows, len(rows) // 256 + 1):
             part = rest[some]
             outliers = part >> width > 0 if width < 32 else np.zeros_like(part, bool)
-            bits = np.unpackbits(
-                np.where(outliers, 0, part).astype(">u4").view(np.uint8).reshape(-1, 4), axis=1
-            )
-            packed = np.packbits(bits[:, 32 - width :].reshape(len(some), -1), axis=1)
+            packed = _bits(np.where(outliers, 0, part), width)
             for k, row in enumerate(some.tolist()):
                 place = np.flatnonzero(outliers[k])
                 out[row] = b"".join(
@@ -78,6 +77,14 @@ def pack_ids(ids: np.ndarray) -> list[bytes]:
     return out
 
 
+def _bits(values: np.ndarray, width: int) -> np.ndarray:
+    """The lower ``width`` bits of each value, row by row, as bytes."""
+    if width in _WHOLE:
+        return values.astype(_WHOLE[width]).view(np.uint8)
+    bits = np.unpackbits(values.astype(">u4").view(np.uint8).reshape(-1, 4), axis=1)
+    return np.packbits(bits[:, 32 - width :].reshape(len(values), -1), axis=1)
+
+
 def write_segment(doc_ids: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> bytes:
     blocks = pack_ids(ids)
     begin = _HEAD.size + 16 * len(doc_ids) + 8 * len(blocks)
@@ -113,6 +120,9 @@ def read_segment(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         for some in np.array_split(rows, len(rows) // 256 + 1):
             begins = index[some] + _BLOCK_HEAD.size
             packed = octets[begins[:, None] + np.arange(size)]
+            if width in _WHOLE:
+                grid[some] = packed.view(_WHOLE[width])
+                continue
             bits = np.unpackbits(packed, axis=1).reshape(-1, width)
             wide = np.zeros((len(bits), 32), np.uint8)
             wide[:, 32 - width :] = bits
@@ -126,10 +136,13 @@ def read_segment(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return doc_ids, counts, grid.ravel()[:n_ids]
 
 
-def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
+def write_ids(
+    docs: DataFrame, path: str, tokenizer: str, end_id: int, segment: int = SEGMENT
+) -> None:
     """Encode all documents with a byte-level tokenizer file and write segments to ``path``.
 
-    Each document is followed by ``end_id``; a null text counts as empty. The rows
+    Each document is followed by ``end_id``; ``segment`` is about how many ids a segment has;
+    a null text counts as empty. The rows
     (cell, part, piece, n_ids, segment) are in ascending order of doc_id; of rows that
     share a doc_id the smaller text comes first. Documents without a doc_id come last, in
     the order of a hash of their texts, in cells of their own. Other columns are ignored.
@@ -155,7 +168,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
         key, piece = None, 0
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
-        def segment() -> pa.RecordBatch:
+        def closed() -> pa.RecordBatch:
             ids = np.concatenate([h[2] for h in held])
             data = write_segment(*(np.concatenate([h[i] for h in held]) for i in (0, 1)), ids)
             return table(schema, [key[0]], [key[1]], [piece], [len(ids)], [data])
@@ -173,11 +186,11 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
             counts = np.diff(ends, prepend=0)
             doc_ids, cell, part = (longs(batch, c) for c in ("doc_id", "cell", "part"))
             starts = group_starts(batch, ["cell", "part"])
-            cuts = np.union1d(starts, _even_cuts(ends, SEGMENT)).tolist()
+            cuts = np.union1d(starts, _even_cuts(ends, segment)).tolist()
             for s, e in zip(cuts, [*cuts[1:], batch.num_rows]):
-                full = held and sum(len(h[2]) for h in held) >= SEGMENT
+                full = held and sum(len(h[2]) for h in held) >= segment
                 if held and (key != (cell[s], part[s]) or full):
-                    yield segment()
+                    yield closed()
                     held = []
                 if key != (cell[s], part[s]):
                     key, piece = (cell[s], part[s]), 0
@@ -186,7 +199,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
                 ids = with_end[ends[s] - counts[s] : ends[e - 1]]
                 held.append((doc_ids[s:e], counts[s:e], ids))
         if held:
-            yield segment()
+            yield closed()
 
     segments = (
         placed.repartition("cell", "part")

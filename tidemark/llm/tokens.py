@@ -21,20 +21,32 @@ import pyarrow.compute as pc
 
 # words remembered per worker, about 40 bytes each; then it starts afresh
 REMEMBERED = 1 << 21
+ENDS = 1 << 18
 
 _BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
 # letters that every Unicode version and every normal form treats alike
 _LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+# What follows them here begins with an ASCII character, so that no normal form joins the two.
+_STEM_AND_END = r"^(?P<stem>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<end>[\x00-\x7f]*)$"
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
+Learn = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
+
+
+def flattened(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    counts = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.uint32, int(counts.sum())), counts
+
+
 class WordMemory:
     """Ids of words under two hashes of the word, in flat arrays.
 
-    ``learn`` gives the ids of new words. Words are told apart by 64 + 32 bits of hash.
+    ``learn`` gives the ids of new words one after the other, and how many each has. Words are
+    told apart by 64 + 32 bits of hash.
     """
 
-    def __init__(self, learn: Callable[[list[str]], list[list[int]]], limit: int | None = None):
+    def __init__(self, learn: Learn, limit: int | None = None):
         self.learn, self.limit = learn, limit
         self.clear()
 
@@ -56,11 +68,9 @@ class WordMemory:
         found = self._find(keys, checks)
         new = np.flatnonzero(found < 0)
         if len(new):
-            lists = self.learn(words.take(pa.array(new)).to_pylist())
-            counts = np.fromiter(map(len, lists), np.int64, len(lists))
-            flat = np.fromiter(chain.from_iterable(lists), np.uint32, int(counts.sum()))
+            flat, counts = self.learn(words.take(pa.array(new)))
             begins = len(self.ids) + np.cumsum(counts) - counts
-            self.ids = np.concatenate([self.ids, flat])
+            self.ids = np.concatenate([self.ids, flat.astype(np.uint32)])
             keys_now = np.concatenate([self.keys, keys[new]])
             # two sorted runs: a merge
             order = np.argsort(keys_now, kind="stable")
@@ -129,8 +139,10 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.spaces = spaces
-        self.memory = WordMemory(lambda words: self._learn(words, " " * spaces))
-        self.ends: dict[str, list[int]] = {}
+        self.memory = WordMemory(self._learn)
+        # beginnings and ends of words that other words have as well
+        self.stems = WordMemory(self._learn_stems)
+        self.ends = WordMemory(lambda ends: flattened(self._ids(ends.to_pylist())), ENDS)
         # the characters that stand for the bytes of the letters above
         letters = [chr(c) for c in range(256) if _LETTERS.fullmatch(chr(c))] + [" "]
         signs = self.tokenizer.pre_tokenizer.pre_tokenize_str
@@ -161,9 +173,8 @@ class WordEncoder:
             for k in np.unique(np.searchsorted(ends, np.flatnonzero(known), "right")).tolist():
                 own[k] = list(chain.from_iterable(self._whole(texts[k].as_py())))
                 counts[heads[k] : ends[k]] = 0
-            counts[heads] = list(map(len, own))
+            fresh, counts[heads] = flattened(own)
             begins[heads] = len(held) + np.cumsum(counts[heads]) - counts[heads]
-            fresh = np.fromiter(chain.from_iterable(own), np.uint32, int(counts[heads].sum()))
             held = np.concatenate([held, fresh])
         flat = gathered(held, begins, counts)
         return flat, np.concatenate([[0], np.cumsum(counts)])[np.concatenate([[0], ends])]
@@ -175,41 +186,38 @@ class WordEncoder:
     def _ids(self, pieces: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
-    def _learn(self, words: list[str], before: str) -> list[list[int]]:
-        """The ids of words: letters go straight to the merges of the library's model.
-
-        Both patterns cut between a letter and a sign. What follows the letters begins with
-        an ASCII character, so that no normal form joins it to them.
-        """
-        out: list[list[int]] = [[]] * len(words)
-        letters, rest = _LETTERS.match, []
+    def _learn(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of new words. Both patterns cut between a letter and a sign."""
+        parts = pc.extract_regex(words, _STEM_AND_END)
+        whole = parts.is_valid().to_numpy(zero_copy_only=False)
+        pool, begins, counts = [], np.zeros((len(words), 2), np.int64), np.zeros((len(words), 2), int)
+        cut = parts.filter(pa.array(whole))
+        for side, memory in enumerate((self.stems, self.ends)):
+            coded = pc.struct_field(cut, side).dictionary_encode()
+            at = coded.indices.to_numpy(zero_copy_only=False)
+            first, size = memory.look_up(coded.dictionary)
+            begins[whole, side] = first[at] + sum(map(len, pool))
+            counts[whole, side] = size[at]
+            pool.append(memory.ids)
+        rest = words.filter(pa.array(~whole)).to_pylist()
+        flat, size = flattened(self._ids([" " * self.spaces + w for w in rest]))
+        begins[~whole, 0] = np.cumsum(size) - size + sum(map(len, pool))
+        counts[~whole, 0] = size
+        ids = gathered(np.concatenate([*pool, flat]), begins.ravel(), counts.ravel())
+        return ids, counts.sum(axis=1)
+
+    def _learn_stems(self, stems: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Letters go straight to the merges of the library's model."""
         merge, signs = self.tokenizer.model.tokenize, self.signs
+        # the normaliser of the vocabulary without spaces lower-cases
+        texts = [" " + w if self.spaces else w.lower() for w in stems.to_pylist()]
         collecting = gc.isenabled()
         # millions of small lists without cycles
         gc.disable()
-        for k, word in enumerate(words):
-            stem = letters(word)
-            end = word[stem.end() :] if stem else ""
-            if not stem or not end.isascii():
-                rest.append(k)
-                continue
-            # the normaliser of the vocabulary without spaces lower-cases
-            start = before + stem[0] if self.spaces else stem[0].lower()
-            ids = [t.id for t in merge(start.translate(signs))]
-            out[k] = ids + self._end(end) if end else ids
+        found = flattened([[t.id for t in merge(x.translate(signs))] for x in texts])
         if collecting:
             gc.enable()
-        for k, ids in zip(rest, self._ids([before + words[k] for k in rest])):
-            out[k] = ids
-        return out
-
-    def _end(self, end: str) -> list[int]:
-        ids = self.ends.get(end)
-        if ids is None:
-            if len(self.ends) > 100_000:
-                self.ends.clear()
-            ids = self.ends[end] = self._ids([end])[0]
-        return ids
+        return found
 
 
 def _edged(words: pa.Array) -> np.ndarray:
