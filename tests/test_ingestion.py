@@ -7,6 +7,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators.history import HistoryTable
 from tidemark.plans import silver
 from tidemark.sources import load
 from tidemark.sources.paths import read_if_present
@@ -284,6 +285,81 @@ def test_late_month_stops_the_run_and_replay_repairs_it(spark, tmp_path):
     assert versions(warehouse) == HOST_VERSIONS
 
 
+def test_a_run_after_a_replay_brings_the_forgotten_months_back(spark, tmp_path):
+    source, root = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    for name, rows in MONTHS.items():
+        write_month(source, name, rows)
+    warehouse = IncrementalWarehouse(spark, root, areas(spark))
+    run_incremental(warehouse, str(source))
+    kept = {
+        path.name: path.stat().st_mtime_ns
+        for path in (tmp_path / "out/gold/fact_listings/month_date=2020-05-01").glob("part-*")
+    }
+    assert warehouse.replay(dt.date(2020, 12, 1)) == ["12_2020.csv", "01_2021.csv"]
+    assert [f[1] for f in facts(warehouse)] == ["2020-05-01", "2020-05-01"]
+    run_incremental(warehouse, str(source))
+    assert facts(warehouse) == EXPECTED
+    assert versions(warehouse) == HOST_VERSIONS
+    # the months before were not written again
+    assert kept == {
+        path.name: path.stat().st_mtime_ns
+        for path in (tmp_path / "out/gold/fact_listings/month_date=2020-05-01").glob("part-*")
+    }
+
+
+def test_open_versions_of_old_batches_are_removed(spark, tmp_path):
+    table = HistoryTable(spark, str(tmp_path / "h"), "k", "at")
+    days = [dt.date(2020, m, 1) for m in range(1, 6)]
+    for day in days:
+        table.apply(spark.createDataFrame([(1, day), (2, day)], "k INT, at DATE"))
+    before = sorted(map(tuple, table.read().collect()))
+    gone = table.vacuum()
+    assert [path.split("/versions/")[1] for path in gone] == [
+        f"batch={b}/state=open" for b in (1, 2, 3)
+    ]
+    assert sorted(map(tuple, table.read().collect())) == before
+    assert table.vacuum() == []
+    table.cut(dt.date(2020, 3, 1))
+    got = sorted((r["k"], str(r["valid_from"]), str(r["valid_to"])) for r in table.read().collect())
+    assert got == [
+        (k, *bounds) for k in (1, 2)
+        for bounds in (("2020-01-01", "2020-02-01"), ("2020-02-01", "None"))
+    ]
+
+
+def test_area_and_suburb_files_make_histories(spark, tmp_path):
+    warehouse = IncrementalWarehouse(spark, str(tmp_path / "out"))
+
+    def file(rows, columns, day):
+        kind = ", ".join(f"{c} STRING" for c in columns)
+        return spark.createDataFrame(rows, kind).withColumn(
+            "loaded_at", F.lit(day).cast("timestamp")
+        )
+
+    names = ("lga_code", "lga_name")
+    with pytest.raises(ValueError, match="no area file"):
+        warehouse.load_suburbs(file([], ("lga_name", "suburb_name"), "2020-05-01"), "s1.csv")
+    assert warehouse.load_areas(file([("1", "Old")], names, "2020-05-01"), "a1.csv")
+    assert not warehouse.load_areas(file([("1", "Other")], names, "2020-06-01"), "a1.csv")
+    own = ("lga_name", "suburb_name")
+    assert warehouse.load_suburbs(file([("OLD", "Bondi")], own, "2020-05-01"), "s1.csv")
+    assert warehouse.load_areas(file([("1", "New"), ("2", "Far")], names, "2020-07-09"), "a2.csv")
+    assert warehouse.load_suburbs(file([("FAR", "Bondi")], own, "2020-07-09"), "s2.csv")
+    areas_ = sorted(
+        (r.lga_code, r.lga_name, str(r.valid_from), str(r.valid_to))
+        for r in warehouse.dim_lga().collect()
+    )
+    assert areas_ == [
+        (1, "New", "2020-07-01", "9999-12-31"), (1, "Old", "1900-01-01", "2020-07-01"),
+        (2, "Far", "1900-01-01", "9999-12-31"),
+    ]
+    suburbs_ = sorted(
+        (r.suburb_name, r.lga_code, str(r.valid_from)) for r in warehouse.dim_suburb().collect()
+    )
+    assert suburbs_ == [("Bondi", 1, "1900-01-01"), ("Bondi", 2, "2020-07-01")]
+
+
 def test_rerun_after_a_crash_repeats_nothing(spark, tmp_path, monkeypatch):
     source = tmp_path / "in"
     source.mkdir()

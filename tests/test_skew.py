@@ -99,3 +99,13 @@ def test_marts_join_once_and_leave_unwanted_medians_out(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_a_month_of_the_fact_is_one_partition(spark):
+    from tidemark.catalogue import tables as t
+    from tidemark.operators import quality
+
+    fact = t.star(spark, "/root/testdata/sf0.001").fact
+    total = quality.period_total(fact, "1997-05-01")
+    plan = total._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month_date" in plan

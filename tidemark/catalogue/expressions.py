@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.catalogue import query
 from tidemark.catalogue import tables as t
-from tidemark.catalogue.sql import dbl, rounded
+from tidemark.catalogue.sql import dbl, half_up
 from tidemark.catalogue.tables import plain
 from tidemark.functions import dates, numbers, text
 from tidemark.operators.aggregates import bucketize
@@ -105,12 +105,15 @@ def expression_dates(spark, sf_dir):
     )
 
 
+_CENTS = "cast(cast(o_totalprice as decimal(12,2)) * 100 as bigint)"
+
+
 @query(
     "expression_numbers",
-    f"""select o_orderkey, {rounded("cast(o_totalprice as decimal(12,2)) / 7", 1)} as one_digit,
-      {rounded("cast(o_totalprice as decimal(12,2)) / 7", 3)} as three_digits,
+    f"""select o_orderkey, {half_up(_CENTS, "700", 1)} as one_digit,
+      {half_up(_CENTS, "700", 3)} as three_digits,
       format('{{:,}}', cast(round(cast(o_totalprice as decimal(12,2)), 0) as bigint)) as grouped,
-      {rounded("100.0 * o_orderkey / nullif(o_custkey, 0)", 2)} as guarded,
+      {half_up("100 * o_orderkey", "nullif(o_custkey, 0)", 2)} as guarded,
       coalesce(nullif(o_orderstatus, 'P'), 'none') as filled
     from orders""",
 )

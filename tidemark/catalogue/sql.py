@@ -9,6 +9,12 @@ def rounded(expression: str, digits: int) -> str:
     return f"cast(round(cast({expression} as decimal(30,6)), {digits}) as double)"
 
 
+def half_up(numerator: str, denominator: str, digits: int) -> str:
+    """A quotient of two whole numbers from 0 on, rounded half up by whole-number arithmetic."""
+    whole = f"cast({2 * 10**digits} as hugeint) * {numerator} + {denominator}"
+    return f"cast(({whole}) // (2 * {denominator}) as double) / {10**digits}"
+
+
 def dbl(expression: str) -> str:
     return f"cast({expression} as double)"
 

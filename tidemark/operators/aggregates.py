@@ -89,10 +89,11 @@ def exact_median(
 ) -> DataFrame:
     """Interpolated median per group, exact, without holding a group in one task.
 
-    ``weight`` names a column that says how often a row's value counts. Equal values are counted first (partial counts before the shuffle, spread by
-    key *and* value). The middle positions are then followed down a scale of
-    10**6-wide cells: each window runs over the cells of a group, or the values
-    inside its one or two middle cells, never over the group's rows.
+    ``weight`` names a column that says how often a row's value counts. Equal values are
+    counted first (partial counts before the shuffle, spread by key *and* value). The middle
+    positions are then followed down a scale of 10**6-wide cells: each window runs over the
+    cells of a group, or the values inside its one or two middle cells, never over the
+    group's rows.
     """
     units, precision, scale = scaled_units(df, column)
     keys = list(keys)

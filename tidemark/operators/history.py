@@ -6,6 +6,7 @@ and ``valid_to`` (NULL while the version is open).
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -138,6 +139,32 @@ class HistoryTable:
         self._write(stepped, batch + 1, base)
         return batch + 1
 
+    def cut(self, period: dt.date) -> int:
+        """Forget every version that started at ``period`` or later and reopen the ones before."""
+        started = F.col("valid_from") < F.lit(period)
+        reopened = F.when(F.col("valid_to") < F.lit(period), F.col("valid_to"))
+        return self.replace(self.read().filter(started).withColumn("valid_to", reopened))
+
+    def vacuum(self, keep: int = 1) -> list[str]:
+        """Empty the partitions that no reader needs; returns them.
+
+        Open versions are copied by every batch, so those more than ``keep`` batches behind the
+        last commit go, and everything behind the batch that the history starts at. A reader
+        that began before the last ``keep`` batches has to start over.
+        """
+        batch, base = self._last_commit()
+        if batch == 0:
+            return []
+        old_open = (F.col("state") == "open") & (F.col("batch") < batch - keep)
+        unread = F.col("batch") < F.least(F.lit(base), F.lit(batch - keep))
+        # partition values only
+        stale = self._versions().filter(old_open | unread).select("batch", "state").distinct()
+        paths = [f"{self.path}/versions/batch={r['batch']}/state={r['state']}" for r in stale.collect()]
+        empty = self._versions().drop("batch", "state").limit(0)
+        for path in paths:
+            empty.write.mode("overwrite").parquet(path)
+        return sorted(paths)
+
     def replace(self, history: DataFrame) -> int:
         """Start over from a rebuilt history; earlier batches are no longer read."""
         batch = self._last_commit()[0] + 1

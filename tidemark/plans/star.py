@@ -170,7 +170,9 @@ def _write_all(
 
     def write(name: str) -> DataFrame | None:
         df = frames[name]()
-        return df if df is None else write_table(df, root, "gold", name)
+        # readers of one month open one partition
+        by = "month_date" if name == "fact" else None
+        return df if df is None else write_table(df, root, "gold", name, by)
 
     spark = SparkSession.active()
     with ThreadPoolExecutor(len(frames)) as pool:
