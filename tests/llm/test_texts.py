@@ -99,7 +99,7 @@ def test_licenses_are_found_in_any_spelling(make_docs):
     rows = licenses.scan(docs).collect()
     assert len(rows) == 9
     got = {r["doc_id"]: (r["license_id"], r["notices"]) for r in rows}
-    assert got[1] == ("MIT", "") and got[2] == (None, "") and got[3] == got[4] == (None, "")
+    assert got[1] == ("MIT", "MIT-text") and got[2] == (None, "") and got[3] == got[4] == (None, "")
     assert got[5] == (None, "MIT-notice")
     assert got[6] == ("CC-BY-4.0-notice", "CC-BY-4.0-notice")
     assert got[7] == ("MIT-notice", "MIT-notice") and got[None] == ("MIT-notice", "")
