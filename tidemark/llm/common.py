@@ -16,6 +16,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.session import shared_dir
 
 
+# Workers stay for the next task: give the memory of a batch back to the system.
+pa.set_memory_pool(pa.system_memory_pool())
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -98,6 +102,17 @@ def sorted_groups(
         yield _joined(rest)
 
 
+def group_slices(
+    batches: Iterator[pa.RecordBatch], keys: list[str], rows: int
+) -> Iterator[pa.RecordBatch]:
+    """``sorted_groups`` in smaller portions: whole groups, of about ``rows`` rows together."""
+    for batch in sorted_groups(batches, keys):
+        starts = group_starts(batch, keys)
+        cuts = starts[np.flatnonzero(np.diff(starts // rows, prepend=-1))].tolist()
+        for s, e in zip(cuts, [*cuts[1:], batch.num_rows]):
+            yield batch.slice(s, e - s)
+
+
 def group_starts(batch: pa.RecordBatch, keys: list[str]) -> np.ndarray:
     """Rows at which a new key begins, the first row included."""
     new = np.zeros(batch.num_rows, bool)

@@ -37,7 +37,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import fresh, keep, longs, raw_texts, sorted_groups, table
+from tidemark.llm.common import fresh, group_slices, keep, longs, raw_texts, table
 
 LENGTH = 200
 SPAN = 128
@@ -47,6 +47,8 @@ SHORT = LENGTH - SPAN + 1
 # rows of one short name that are looked at together; beyond, a name is split
 CROWD = 4096
 SLICE = 16
+# rows whose windows are compared at a time, about
+GROUPED = 2000
 # texts of a batch are read in portions of this many bytes
 PORTION = 4 << 20
 
@@ -281,7 +283,7 @@ def dictionary_order(rows: DataFrame) -> DataFrame:
     keys = ["name", "place"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sorted_groups(batches, keys):
+        for batch in group_slices(batches, keys, GROUPED):
             name, place = longs(batch, "name"), longs(batch, "place")
             cid, start, lead = longs(batch, "cid"), longs(batch, "start"), longs(batch, "lead")
             held = batch.column("context").to_pylist()

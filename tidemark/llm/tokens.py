@@ -19,8 +19,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# words remembered per worker, about 40 bytes each; then it starts afresh
-REMEMBERED = 1 << 21
+# words, and beginnings and ends of words, that a worker remembers, about 40 bytes each;
+# beyond that it starts afresh
+REMEMBERED = 1 << 20
+STEMS = 1 << 20
 ENDS = 1 << 18
 
 _BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
@@ -141,7 +143,7 @@ class WordEncoder:
         self.spaces = spaces
         self.memory = WordMemory(self._learn)
         # beginnings and ends of words that other words have as well
-        self.stems = WordMemory(self._learn_stems)
+        self.stems = WordMemory(self._learn_stems, STEMS)
         self.ends = WordMemory(lambda ends: flattened(self._ids(ends.to_pylist())), ENDS)
         # the characters that stand for the bytes of the letters above
         letters = [chr(c) for c in range(256) if _LETTERS.fullmatch(chr(c))] + [" "]
