@@ -170,6 +170,47 @@ def test_dropout_query_and_odd_documents(spark, odd_docs, make_docs):
     assert back == sorted(r["text"] or "" for r in odd_docs.collect())
     assert merge_dropout.encode(make_docs([]), PIECES, 1, 0.3).collect() == []
 
+def test_every_occurrence_is_dropped_out_anew(make_docs):
+    known = merge_dropout.vocabulary(PIECES)
+    one = merge_dropout.DropoutEncoder(PIECES, 7, 0.1)
+    within = encoded(one, ["international " * 2000 + "end"])[0]
+    text = "".join(known.bytes_of[i].decode() for i in within)
+    assert text == " international" * 2000 + " end"
+    forms, form = set(), []
+    for i in within:
+        if known.bytes_of[i].startswith(b" ") and form:
+            forms.add(tuple(form))
+            form = []
+        form.append(i)
+    assert len(forms) > 20
+    rows = merge_dropout.encode(
+        make_docs([(i, "international") for i in range(2000)]), PIECES, 7, 0.1
+    ).collect()
+    assert len({bytes(r["ids"]) for r in rows}) > 20
+
+
+@pytest.mark.parametrize("dropout", [0.1, 0.5])
+def test_remembered_walks_equal_the_agenda_of_each_occurrence(monkeypatch, dropout):
+    monkeypatch.setattr(merge_dropout, "REMEMBERED", 300)
+    monkeypatch.setattr(merge_dropout, "DECIDED", 64)
+    one = merge_dropout.DropoutEncoder(PIECES, 3, dropout)
+    whole, decided = one._occurrences, []
+
+    def check(words, at, keys):
+        flat, counts = whole(words, at, keys)
+        own = [" " + words[int(k)].as_py() for k in at]
+        for w, k, got in zip(own, keys, np.split(flat, np.cumsum(counts)[:-1])):
+            marked = merge_dropout._marked([w])[0]
+            ids = merge_dropout.agenda(one.vocabulary, marked, int(k), dropout)
+            assert got.tolist() == one._with_bytes(ids, w if merge_dropout.SPACE in w else marked)
+            decided.append(w)
+        return flat, counts
+
+    monkeypatch.setattr(one, "_occurrences", check)
+    for _ in range(2):
+        encoded(one, odd_texts()[:60] + ["the international organisation " * 100, "y" * 60])
+    assert len(decided) > 1000
+
 
 # --- packing -------------------------------------------------------------------------------
 

@@ -4,15 +4,16 @@ A word (with the spaces before it) starts as single characters. The agenda holds
 adjacent pairs whose concatenation is a piece of the vocabulary; the pair with the highest
 score is merged first, of equal ones the leftmost. With dropout each candidate is
 skipped for good with a given probability. The decision is a keyed hash of the seed, the
-variant, the word, and where the two parts lie in it, so that a rerun, a retry or
-another partitioning gives the same ids, while other seeds and variants give
-others. A document's variant is a hash of its id. Characters that are no piece become
-bytes, and so does U+2581, which stands for the space in the vocabulary; thus every
-text decodes to itself.
-
-No piece of these vocabularies goes on after a space, so words can be handled one by one; the
-ids of a word are remembered per worker up to a bound. New words of a batch walk their agendas
-side by side, one merge of every word in each step; very long ones use a heap.
+document's id, the word's place in the document, and where the two parts lie in the word, so
+that a rerun, a retry or another partitioning gives the same ids, while every occurrence
+of a word is decided anew. Characters that are no piece become bytes, and so does U+2581,
+which stands for the space in the vocabulary; thus every text decodes to itself.
+
+No piece of these vocabularies goes on after a space, so words can be handled one by one. The
+ids depend on the word and on the candidates that are skipped, and on nothing else, so they are
+remembered per worker for each word and set of skipped candidates, up to a bound; the
+decisions themselves are made for every occurrence. New words walk their agendas side by
+side, one merge of every word in each step; very long ones use a heap.
 """
 
 from __future__ import annotations
@@ -21,8 +22,8 @@ import hashlib
 import heapq
 import re
 import zlib
-from collections.abc import Iterator
-from functools import cache, partial
+from collections.abc import Callable, Iterator
+from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -31,16 +32,19 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import table
+from tidemark.llm.common import longs, table
 from tidemark.llm.tokens import WordMemory, gathered
 
 SPACE = "▁"
-# variants of one seed, dealt to the documents
-VARIANTS = 4
 # words of more characters are merged with a heap
 SIDE_BY_SIDE = 48
-# words remembered per worker
-REMEMBERED = 1 << 21
+# sets of skipped candidates of all words that are remembered per worker, before it starts
+# afresh; at twice as many, which one batch can reach, occurrences are walked one by one
+REMEMBERED = 3 << 19
+# words with more candidates are walked for every occurrence
+MOST_CANDIDATES = 40
+# occurrences that are decided at a time
+DECIDED = 1 << 15
 
 _WORDS = re.compile(" *[^ ]+| +$")
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -93,12 +97,16 @@ def _word_key(word: str, seed: int, variant: int) -> int:
     return xxhash.xxh64_intdigest(word.encode(), (seed * 1_000_003 + variant) & (1 << 64) - 1)
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
 def _skipped(key: np.ndarray, ends: np.ndarray, middle: np.ndarray, limit: int) -> np.ndarray:
     """Whether the keyed hash of each candidate, named by its two ends and its middle, skips it."""
     x = key + (ends.astype(np.uint64) << np.uint64(32) | middle.astype(np.uint64)) * _STEP
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return (x ^ (x >> np.uint64(31))) < np.uint64(limit)
+    return _mixed(x) < np.uint64(limit)
 
 
 def _skips(key: int, ends: int, middle: int, limit: int) -> bool:
@@ -161,9 +169,15 @@ def agendas(
     short = order[lengths[order] <= SIDE_BY_SIDE]
     parts = [np.zeros(0, np.int64)]
     counts = np.zeros(len(words), np.int64)
+    limit = _limit(dropout)
     for some in np.array_split(short, len(short) // 8192 + 1):
         if len(some):
-            ids, each = _side_by_side(vocabulary, [words[k] for k in some], keys[some], dropout)
+            own = keys[some]
+
+            def skip(r: np.ndarray, c: np.ndarray, middle: np.ndarray, end: np.ndarray):
+                return _skipped(own[r], c << 16 | end, middle, limit)
+
+            ids, each = _side_by_side(vocabulary, [words[k] for k in some], skip if limit else None)
             parts.append(ids)
             counts[some] = each
     for k in order[len(short) :].tolist():
@@ -176,10 +190,16 @@ def agendas(
 
 
 def _side_by_side(
-    vocabulary: Vocabulary, words: list[str], keys: np.ndarray, dropout: float
+    vocabulary: Vocabulary,
+    words: list[str],
+    skip: Callable[..., np.ndarray] | None,
+    met: list[tuple[np.ndarray, ...]] | None = None,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols are linked lists in one row per word; a symbol stands where its text begins."""
-    limit = _limit(dropout)
+    """Symbols are linked lists in one row per word; a symbol stands where its text begins.
+
+    ``skip`` tells for rows, beginnings, middles and ends of candidates which of them are
+    skipped; those that are not are added to ``met``.
+    """
     size = np.fromiter(map(len, words), np.int64, len(words))
     # the column after a word's last character stands for its end
     width = int(size.max()) + 1
@@ -203,8 +223,10 @@ def _side_by_side(
         middle = after[r, c]
         made = vocabulary.merge_of(symbols[r, c], symbols[r, middle])
         good = made >= 0
-        if limit:
-            good &= ~_skipped(keys[r], c << 16 | after[r, middle], middle, limit)
+        if skip:
+            good &= ~skip(r, c, middle, after[r, middle])
+        if met is not None:
+            met.append((r[good], _packed(c[good], middle[good], after[r, middle][good])))
         merged[r, c] = made
         score[r, c] = np.where(good, vocabulary.scores[made], -np.inf)
 
@@ -229,27 +251,118 @@ def _side_by_side(
     return symbols[alive], alive.sum(axis=1)
 
 
+def _packed(begin: np.ndarray, middle: np.ndarray, end: np.ndarray) -> np.ndarray:
+    return (begin << 12 | middle << 6 | end).astype(np.uint32)
+
+
+def agendas_without(
+    vocabulary: Vocabulary, words: list[str], skips: np.ndarray, counts: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """As ``agendas``, for words of SIDE_BY_SIDE characters at most, with named candidates skipped.
+
+    ``counts`` of the packed ``skips`` belong to each word. Also gives the packed candidates
+    that were met and not skipped, and how many of them each word has.
+    """
+    order = np.argsort(np.fromiter(map(len, words), np.int64, len(words)), kind="stable")
+    firsts = np.cumsum(counts) - counts
+    parts, found = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
+    sizes, many = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+    for some in np.array_split(order, len(words) // 8192 + 1):
+        if not len(some):
+            continue
+        held = np.repeat(np.arange(len(some)), counts[some]) << 18
+        held = np.sort(held | gathered(skips, firsts[some], counts[some]))
+
+        def skip(r: np.ndarray, c: np.ndarray, middle: np.ndarray, end: np.ndarray):
+            want = r << 18 | _packed(c, middle, end)
+            return held[np.minimum(np.searchsorted(held, want), len(held) - 1)] == want
+
+        met: list[tuple[np.ndarray, ...]] = []
+        chosen = [words[k] for k in some.tolist()]
+        ids, sizes[some] = _side_by_side(vocabulary, chosen, skip if len(held) else None, met)
+        rows = np.concatenate([r for r, _ in met])
+        parts.append(ids)
+        found.append(np.concatenate([c for _, c in met])[np.argsort(rows, kind="stable")])
+        many[some] = np.bincount(rows, minlength=len(some))
+    out = []
+    for values, size in ((np.concatenate(parts), sizes), (np.concatenate(found), many)):
+        begins = np.zeros(len(words), np.int64)
+        begins[order] = np.cumsum(size[order]) - size[order]
+        out += [gathered(values, begins, size), size]
+    return out[0], out[1], out[2], out[3]
+
+
+class _Runs:
+    """Runs of numbers by number of the run, one after the other."""
+
+    def __init__(self, kind: type):
+        self.values = np.zeros(0, kind)
+        self.begins = np.zeros(0, np.int64)
+        self.counts = np.zeros(0, np.int64)
+
+    def add(self, values: np.ndarray, counts: np.ndarray) -> None:
+        begins = len(self.values) + np.cumsum(counts) - counts
+        self.values = np.concatenate([self.values, values.astype(self.values.dtype)])
+        self.begins = np.concatenate([self.begins, begins])
+        self.counts = np.concatenate([self.counts, counts])
+
+    def of(self, runs: np.ndarray) -> np.ndarray:
+        return gathered(self.values, self.begins[runs], self.counts[runs])
+
+
 class DropoutEncoder:
+    """Walks are numbered: one per word and set of skipped candidates.
+
+    A walk holds its ids and the candidates that it met and did not skip. An occurrence begins
+    at the walk of its word without skips; where the occurrence's key skips candidates
+    that the walk met, it goes on to the walk that skips these as well, until none is left.
+    """
+
     def __init__(self, path: str, seed: int, dropout: float):
         self.vocabulary = vocabulary(path)
         self.seed, self.dropout = seed, dropout
-        self.memories: dict[int, WordMemory] = {}
-
-    def _learn(self, new: pa.Array, variant: int) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of words, each with a space before it."""
+        self.clear()
+
+    def clear(self) -> None:
+        # the first walk of each word
+        self.memory = WordMemory(self._learn, 4 * REMEMBERED)
+        self.ids, self.met, self.skips = _Runs(np.uint32), _Runs(np.uint32), _Runs(np.uint32)
+        # walks that follow: the walk before and which of its candidates are skipped
+        self.nexts = np.zeros(0, np.int64)
+        self.walks = np.zeros(0, np.int64)
+
+    def _learn(self, new: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The first walks of words, each with a space before it."""
         words = [" " + w for w in new.to_pylist()]
-        keys = np.array([_word_key(w, self.seed, variant) for w in words], np.uint64)
-        # a literal U+2581 must not look like a space
-        marked = [w.replace(SPACE, "\0").replace(" ", SPACE) for w in words]
-        ids, counts = agendas(self.vocabulary, marked, keys, self.dropout)
+        none = np.zeros(0, np.uint32)
+        return self._walk(words, none, np.zeros(len(words), np.int64)), np.ones(len(words), int)
+
+    def _walk(self, words: list[str], skips: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The numbers of new walks. A word of too many characters has no ids and no candidates."""
+        short = np.fromiter((len(w) <= SIDE_BY_SIDE for w in words), bool, len(words))
+        some = [w if s else "" for w, s in zip(words, short.tolist())]
+        ids, sizes, met, many = agendas_without(self.vocabulary, _marked(some), skips, counts)
+        begin = len(self.ids.begins)
+        self.ids.add(*self._in_bytes(some, ids, sizes))
+        self.met.add(met, many)
+        self.skips.add(skips, counts)
+        return np.arange(begin, begin + len(words))
+
+    def _in_bytes(
+        self, words: list[str], ids: np.ndarray, counts: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """``ids`` with bytes for characters that are no piece."""
         lost = np.unique(np.searchsorted(np.cumsum(counts), np.flatnonzero(ids < 0), "right"))
         if len(lost):
-            lists = np.split(ids, np.cumsum(counts)[:-1])
+            begins = np.cumsum(counts) - counts
+            parts, end = [ids], len(ids)
             for k in lost.tolist():
-                text = marked[k].replace("\0", SPACE) if SPACE in words[k] else marked[k]
-                lists[k] = np.array(self._with_bytes(lists[k].tolist(), text), np.int64)
-                counts[k] = len(lists[k])
-            ids = np.concatenate(lists)
+                text = words[k] if SPACE in words[k] else _marked([words[k]])[0]
+                own = ids[begins[k] : begins[k] + counts[k]].tolist()
+                parts.append(np.array(self._with_bytes(own, text), np.int64))
+                begins[k], counts[k] = end, len(parts[-1])
+                end += len(parts[-1])
+            ids = gathered(np.concatenate(parts), begins, counts)
         return ids, counts
 
     def _with_bytes(self, ids: list[int], text: str) -> list[int]:
@@ -261,19 +374,23 @@ class DropoutEncoder:
                 out.extend(self.vocabulary.byte_ids[b] for b in text[-1 - i].encode())
         return out
 
-    def encode(self, texts: pa.Array, variant: int) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts one after the other, and where each text's ids begin and end."""
-        if variant not in self.memories:
-            learn = partial(self._learn, variant=variant)
-            self.memories[variant] = WordMemory(learn, REMEMBERED // VARIANTS)
-        memory = self.memories[variant]
+    def encode(
+        self, texts: pa.Array, keys: np.ndarray | int
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and where each text's ids begin and end.
+
+        ``keys`` tell the documents apart.
+        """
+        if len(self.ids.begins) > REMEMBERED:
+            self.clear()
         # where words are parted by single spaces, each is one space and the word
         odd = pc.or_(pc.match_substring(texts, "  "), pc.ends_with(texts, " "))
         odd = pc.or_(odd, pc.or_(pc.starts_with(texts, " "), pc.equal(texts, "")))
         cut = pc.split_pattern(pc.if_else(odd, "", texts), " ")
         coded = cut.flatten().dictionary_encode()
         at = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        ends = np.cumsum(cut.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
+        sizes = cut.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        begins = np.cumsum(sizes) - sizes
         # the others are cut before each run of spaces, and after the last word
         others = np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist()
         pieces = [
@@ -281,18 +398,103 @@ class DropoutEncoder:
             for k in others
         ]
         more = {p: n for n, p in enumerate(dict.fromkeys(chain.from_iterable(pieces)))}
-        words = pa.concat_arrays([coded.dictionary, pa.array(list(more), pa.string())])
-        begins, counts = memory.look_up(words)
-        first, size = begins[at], counts[at]
-        extra, end = [memory.ids], len(memory.ids)
+        extra, end = [at], len(at)
         for k, own in zip(others, pieces):
-            rows = [len(coded.dictionary) + more[p] for p in own]
-            ids = gathered(memory.ids, begins[rows], counts[rows])
-            first[ends[k] - 1], size[ends[k] - 1] = end, len(ids)
-            end += len(ids)
-            extra.append(ids)
-        flat = gathered(np.concatenate(extra), first, size)
-        return flat, np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], ends])]
+            extra.append(np.array([len(coded.dictionary) + more[p] for p in own], np.int64))
+            begins[k], sizes[k] = end, len(own)
+            end += len(own)
+        words = pa.concat_arrays([coded.dictionary, pa.array(list(more), pa.string())])
+        at = gathered(np.concatenate(extra), begins, sizes)
+        ends = np.cumsum(sizes)
+        place = np.arange(len(at)) - np.repeat(ends - sizes, sizes)
+        seed = np.uint64(xxhash.xxh64_intdigest(b"", self.seed & (1 << 64) - 1))
+        base = _mixed(np.broadcast_to(np.asarray(keys), len(texts)).astype(np.uint64) * _STEP + seed)
+        own = _mixed(np.repeat(base, sizes) + place.astype(np.uint64) * _STEP)
+        flat, counts = self._occurrences(words, at, own)
+        return flat, np.concatenate([[0], np.cumsum(counts)])[np.concatenate([[0], ends])]
+
+    def _occurrences(
+        self, words: pa.Array, at: np.ndarray, keys: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of occurrences of ``words``, and how many each has."""
+        first, _ = self.memory.look_up(words)
+        walk = self.memory.ids[first].astype(np.int64)[at]
+        alone = (pc.utf8_length(words).to_numpy(zero_copy_only=False) >= SIDE_BY_SIDE)[at]
+        open_ = np.flatnonzero(~alone) if self.dropout > 0 else alone[:0].nonzero()[0]
+        while len(open_):
+            many = (self.met.counts[walk[open_]] > MOST_CANDIDATES) | (
+                walk[open_] >= 2 * REMEMBERED
+            )
+            alone[open_[many]] = True
+            open_ = open_[~many]
+            masks = np.zeros(len(open_), np.int64)
+            for k in range(0, len(open_), DECIDED):
+                some = open_[k : k + DECIDED]
+                masks[k : k + DECIDED] = self._masks(walk[some], keys[some])
+            open_, masks = open_[masks > 0], masks[masks > 0]
+            walk[open_] = self._next(walk[open_], masks, words, at[open_])
+        begins, counts = self.ids.begins[walk], self.ids.counts[walk]
+        held = self.ids.values
+        rows = np.flatnonzero(alone)
+        if len(rows):
+            own = [" " + w for w in words.take(pa.array(at[rows])).to_pylist()]
+            ids, sizes = agendas(self.vocabulary, _marked(own), keys[rows], self.dropout)
+            ids, counts[rows] = self._in_bytes(own, ids, sizes)
+            begins[rows] = len(held) + np.cumsum(counts[rows]) - counts[rows]
+            held = np.concatenate([held, ids.astype(np.uint32)])
+        return gathered(held, begins, counts), counts
+
+    def _masks(self, walk: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Which candidates of its walk each occurrence skips, one bit each."""
+        counts = self.met.counts[walk]
+        met = self.met.of(walk).astype(np.int64)
+        row = np.repeat(np.arange(len(walk)), counts)
+        skipped = np.flatnonzero(
+            _skipped(
+                keys[row], met >> 12 << 16 | met & 63, met >> 6 & 63, _limit(self.dropout)
+            )
+        )
+        masks = np.zeros(len(walk), np.int64)
+        if len(skipped):
+            row = row[skipped]
+            bits = np.int64(1) << skipped - (np.cumsum(counts) - counts)[row]
+            new = np.flatnonzero(np.diff(row, prepend=-1))
+            masks[row[new]] = np.add.reduceat(bits, new)
+        return masks
+
+    def _next(
+        self, walk: np.ndarray, masks: np.ndarray, words: pa.Array, at: np.ndarray
+    ) -> np.ndarray:
+        """The walks of words that skip the masked candidates as well."""
+        wanted, one, where = np.unique(
+            walk << MOST_CANDIDATES | masks, return_index=True, return_inverse=True
+        )
+        place = np.searchsorted(self.nexts, wanted)
+        known = np.zeros(len(wanted), bool)
+        if len(self.nexts):
+            known = self.nexts[np.minimum(place, len(self.nexts) - 1)] == wanted
+        new = np.flatnonzero(~known)
+        if len(new):
+            before = walk[one[new]]
+            own = [" " + w for w in words.take(pa.array(at[one[new]])).to_pylist()]
+            counts = self.met.counts[before]
+            step = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+            chosen = np.repeat(masks[one[new]], counts) >> step & 1 > 0
+            row = np.repeat(np.arange(len(new)), counts)[chosen]
+            older = self.skips.counts[before]
+            rows = np.concatenate([np.repeat(np.arange(len(new)), older), row])
+            skips = np.concatenate([self.skips.of(before), self.met.of(before)[chosen]])
+            order = np.argsort(rows, kind="stable")
+            numbers = self._walk(own, skips[order], np.bincount(rows, minlength=len(new)))
+            self.nexts = np.insert(self.nexts, place[new], wanted[new])
+            self.walks = np.insert(self.walks, place[new], numbers)
+            place = np.searchsorted(self.nexts, wanted)
+        return self.walks[place][where]
+
+
+def _marked(words: list[str]) -> list[str]:
+    """A literal U+2581 must not look like a space."""
+    return [w.replace(SPACE, "\0").replace(" ", SPACE) for w in words]
 
 
 def decode(vocabulary: Vocabulary, ids: np.ndarray) -> bytes:
@@ -320,13 +522,13 @@ def encoder(path: str, seed: int, dropout: float) -> DropoutEncoder:
 def encode(
     docs: DataFrame, model: str, seed: int, dropout: float, digest: bool = False
 ) -> DataFrame:
-    """(doc_id, variant, n_ids, ids) per row; ids are little-endian unsigned 32-bit integers.
+    """(doc_id, n_ids, ids) per row; ids are little-endian unsigned 32-bit integers.
 
     With ``digest`` the ids stay in the task: it returns their crc32 and the SHA-256 of
-    the text that they decode to. A null text counts as empty and has no ids. A
-    document without a doc_id gets variant 0. Other columns are ignored.
+    the text that they decode to. A null text counts as empty and has no ids. The
+    text stands for the id of a document without a doc_id. Other columns are ignored.
     """
-    kinds = [("doc_id", pa.int64()), ("variant", pa.int32()), ("n_ids", pa.int64())]
+    kinds = [("doc_id", pa.int64()), ("n_ids", pa.int64())]
     kinds += (
         [("ids_crc32", pa.int64()), ("decoded_sha256", pa.string())]
         if digest
@@ -337,32 +539,27 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(model, seed, dropout)
         for batch in batches:
-            variants = batch.column("variant").to_numpy(zero_copy_only=False)
-            for variant in np.unique(variants).tolist():
-                part = batch.filter(pa.array(variants == variant))
-                flat, bounds = own.encode(part.column("text"), variant)
-                edges = bounds.tolist()
-                values = []
-                if digest:
-                    data = memoryview(flat).cast("B")
-                    text, places = _joined(own.vocabulary, flat)
-                    text = memoryview(text)
-                    for a, b in zip(edges, edges[1:]):
-                        plain = text[places[a] + (b > a) : places[b]]
-                        crc = zlib.crc32(data[4 * a : 4 * b])
-                        values.append((crc, hashlib.sha256(plain).hexdigest()))
-                else:
-                    values = [(flat[a:b].tobytes(),) for a, b in zip(edges, edges[1:])]
-                first = (part.column("doc_id"), part.column("variant"), np.diff(bounds))
-                yield table(schema, *first, *zip(*values))
+            flat, bounds = own.encode(batch.column("text"), longs(batch, "key"))
+            edges = bounds.tolist()
+            values = []
+            if digest:
+                data = memoryview(flat).cast("B")
+                text, places = _joined(own.vocabulary, flat)
+                text = memoryview(text)
+                for a, b in zip(edges, edges[1:]):
+                    plain = text[places[a] + (b > a) : places[b]]
+                    crc = zlib.crc32(data[4 * a : 4 * b])
+                    values.append((crc, hashlib.sha256(plain).hexdigest()))
+            else:
+                values = [(flat[a:b].tobytes(),) for a, b in zip(edges, edges[1:])]
+            columns = zip(*values) if values else [()] * (len(kinds) - 2)
+            yield table(schema, batch.column("doc_id"), np.diff(bounds), *columns)
 
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        F.when(F.col("doc_id").isNull(), 0)
-        .otherwise(F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(VARIANTS)))
-        .cast("int")
-        .alias("variant"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+        F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)).alias("key"),
+        text.alias("text"),
     )
     last = "ids_crc32 long, decoded_sha256 string" if digest else "ids binary"
-    return rows.mapInArrow(run, f"doc_id long, variant int, n_ids long, {last}")
+    return rows.mapInArrow(run, f"doc_id long, n_ids long, {last}")
