@@ -234,6 +234,31 @@ def test_removed_bytes_equal_brute_force(spark, make_docs, monkeypatch, crowd):
     assert sum(row[2] for row in got) > 10_000
 
 
+def test_a_passage_of_many_texts_does_not_meet_in_one_group(make_docs, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "CROWD", 20)
+    most = {}
+    for step, key in (("dictionary_order", "name"), ("settled", "code")):
+
+        def counted(rows, step=step, key=key, whole=getattr(suffix_dedup, step)):
+            sizes = rows.groupBy(key).count().agg(F.max("count")).first()
+            most[step] = sizes[0] or 0
+            return whole(rows)
+
+        monkeypatch.setattr(suffix_dedup, step, counted)
+    r = random.Random(5)
+
+    def prose(n):
+        return "".join(r.choices("abcdefgh é\n", k=n))
+
+    shared = {230: prose(230), 600: prose(600)}
+    pairs = [(i, prose(300) + shared[230 if i % 3 else 600] + prose(300)) for i in range(240)]
+    pairs += [(500, prose(40) + shared[230]), (501, shared[600][:210] + prose(90))]
+    got = removed_rows(suffix_dedup.removed(make_docs(pairs)))
+    assert got == brute_removed(pairs)
+    # a row per window and task, not one per text
+    assert most["dictionary_order"] <= 20 and 0 < most["settled"] <= 20
+
+
 def test_removed_from_odd_documents(odd_docs, make_docs):
     rows = [(r["doc_id"], r["text"]) for r in odd_docs.collect()]
     assert removed_rows(suffix_dedup.removed(odd_docs)) == brute_removed(rows)

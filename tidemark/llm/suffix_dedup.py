@@ -23,8 +23,11 @@ name, are sorted by short name together with the bytes before and after it. Ther
 suffix of the part before the trigger (the dictionary's suffixes) is combined with
 the order of what follows it (the parse's suffixes), which decides each single window.
 
-Identical texts count once, with the fact that they have copies. A name that very many
-rows share in the last step is split by what else its windows have in common.
+*Crowded names.* The windows of a name that very many triggers share, as those at the edges
+of a passage in very many texts, do not meet by name. Each is a row under the hash of its own
+bytes, and a task decides by itself those that it sees twice and sends on one row of them.
+
+Identical texts count once, with the fact that they have copies.
 """
 
 from __future__ import annotations
@@ -44,15 +47,17 @@ SPAN = 128
 GRAM = 8
 # bytes from the trigger on that all windows of a trigger contain
 SHORT = LENGTH - SPAN + 1
-# rows of one short name that are looked at together; beyond, a name is split
+# rows of one short name that are looked at together; beyond, its windows go one by one
 CROWD = 4096
-SLICE = 16
+# windows of crowded names that a task compares before it sends them on, about
+WINDOWS = 1 << 19
 # rows whose windows are compared at a time, about
 GROUPED = 2000
 # texts of a batch are read in portions of this many bytes
 PORTION = 4 << 20
 
 UNRESOLVED, RESOLVED, WITNESS = 0, 1, 2
+ASKED, SHOWN, SETTLED = 0, 1, 2
 _KNOWN = 1 << 15
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -208,50 +213,44 @@ def _marked(
 
 
 def contexts(candidates: DataFrame) -> DataFrame:
-    """(name, place, cid, start, lead, context) of the triggers that are still open.
+    """(name, cid, start, lead, context) of the triggers that are still open.
 
     ``start`` is the first window, ``lead`` how far it starts before the trigger, and
     ``context`` the bytes of all windows without those that the name stands for: every
-    window is one string of SPAN - 1 bytes of it. A crowded name is split: windows that start
-    at nearly the same distance share most of those bytes as well.
+    window is one string of SPAN - 1 bytes of it. Crowded names are left to ``windows``.
     """
-    kinds = [("name", pa.int64()), ("place", pa.int64()), ("cid", pa.int64())]
-    kinds += [("start", pa.int64()), ("lead", pa.int64()), ("context", pa.binary())]
-    schema = pa.schema(kinds)
-    digest = xxhash.xxh3_64_intdigest
+    kinds = [("name", pa.int64()), ("cid", pa.int64()), ("start", pa.int64())]
+    schema = pa.schema([*kinds, ("lead", pa.int64()), ("context", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            marks = batch.column("marks")
-            for cid, text, own in zip(
-                longs(batch, "cid").tolist(), raw_texts(batch.column("text")), marks
-            ):
-                for mark in own.as_py():
-                    if mark["status"] == RESOLVED:
-                        continue
-                    t, far, near = _unpack(mark["pack"])
-                    pieces = [(far, near, 0)]
-                    if mark["crowded"]:
-                        pieces = []
-                        for low in range(near // SLICE * SLICE, far + 1, SLICE):
-                            shared = text[t - low : t] + text[t + SHORT : t + LENGTH - low - SLICE]
-                            place = digest(b"%d " % low + shared) >> 1
-                            pieces.append((min(far, low + SLICE - 1), max(near, low), place))
-                    for hi, lo, place in pieces:
-                        context = text[t - hi : t] + text[t + SHORT : t + LENGTH - lo]
-                        rows.append((mark["name"], place, cid, t - hi, hi, context))
-                    if len(rows) >= 20_000:
-                        yield table(schema, *zip(*rows))
-                        rows = []
+            for found in _open(batch, False):
+                rows.append(found)
+                if len(rows) >= 20_000:
+                    yield table(schema, *zip(*rows))
+                    rows = []
             if rows:
                 yield table(schema, *zip(*rows))
 
     return candidates.select("cid", "text", "marks").mapInArrow(
-        run, "name long, place long, cid long, start long, lead long, context binary"
+        run, "name long, cid long, start long, lead long, context binary"
     )
 
 
+def _open(batch: pa.RecordBatch, crowded: bool) -> Iterator[tuple[int, int, int, int, bytes]]:
+    """(name, cid, start, lead, context) of the open triggers, crowded or not, of a batch."""
+    for cid, text, own in zip(
+        longs(batch, "cid").tolist(), raw_texts(batch.column("text")), batch.column("marks")
+    ):
+        for mark in own.as_py():
+            if mark["status"] == RESOLVED or mark["crowded"] != crowded:
+                continue
+            t, far, near = _unpack(mark["pack"])
+            context = text[t - far : t] + text[t + SHORT : t + LENGTH - near]
+            yield mark["name"], cid, t - far, far, context
+
+
 def _unpack(pack):
     return pack >> 16, pack >> 8 & 127, pack & 127
 
@@ -277,53 +276,147 @@ def _window_names(buffer: bytes) -> np.ndarray:
     return (sums[width:] - sums[: size - width + 1]) * np.multiply.accumulate(back)
 
 
+def _coded(
+    name: np.ndarray, lead: np.ndarray, held: list[bytes], some: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each window of ``some`` contexts the row, its place there and the hash of its bytes."""
+    sizes = np.fromiter(map(len, held), np.int64, len(held))
+    begins = np.cumsum(sizes) - sizes
+    windows = np.where(some, sizes - (SPAN - 1) + 1, 0)
+    row = np.repeat(np.arange(len(held)), windows)
+    step = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
+    code = _window_names(b"".join(held))[begins[row] + step]
+    distance = (lead[row] - step).astype(np.uint64)
+    code = (code ^ name.view(np.uint64)[row] * _MIX) + distance
+    code *= np.uint64(0xBF58476D1CE4E5B9)
+    code ^= code >> np.uint64(31)
+    return row, step, code
+
+
+def _repeated(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which codes come more than once, and one place of each of these."""
+    order = np.argsort(code, kind="stable")
+    equal = code[order][1:] == code[order][:-1]
+    repeated = np.zeros(len(code), bool)
+    repeated[order[1:][equal]] = True
+    repeated[order[:-1][equal]] = True
+    return repeated, order[:-1][equal & ~np.concatenate([[False], equal[:-1]])[: len(equal)]]
+
+
+def _runs(row: np.ndarray, where: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first and last of runs of neighbouring windows of a row."""
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (where[1:] != where[:-1] + 1)
+    first = np.flatnonzero(new)
+    return first, np.append(first[1:] - 1, len(row) - 1)
+
+
 def dictionary_order(rows: DataFrame) -> DataFrame:
     """(cid, start, stop): runs of window starts that are repeated, decided one by one."""
     schema = pa.schema([(c, pa.int64()) for c in ("cid", "start", "stop")])
-    keys = ["name", "place"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in group_slices(batches, keys, GROUPED):
-            name, place = longs(batch, "name"), longs(batch, "place")
-            cid, start, lead = longs(batch, "cid"), longs(batch, "start"), longs(batch, "lead")
-            held = batch.column("context").to_pylist()
-            sizes = np.fromiter(map(len, held), np.int64, len(held))
-            begins = np.cumsum(sizes) - sizes
-            windows = sizes - (SPAN - 1) + 1
+        for batch in group_slices(batches, ["name"], GROUPED):
+            name, lead = longs(batch, "name"), longs(batch, "lead")
+            cid, start = longs(batch, "cid"), longs(batch, "start")
             # a row that came twice counts once
             twice = np.zeros(len(cid), bool)
             twice[1:] = (
-                (name[1:] == name[:-1])
-                & (place[1:] == place[:-1])
-                & (cid[1:] == cid[:-1])
-                & (start[1:] == start[:-1])
+                (name[1:] == name[:-1]) & (cid[1:] == cid[:-1]) & (start[1:] == start[:-1])
             )
-            windows[twice] = 0
-            row = np.repeat(np.arange(len(held)), windows)
-            step = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
-            code = _window_names(b"".join(held))[begins[row] + step]
-            distance = (lead[row] - step).astype(np.uint64)
-            code = (code ^ name.view(np.uint64)[row] * _MIX) + distance
-            code *= np.uint64(0xBF58476D1CE4E5B9)
-            code ^= code >> np.uint64(31)
-            order = np.argsort(code, kind="stable")
-            equal = code[order][1:] == code[order][:-1]
-            repeated = np.zeros(len(code), bool)
-            repeated[order[1:][equal]] = True
-            repeated[order[:-1][equal]] = True
-            hit = np.flatnonzero(repeated)
+            row, step, code = _coded(name, lead, batch.column("context").to_pylist(), ~twice)
+            hit = np.flatnonzero(_repeated(code)[0])
             if not len(hit):
                 continue
-            where = start[row[hit]] + step[hit]
-            fresh = np.ones(len(hit), bool)
-            fresh[1:] = (row[hit][1:] != row[hit][:-1]) | (where[1:] != where[:-1] + 1)
-            first = np.flatnonzero(fresh)
-            last = np.append(first[1:] - 1, len(hit) - 1)
-            yield table(schema, cid[row[hit[first]]], where[first], where[last])
+            row, where = row[hit], start[row[hit]] + step[hit]
+            first, last = _runs(row, where)
+            yield table(schema, cid[row[first]], where[first], where[last])
 
     return (
-        rows.repartition(*keys)
-        .sortWithinPartitions(*keys, "cid", "start")
+        rows.repartition("name")
+        .sortWithinPartitions("name", "cid", "start")
+        .mapInArrow(run, "cid long, start long, stop long")
+    )
+
+
+def windows(candidates: DataFrame) -> DataFrame:
+    """(code, cid, start, stop, kind) of the open windows of crowded names.
+
+    Of windows that a task sees twice, one goes on as SHOWN, and the runs of all as SETTLED;
+    any other is ASKED. So a window in however many texts gives one row per task and
+    WINDOWS windows.
+    """
+    schema = pa.schema([(c, pa.int64()) for c in ("code", "cid", "start", "stop", "kind")])
+
+    def decided(rows: list) -> pa.RecordBatch:
+        # a row that came twice counts once
+        name, cid, start, lead, held = zip(*{r[1:3]: r for r in rows}.values())
+        name, cid, start, lead = (np.array(c, np.int64) for c in (name, cid, start, lead))
+        row, step, code = _coded(name, lead, list(held), np.ones(len(cid), bool))
+        where = start[row] + step
+        repeated, shown = _repeated(code)
+        code = code.view(np.int64)
+        parts = [
+            (code[some], cid[row[some]], where[some], where[some], np.full(len(some), kind))
+            for some, kind in ((np.flatnonzero(~repeated), ASKED), (shown, SHOWN))
+        ]
+        row, where = row[repeated], where[repeated]
+        if len(row):
+            first, last = _runs(row, where)
+            own = cid[row[first]]
+            # spread
+            key = (own.view(np.uint64) + where[first].view(np.uint64)) * _MIX
+            settled = np.full(len(first), SETTLED)
+            parts.append((key.view(np.int64), own, where[first], where[last], settled))
+        return table(schema, *map(np.concatenate, zip(*parts)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, size = [], 0
+        for batch in batches:
+            for found in _open(batch, True):
+                rows.append(found)
+                size += len(found[4]) - (SPAN - 1) + 1
+                if size >= WINDOWS:
+                    yield decided(rows)
+                    rows, size = [], 0
+        if rows:
+            yield decided(rows)
+
+    crowds = candidates.filter(F.exists("marks", lambda m: m["crowded"]))
+    return crowds.select("cid", "text", "marks").mapInArrow(
+        run, "code long, cid long, start long, stop long, kind long"
+    )
+
+
+def settled(rows: DataFrame) -> DataFrame:
+    """(cid, start, stop) as ``dictionary_order``, of ``windows``; a code's rows are never gathered."""
+    schema = pa.schema([(c, pa.int64()) for c in ("cid", "start", "stop")])
+
+    def told(block: np.ndarray, some: np.ndarray) -> pa.RecordBatch:
+        return table(schema, *block[some, 1:4].T)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # the last row waits until it is known whether the next one equals it
+        held, held_before = np.zeros((0, 5), np.int64), False
+        for batch in batches:
+            block = np.stack([longs(batch, c) for c in batch.schema.names], axis=1)
+            yield told(block, block[:, 4] == SETTLED)
+            block = np.concatenate([held, block[block[:, 4] != SETTLED]])
+            again = np.zeros(len(block), bool)
+            again[1:] = (block[1:, :3] == block[:-1, :3]).all(axis=1)
+            block = block[~again]
+            if not len(block):
+                continue
+            before = np.concatenate([[held_before], block[1:, 0] == block[:-1, 0]])
+            several = before[:-1] | before[1:]
+            yield told(block[:-1], several & (block[:-1, 4] == ASKED))
+            held, held_before = block[-1:], bool(before[-1])
+        if len(held):
+            yield told(held, np.array([held_before]) & (held[:, 4] == ASKED))
+
+    return (
+        rows.repartition("code")
+        .sortWithinPartitions("code", "cid", "start")
         .mapInArrow(run, "cid long, start long, stop long")
     )
 
@@ -386,7 +479,10 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         ).select("cid", "text", "marks"),
         "candidate-texts",
     )
-    runs = keep(dictionary_order(contexts(candidates)), "repeated-windows")
+    runs = keep(
+        dictionary_order(contexts(candidates)).union(settled(windows(candidates))),
+        "repeated-windows",
+    )
     per_run = runs.groupBy("cid").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
 
     schema = pa.schema(
