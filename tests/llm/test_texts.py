@@ -61,6 +61,23 @@ def test_quality_of_odd_documents(spark, odd_docs):
     assert kept.count() == sum(r["predicted"] for r in rows)
 
 
+def test_distinct_words_are_those_of_the_whole_text():
+    place = [quality_gam.FEATURES.index(n) for n in ("distinct", "least_distinct")]
+    fresh = [f"w{i}" for i in range(2000)]
+
+    def shares(words):
+        return [quality_gam.features(" ".join(words).encode())[k] for k in place]
+
+    assert shares(fresh) == [1.0, 1.0] and shares([]) == [0.0, 0.0]
+    assert shares(["a", "b", "a", "c"]) == [0.75, 0.75]
+    assert shares(fresh[:500] + ["junk"] * 500) == [(1 + 1 / 500) / 2, 1 / 500]
+    # the last words count as well, at every length
+    assert shares(fresh[:501]) == [1.0, 1.0]
+    assert shares(fresh[:501] + ["junk"] * 499) == [(1 + 2 / 500) / 2, 2 / 500]
+    tail = shares(fresh[:1000] + ["junk"] * 100)
+    assert tail[1] == 401 / 500 and tail[0] == pytest.approx((2 + 401 / 500) / 3)
+
+
 def test_quality_without_labels_or_documents(spark, make_docs):
     none = spark.createDataFrame([], "doc_id LONG, quality INT")
     model = quality_gam.train(make_docs([(1, "x")]), none)

@@ -30,11 +30,14 @@ PAIRS = 10
 ROUNDS = 300
 STEP = 0.1
 LEAST_LEAF = 20
+# words of a window in which distinct ones are counted; a longer text repeats words by nature
+WINDOW = 500
 
 FEATURES = (
     "log_bytes", "log_words", "mean_word", "upper", "symbols", "exclaims", "bars", "digits",
     "stops", "commas", "line_ends", "non_ascii", "distinct", "doubled", "top_word", "capitals",
     "short_words", "long_words", "worst_symbols", "worst_upper", "distinct_lines", "mean_line",
+    "least_distinct",
 )
 
 _CLASS = np.zeros(256, np.uint8)
@@ -62,6 +65,7 @@ def features(text: bytes) -> list[float]:
         (numbered.setdefault(w, len(numbered)) for w in words), np.int64, len(words)
     )
     often = int(np.bincount(ids).max()) if len(ids) else 0
+    shares = _distinct_shares(ids)
     capitals = sum(w[:1].isupper() for w in words)
     # the worst of the pieces between line ends, so that a bad part is not averaged away
     ends = np.concatenate([np.flatnonzero(kinds == 10), [size]])
@@ -91,8 +95,7 @@ def features(text: bytes) -> list[float]:
         n[5] / size,
         n[10] / size,
         n[11] / size,
-        # of all words up to 500; later words of a long text repeat by nature
-        len(set(words[:500])) / min(count, 500),
+        float(shares.mean()) if len(ids) else 0.0,
         float((ids[1:] == ids[:-1]).mean()) if len(ids) > 1 else 0.0,
         often / count,
         capitals / count,
@@ -102,9 +105,22 @@ def features(text: bytes) -> list[float]:
         worst_upper,
         len(set(lines)) / len(lines),
         size / len(lines),
+        float(shares.min()) if len(ids) else 0.0,
     ]
 
 
+def _distinct_shares(ids: np.ndarray) -> np.ndarray:
+    """The share of distinct words of consecutive windows that cover the whole text.
+
+    The last window ends with the text and overlaps the one before.
+    """
+    if len(ids) <= WINDOW:
+        return np.array([len(np.unique(ids)) / max(1, len(ids))])
+    begins = np.append(np.arange(0, len(ids) - WINDOW, WINDOW), len(ids) - WINDOW)
+    windows = np.sort(np.lib.stride_tricks.sliding_window_view(ids, WINDOW)[begins], axis=1)
+    return (1 + (windows[:, 1:] != windows[:, :-1]).sum(axis=1)) / WINDOW
+
+
 @dataclass(frozen=True)
 class Model:
     """Bin edges and lookup tables. ``pairs`` holds (i, j, edges i, edges j, table)."""
