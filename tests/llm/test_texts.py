@@ -123,6 +123,33 @@ def test_licenses_are_found_in_any_spelling(make_docs):
     assert licenses.scan(make_docs([])).collect() == []
 
 
+def test_license_texts_are_found_without_title_wrapped_and_inside(make_docs):
+    import textwrap
+
+    def untitled(name):
+        return licenses.KNOWN[name].split("\n\n")[-1]
+
+    bsd = untitled("BSD-3-Clause")
+    at = bsd.index("COPYRIGHT HOLDER OR")
+    zlib_ = "\n".join(textwrap.wrap(licenses.KNOWN["Zlib"], 60))
+    docs = make_docs([
+        (1, bsd[:at] + "\n" + bsd[at:]), (2, untitled("ISC")), (3, untitled("0BSD")),
+        (4, "prose\n\n" + zlib_ + "\n\nmore prose"),
+        (5, "Copyright (c) 2020 Jane Doe " + untitled("MIT")),
+        (6, "Copyright 2019, 2020 The Authors\nAll rights reserved.\n\n" + untitled("BSD-2-Clause")),
+        (7, "code\n" + "\n".join(textwrap.wrap(untitled("MIT"), 70)) + " extra"),
+        (8, "Copyright (c) 2020 Jane Doe"), (9, ""), (10, "(c) You must keep all notices"),
+    ])
+    rows = {r["doc_id"]: r for r in licenses.scan(docs).collect()}
+    got = {i: (r["license_id"], r["notices"]) for i, r in rows.items()}
+    assert got[1] == ("BSD-3-Clause-text", "BSD-3-Clause-text")
+    assert got[2] == ("ISC-text", "ISC-text") and got[3] == ("0BSD-text", "0BSD-text")
+    assert got[4] == (None, "Zlib") and got[5][0] == "MIT-text"
+    assert got[6] == ("BSD-2-Clause-text", "BSD-2-Clause-text")
+    assert got[7] == got[8] == (None, "")
+    assert rows[8]["digest"] != rows[9]["digest"] != rows[10]["digest"]
+
+
 def test_licenses_stay_in_the_jvm(odd_docs):
     plan = licenses.scan(odd_docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan

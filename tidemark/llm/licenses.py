@@ -3,19 +3,42 @@
 A text is brought to a canonical form (case, copyright lines, punctuation, equivalent
 spellings), and the digest of the whole form is joined to the digests of known texts. Whole
 documents are looked up, and so is every line that speaks of a license, so that a notice at
-the end of a document is found as well.
+the end of a document is found as well. The license texts themselves are looked for in all runs of
+whole lines, however they are wrapped.
 """
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm.license_texts import KNOWN
+from tidemark.llm.license_texts import ALL_KNOWN, KNOWN
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # lines that name a holder differ from copy to copy
 COPYRIGHT_LINE = r"^[^a-z0-9\n]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
+# Of them those are removed that name a year, a mark or a holder, up to the words that begin a
+# license on the same line; lines of a license's own text begin with the word as well.
+_BODY = (
+    r"\b(?:permission (?:is hereby granted|to use)|redistribution and use|licensed under"
+    r"|released under|this software is provided|this is free and unencumbered)\b"
+)
+_NOT_HOLDER = (
+    r"holders?|owners?|notices?|licen[sc]es?|laws?|liable|shall|permission|disclaimers?"
+    r"|statements?|conditions?|and|or|in|is|are|treaty|protection|interests?"
+)
+HOLDER_LINE = (
+    r"^[^a-z0-9\n]*(?:copyright[^a-z0-9\n]*(?:\(c\)|©)"
+    r"|(?:copyright|\(c\))[^\n]{0,60}?\b(?:19|20)[0-9]{2}\b|©"
+    rf"|copyright[ \t:]+(?!(?:{_NOT_HOLDER})\b)(?![^\n]*\b(?:liable|shall|notice)\b)"
+    r"|all rights reserved(?=[^a-z0-9\n]*$))"
+    rf"(?:(?!{_BODY})[^\n]){{0,120}}(?=$|{_BODY})"
+)
+# words of a known text that is looked for in runs of lines, at least
+LONG = 40
 PUNCTUATION = r"[^a-z0-9\x{80}-\x{10FFFF}]+"
 
 # Spellings that license matching treats as the same word.
@@ -61,10 +84,21 @@ SPELLINGS = (
 )
 
 
-def canonical(text: Column) -> Column:
-    """The canonical form: words of lower-case letters and digits with a space between them."""
-    plain = F.regexp_replace(F.translate(text, _UPPER, _LOWER), "(?dm)" + COPYRIGHT_LINE, " ")
-    words = F.trim(F.regexp_replace(plain, PUNCTUATION, " "))
+def canonical(text: Column, lines: bool = False) -> Column:
+    """The canonical form: words of lower-case letters and digits with a space between them.
+
+    With ``lines`` the line ends stay, as if they were words. A text of nothing but a
+    copyright line keeps it.
+    """
+    lower = F.translate(text, _UPPER, _LOWER)
+    plain = F.regexp_replace(lower, "(?dm)" + HOLDER_LINE, " ")
+    if lines:
+        plain = F.regexp_replace(plain, PUNCTUATION.replace("0-9", "0-9\\n", 1), " ")
+        words = F.trim(F.regexp_replace(F.replace(plain, F.lit("\n"), F.lit(" \n ")), " +", " "))
+    else:
+        words = F.trim(F.regexp_replace(plain, PUNCTUATION, " "))
+        kept = F.trim(F.regexp_replace(lower, PUNCTUATION, " "))
+        words = F.when(words == "", kept).otherwise(words)
     # two spaces between words, so that neighbours do not share one
     spaced = F.concat(F.lit(" "), F.replace(words, F.lit(" "), F.lit("  ")), F.lit(" "))
     for one, other in SPELLINGS:
@@ -76,21 +110,53 @@ def digest(text: Column) -> Column:
     return F.sha2(canonical(text).cast("binary"), 256)
 
 
-def known_digests(spark: SparkSession, known: dict[str, str] = KNOWN) -> DataFrame:
-    """(digest, license_id) of the known texts, one row per digest: the smallest id."""
+def _known_texts(spark: SparkSession, known: dict[str, str]) -> DataFrame:
     # a literal per text, so that no Python takes part
     rows = [F.struct(F.lit(i).alias("license_id"), F.lit(t).alias("text")) for i, t in known.items()]
-    texts = spark.range(1).select(F.inline(F.array(*rows)))
+    return spark.range(1).select(F.inline(F.array(*rows)))
+
+
+def known_digests(spark: SparkSession, known: dict[str, str] = ALL_KNOWN) -> DataFrame:
+    """(digest, license_id) of the known texts, one row per digest: the smallest id."""
+    texts = _known_texts(spark, known)
     found = texts.select(digest(F.col("text")).alias("digest"), "license_id")
     return found.groupBy("digest").agg(F.min("license_id").alias("license_id"))
 
 
-def scan(docs: DataFrame, known: dict[str, str] = KNOWN) -> DataFrame:
+def _in_lines(base: DataFrame, known: dict[str, str]) -> DataFrame:
+    """(doc_id, license_id) of the long known texts without title that are whole lines of a text."""
+    # a title is a line of its own, and the text below it is known as well
+    long = {i: t for i, t in known.items() if len(t.split()) >= LONG and "\n" not in t}
+    if not long:
+        return base.select("doc_id", F.lit("").alias("license_id")).limit(0)
+    # no text holds one of them without its longest word
+    spelled = {w for pair in SPELLINGS for w in pair}
+    rare = {
+        max(set(re.findall("[a-z0-9]+", t.lower())) - spelled, key=lambda w: (len(w), w))
+        for t in long.values()
+    }
+    lower = F.translate(F.col("text"), _UPPER, _LOWER)
+    some = base.filter(reduce(Column.__or__, [lower.contains(w) for w in sorted(rare)]))
+    form = canonical(F.col("text"))
+    wanted = _known_texts(base.sparkSession, long).select(
+        "license_id",
+        F.concat(
+            F.lit("(?:^|\n )"), F.replace(form, F.lit(" "), F.lit("(?: \n)* ")), F.lit("(?= \n|$)")
+        ).alias("pattern"),
+    )
+    lined = some.select("doc_id", canonical(F.col("text"), lines=True).alias("lined"))
+    # as many rows as there are known texts
+    return lined.join(F.broadcast(wanted), F.expr("lined rlike pattern")).select(
+        "doc_id", "license_id"
+    )
+
+
+def scan(docs: DataFrame, known: dict[str, str] = ALL_KNOWN) -> DataFrame:
     """(doc_id, digest, license_id, notices), one row per row of ``docs``.
 
     ``license_id`` names the known text that the whole document is, or is null.
-    ``notices`` lists the known texts among its lines that hold "licen", ascending,
-    separated by commas. A null text counts as empty; the empty text is no license. Rows
+    ``notices`` lists the known texts among its lines that hold "licen", and the long ones
+    without title among all runs of its lines, ascending, separated by commas. A null text counts as empty; the empty text is no license. Rows
     that repeat a doc_id share their notices; a row without a doc_id has none. Other
     columns are ignored.
     """
@@ -107,12 +173,13 @@ def scan(docs: DataFrame, known: dict[str, str] = KNOWN) -> DataFrame:
         F.split("text", "\n"),
         lambda line: F.translate(line, _UPPER, _LOWER).contains("licen"),
     )
-    lines = base.filter(F.col("doc_id").isNotNull()).select(
-        "doc_id", F.explode(speaks).alias("line")
-    )
+    named = base.filter(F.col("doc_id").isNotNull())
+    lines = named.select("doc_id", F.explode(speaks).alias("line"))
     notices = (
         lines.select("doc_id", digest(F.col("line")).alias("digest"))
         .join(table, "digest")
+        .select("doc_id", "license_id")
+        .union(_in_lines(named, known))
         .groupBy("doc_id")
         # bounded by the number of known texts
         .agg(F.array_join(F.array_sort(F.collect_set("license_id")), ",").alias("notices"))
