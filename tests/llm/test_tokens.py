@@ -348,3 +348,26 @@ def test_pipeline_of_odd_documents(spark, odd_docs, make_docs):
             docs = corpus_pipeline.keep(stage(spark, docs, SF_DIR), name.replace(" ", "-"))
             assert docs.columns == columns
         corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR).collect()
+
+
+@pytest.mark.parametrize("path, spaces", [(BYTES, True), (WORDS, False)])
+def test_words_that_polynomial_hashes_confuse_are_told_apart(path, spaces):
+    """Thue-Morse words and their complements, and other long words."""
+    word = "a"
+    while len(word) < 4096:
+        word += word.translate({97: "b", 98: "a"})
+    texts = []
+    for n in (1024, 4096):
+        other = word[:n].translate({97: "b", 98: "a"})
+        texts += [f"x {word[:n]} y", f"x {other} y", f"x {word[:n]} {other}. {word[:n]}1"]
+    encoder = tokens.WordEncoder(path, spaces)
+    flat, bounds = encoder.encode(pa.array(texts))
+    assert [flat[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == library_ids(path, texts)
+
+
+def test_inverse_by_elimination():
+    r = np.random.default_rng(1)
+    for m in (1, 2, 40, 256):
+        matrix = r.integers(-3, 4, (m, m)) + np.diag(r.integers(9, 20, m)) * m / 9
+        matrix = matrix[r.permutation(m)]
+        assert np.allclose(np.einsum("ij,jk->ik", packing.inverted(matrix), matrix), np.eye(m))

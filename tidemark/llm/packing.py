@@ -91,6 +91,29 @@ def first_patterns(sizes: np.ndarray, demand: np.ndarray, room: int) -> np.ndarr
     return columns
 
 
+def inverted(matrix: np.ndarray) -> np.ndarray:
+    """The inverse by elimination, a row at a time.
+
+    Threads of a linear algebra library and the driver's JVM do not always go together, so the
+    driver uses elementwise arithmetic only; a basis has CAPACITY / UNIT rows at most.
+    """
+    m = len(matrix)
+    both = np.concatenate([matrix, np.eye(m)], axis=1)
+    for k in range(m):
+        pivot = k + int(np.abs(both[k:, k]).argmax())
+        both[[k, pivot]] = both[[pivot, k]]
+        both[k] /= both[k, k]
+        others = both[:, k].copy()
+        others[k] = 0
+        both -= others[:, None] * both[k]
+    return both[:, m:].copy()
+
+
+def product(matrix: np.ndarray, vector: np.ndarray) -> np.ndarray:
+    """``matrix @ vector`` by numpy's own loops (see :func:`inverted`)."""
+    return np.einsum("ij,j->i", matrix, vector)
+
+
 def column_generation(
     sizes: np.ndarray, demand: np.ndarray, room: int
 ) -> list[tuple[float, np.ndarray]]:
@@ -100,34 +123,34 @@ def column_generation(
     """
     m = len(sizes)
     columns = first_patterns(sizes, demand, room)
-    inverse = np.linalg.inv(columns)
-    uses = inverse @ demand
+    inverse = inverted(columns)
+    uses = product(inverse, demand)
     known = np.zeros((0, m))
     # each step brings in one pattern; the basis is feasible at any time
     for step in range(40 * m):
         prices = inverse.sum(axis=0)
-        worth = known @ prices
+        worth = product(known, prices)
         if not len(known) or worth.max() <= 1 + TOLERANCE:
             value, found = best_patterns(prices, sizes, room, 1 + TOLERANCE)
             # all prices divided by this are a bound from below
             if value <= 1 + TOLERANCE:
                 break
             known = np.concatenate([known, found])[-KNOWN:]
-            worth = known @ prices
+            worth = product(known, prices)
         counts = known[int(worth.argmax())]
-        rise = inverse @ counts
+        rise = product(inverse, counts)
         rising = rise > 1e-9
         ratios = np.full(m, np.inf)
         ratios[rising] = np.maximum(uses[rising], 0) / rise[rising]
         leave = int(ratios.argmin())
         columns[:, leave] = counts
         if step % 200 == 199:
-            inverse = np.linalg.inv(columns)
+            inverse = inverted(columns)
         else:
             pivot = inverse[leave] / rise[leave]
-            inverse -= np.outer(rise, pivot)
+            inverse -= rise[:, None] * pivot
             inverse[leave] = pivot
-        uses = inverse @ demand
+        uses = product(inverse, demand)
     return [(float(max(0, u)), c.astype(np.int64)) for u, c in zip(uses, columns.T)]
 
 

@@ -18,8 +18,9 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
-# words, and beginnings and ends of words, that a worker remembers, about 40 bytes each;
+# words, and beginnings and ends of words, that a worker remembers, about 45 bytes each;
 # beyond that it starts afresh
 REMEMBERED = 1 << 20
 STEMS = 1 << 20
@@ -30,7 +31,6 @@ _BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
 _LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 # What follows them here begins with an ASCII character, so that no normal form joins the two.
 _STEM_AND_END = r"^(?P<stem>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<end>[\x00-\x7f]*)$"
-_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 Learn = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
@@ -42,10 +42,9 @@ def flattened(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class WordMemory:
-    """Ids of words under two hashes of the word, in flat arrays.
+    """Ids of words under a 128-bit hash of the word, in flat arrays.
 
-    ``learn`` gives the ids of new words one after the other, and how many each has. Words are
-    told apart by 64 + 32 bits of hash.
+    ``learn`` gives the ids of new words one after the other, and how many each has.
     """
 
     def __init__(self, learn: Learn, limit: int | None = None):
@@ -54,7 +53,7 @@ class WordMemory:
 
     def clear(self) -> None:
         self.keys = np.zeros(0, np.uint64)
-        self.checks = np.zeros(0, np.uint32)
+        self.checks = np.zeros(0, np.uint64)
         self.begins = np.zeros(0, np.int64)
         self.counts = np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.uint32)
@@ -94,31 +93,15 @@ class WordMemory:
         return np.where(same, at, -1)
 
 
-@cache
-def _tables() -> tuple[np.ndarray, np.ndarray]:
-    r = np.random.default_rng(17)
-    return r.integers(1, 1 << 63, (2, 256), np.uint64) * 2 + 1, r.integers(1, 1 << 62, 2, np.uint64)
-
-
 def _names(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit and a 32-bit hash of each word: polynomials over random values of its bytes."""
+    """The two halves of each word's 128-bit hash (XXH3)."""
     words = words.cast(pa.large_string())
-    bounds = np.frombuffer(words.buffers()[1], np.int64)[words.offset :][: len(words) + 1]
-    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
-    bounds = bounds - bounds[0]
-    sizes = np.diff(bounds)
-    place = np.arange(len(data)) - np.repeat(bounds[:-1], sizes)
-    octets, bases = _tables()
-    out = []
-    for table, base in zip(octets, bases):
-        powers = np.full(int(sizes.max(initial=0)) + 1, base * np.uint64(2) + np.uint64(1))
-        powers[0] = 1
-        powers = np.multiply.accumulate(powers)
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(table[data] * powers[place], out=sums[1:])
-        x = (sums[bounds[1:]] - sums[bounds[:-1]] + sizes.astype(np.uint64)) * _ODD
-        out.append(x ^ (x >> np.uint64(31)))
-    return out[0], (out[1] >> np.uint64(32)).astype(np.uint32)
+    bounds = np.frombuffer(words.buffers()[1], np.int64)[words.offset :][: len(words) + 1].tolist()
+    data = memoryview(words.buffers()[2] or b"")
+    digest = xxhash.xxh3_128_digest
+    names = b"".join([digest(data[a:b]) for a, b in zip(bounds, bounds[1:])])
+    halves = np.frombuffer(names, "<u8").reshape(-1, 2)
+    return halves[:, 0].copy(), halves[:, 1].copy()
 
 
 def gathered(ids: np.ndarray, begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
