@@ -226,15 +226,15 @@ def test_preferences_of_nothing(spark):
 
 def brute_removed(rows):
     raw = [(t or "").encode() for _, t in rows]
+    # a window's first place, as one number: millions of small lists would be slow to collect
     seen = {}
+    gone = [bytearray(len(x)) for x in raw]
     for k, x in enumerate(raw):
         for i in range(len(x) - 199):
-            seen.setdefault(x[i : i + 200], []).append((k, i))
-    gone = [bytearray(len(x)) for x in raw]
-    for places in seen.values():
-        if len(places) > 1:
-            for k, i in places:
-                gone[k][i : i + 200] = b"\1" * 200
+            first = seen.setdefault(x[i : i + 200], k << 32 | i)
+            if first != k << 32 | i:
+                for k_, i_ in ((k, i), (first >> 32, first & (1 << 32) - 1)):
+                    gone[k_][i_ : i_ + 200] = b"\1" * 200
     out = []
     for (doc_id, _), x, g in zip(rows, raw, gone):
         spans = sum(1 for i in range(len(g)) if g[i] and (i == 0 or not g[i - 1]))

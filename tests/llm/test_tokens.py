@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import zlib
 from collections import defaultdict
+from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -24,9 +25,15 @@ WORDS = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
-def library_ids(path, texts):
+@cache
+def library(path):
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
+    return tokenizer
+
+
+def library_ids(path, texts):
+    tokenizer = library(path)
     return [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
