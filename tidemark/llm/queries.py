@@ -12,6 +12,7 @@ from tidemark.llm import (
     embedding_dedup,
     licenses,
     merge_dropout,
+    mixing,
     packing,
     preferences,
     quality_gam,
@@ -19,6 +20,7 @@ from tidemark.llm import (
     sketches,
     suffix_dedup,
     token_output,
+    vector_codes,
 )
 from tidemark.llm.common import documents, ship
 from tidemark.session import shared_dir
@@ -113,5 +115,19 @@ def op7_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs
 
 
+@query
+def op12_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that each document gives to a mix of its sources weighing 1, 2 and 3 in turn."""
+    return mixing.mix(documents(spark, sf_dir), weights=(1, 2, 3), epochs=3)
+
+
+@query
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all embeddings by codebooks of 16 entries for each of 8 parts."""
+    return vector_codes.compress(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+ORACLES["op11_vector_codes"] = vector_codes.ORACLE
+ORACLES["op12_source_mixing"] = mixing.ORACLE
 ORACLES["op5_license_scan"] = licenses.ORACLE
 ORACLES["op7_preference_formatting"] = preferences.ORACLE
