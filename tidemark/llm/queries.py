@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import (
+    alignment,
     embedding_dedup,
     licenses,
     merge_dropout,
@@ -127,6 +128,13 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+@query
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens of two tokenizers in all documents."""
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align(documents(spark, sf_dir), a, b)
+
+
 ORACLES["op11_vector_codes"] = vector_codes.ORACLE
 ORACLES["op12_source_mixing"] = mixing.ORACLE
 ORACLES["op5_license_scan"] = licenses.ORACLE
