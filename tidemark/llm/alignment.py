@@ -34,6 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import keep, longs, sorted_groups
+from tidemark.llm.tokens import encoder, flattened
 
 SPACE = "▁"
 # bytes of a document in a fragment
@@ -42,6 +43,8 @@ CHUNK = 1 << 16
 FAN = 16
 # words that a worker remembers, before it starts afresh
 REMEMBERED = 200_000
+# bytes of text that are handled together
+SLICE = 1 << 20
 # a portion ends after about so many distinct pairs, or ten times as many words
 PORTION = 400_000
 
@@ -122,27 +125,29 @@ class Words:
 
     def __init__(self, a_path: str, b_path: str):
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(a_path)
-        self.a.encode_special_tokens = True
+        self.a = encoder(a_path, True)
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         signs = _byte_signs()
-        vocabulary = self.a.get_vocab(with_added_tokens=True)
-        self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
+        vocabulary = self.a.tokenizer.get_vocab(with_added_tokens=True)
+        a_bytes = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             # an added token is its own text
             coded = all(c in signs for c in token)
-            self.a_bytes[i] = bytes(signs[c] for c in token) if coded else token.encode()
-        self.b_bytes = []
+            a_bytes[i] = bytes(signs[c] for c in token) if coded else token.encode()
+        b_bytes = []
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
             data = bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else None
-            self.b_bytes.append(piece.replace(SPACE, " ").encode() if data is None else data)
-        self.a_sizes = np.fromiter(map(len, self.a_bytes), np.int64)
-        self.b_sizes = np.fromiter(map(len, self.b_bytes), np.int64)
-        self.a_names = [str(i) for i in range(len(self.a_bytes))]
-        self.b_names = [str(i) for i in range(len(self.b_bytes))]
+            b_bytes.append(piece.replace(SPACE, " ").encode() if data is None else data)
+        self.a_sizes = np.fromiter(map(len, a_bytes), np.int64)
+        self.b_sizes = np.fromiter(map(len, b_bytes), np.int64)
+        self.a_bytes, self.b_bytes = (pa.array(x, pa.large_binary()) for x in (a_bytes, b_bytes))
+        # every id as it is written, with the sign before it: A's ids, then B's
+        a, b = (list(map(str, range(len(x)))) for x in (a_bytes, b_bytes))
+        written = [sign + i for sign in ("", ";", ",") for i in a]
+        written += [sign + i for sign in ("|", ",") for i in b]
+        self.written = pa.array(written, pa.large_string()).cast(pa.large_binary())
         self.clear()
 
     def clear(self) -> None:
@@ -165,18 +170,18 @@ class Words:
         return np.fromiter((at[w] for w in words), np.int64, len(words))
 
     def _learn(self, new: list[str]) -> None:
-        a = [e.ids for e in self.a.encode_batch_fast([" " + w for w in new], add_special_tokens=False)]
-        b = self.b.encode(new, num_threads=1)
-        a_n, b_n = (np.fromiter(map(len, x), np.int64, len(new)) for x in (a, b))
-        a_bytes, b_bytes = self.a_bytes, self.b_bytes
-        good = np.zeros(len(new), bool)
-        for k, (word, x, y) in enumerate(zip(new, a, b)):
-            data = b" " + word.encode()
-            good[k] = (
-                b"".join([a_bytes[i] for i in x]) == data == b"".join([b_bytes[i] for i in y])
-            )
-        a_ids = np.fromiter((i for x in a for i in x), np.int64, int(a_n.sum()))
-        b_ids = np.fromiter((i for x in b for i in x), np.int64, int(b_n.sum()))
+        words = pa.array(new, pa.string())
+        a_ids, a_n = self.a.learn(words)
+        b_ids, b_n = flattened(self.b.encode(new, num_threads=1))
+        a_ids, b_ids, a_n = a_ids.astype(np.int64), b_ids.astype(np.int64), a_n.astype(np.int64)
+        nothing, space = (pa.scalar(x, pa.large_string()) for x in ("", " "))
+        data = pc.binary_join_element_wise(nothing, words.cast(pa.large_string()), space)
+        data = data.cast(pa.large_binary())
+        same = [
+            pc.equal(_joined(pieces.take(pa.array(ids)), n), data)
+            for pieces, ids, n in ((self.a_bytes, a_ids, a_n), (self.b_bytes, b_ids, b_n))
+        ]
+        good = pc.and_(*same).to_numpy(zero_copy_only=False)
         # words that do not come back have no tokens
         a_ids, b_ids = a_ids[np.repeat(good, a_n)], b_ids[np.repeat(good, b_n)]
         a_n, b_n = a_n * good, b_n * good
@@ -190,24 +195,36 @@ class Words:
         pairs = np.repeat(a_ids, each) << 32 | b_ids[mate]
         word_of_a = np.repeat(np.arange(len(new)), a_n)
         n_links = np.bincount(word_of_a, each, len(new)).astype(np.int64)
-        a_closes, b_closes = np.isin(a_ends, b_ends), np.isin(b_ends, a_ends)
+        # both end where the last linked B token ends
+        a_closes = b_ends[high] == a_ends if len(a_ids) else np.zeros(0, bool)
+        b_closes = np.zeros(len(b_ids), bool)
+        b_closes[high[a_closes]] = True
         n_groups = np.bincount(word_of_a, a_closes, len(new)).astype(np.int64)
         self._keep(new, self._texts(a_ids, b_ids, a_n, b_n, a_closes, b_closes),
                    np.stack([a_n, b_n, n_groups, n_links, good], axis=1), pairs)
 
-    def _texts(self, a_ids, b_ids, a_n, b_n, a_closes, b_closes) -> list[bytes]:
+    def _texts(
+        self,
+        a_ids: np.ndarray,
+        b_ids: np.ndarray,
+        a_n: np.ndarray,
+        b_n: np.ndarray,
+        a_closes: np.ndarray,
+        b_closes: np.ndarray,
+    ) -> list[bytes]:
         """The groups of each word, ``a1,a2|b1`` joined by ``;``."""
-        a_names, b_names = self.a_names, self.b_names
-        a_stop, b_stop = np.flatnonzero(a_closes) + 1, np.flatnonzero(b_closes) + 1
-        a, b = a_ids.tolist(), b_ids.tolist()
-        groups = [
-            ",".join([a_names[i] for i in a[s:e]]) + "|" + ",".join([b_names[i] for i in b[t:f]])
-            for s, e, t, f in zip(
-                [0, *a_stop.tolist()], a_stop.tolist(), [0, *b_stop.tolist()], b_stop.tolist()
-            )
-        ]
-        ends = np.searchsorted(a_stop, np.cumsum(a_n), "right").tolist()
-        return [";".join(groups[s:e]).encode() for s, e in zip([0, *ends], ends)]
+        a_group, b_group = np.cumsum(a_closes) - a_closes, np.cumsum(b_closes) - b_closes
+        a_stops, b_stops = (np.concatenate([[0], np.flatnonzero(c) + 1]) for c in (a_closes, b_closes))
+        a_first, b_first = (np.diff(g, prepend=-1) > 0 for g in (a_group, b_group))
+        # the written id of every token, at its place: A's of a group, then B's
+        out = np.zeros(len(a_ids) + len(b_ids), np.int64)
+        a_sign = np.where(a_first, 1, 2)
+        a_sign[(np.cumsum(a_n) - a_n)[a_n > 0]] = 0
+        vocabulary = len(self.a_bytes)
+        out[np.arange(len(a_ids)) + b_stops[a_group]] = a_sign * vocabulary + a_ids
+        b_sign = 3 * vocabulary + np.where(b_first, 0, len(self.b_bytes))
+        out[np.arange(len(b_ids)) + a_stops[b_group + 1]] = b_sign + b_ids
+        return _joined(self.written.take(pa.array(out)), a_n + b_n).to_pylist()
 
     def _keep(self, new: list[str], texts: list[bytes], figures: np.ndarray, pairs: np.ndarray) -> None:
         n, m = len(self.groups), len(self.pair_at)
@@ -229,6 +246,12 @@ class Words:
         self.groups += texts
 
 
+def _joined(values: pa.Array, counts: np.ndarray) -> pa.Array:
+    """Runs of binary values, each joined to one."""
+    bounds = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int64())
+    return pc.binary_join(pa.LargeListArray.from_arrays(bounds, values), pa.scalar(b"", pa.large_binary()))
+
+
 def _room(array: np.ndarray, size: int) -> np.ndarray:
     """``array`` with room for ``size`` rows; it at least doubles when it grows."""
     if size <= len(array):
@@ -356,6 +379,17 @@ def _rows(n: int, columns: dict) -> pa.RecordBatch:
     )
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of all batches in portions of about SLICE bytes of text."""
+    for batch in batches:
+        if batch.num_rows:
+            sizes = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)
+            slots = np.cumsum(sizes.astype(np.int64)) // SLICE
+            starts = np.flatnonzero(np.diff(slots, prepend=-1)).tolist()
+            for s, e in zip(starts, [*starts[1:], batch.num_rows]):
+                yield batch.slice(s, e - s)
+
+
 def measure(
     closed: DataFrame, a_path: str, b_path: str, remembered: int = REMEMBERED, size: int = PORTION
 ) -> DataFrame:
@@ -369,9 +403,7 @@ def measure(
         words = _words(a_path, b_path)
         task = TaskContext.get().partitionId()
         portion, made = _Portion(f"{task}-0", words), 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _slices(batches):
             distinct, at, sizes = split_words(batch.column("text"))
             full = len(words.at) + len(distinct) > remembered
             if portion.size and (full or portion.size > size or portion.held > 10 * size):

@@ -24,7 +24,7 @@ from tidemark.llm.common import fresh, keep
 from tidemark.operators.joins import heavy_keys, salted_join
 
 # documents of one source in a window, about
-RUN = 20_000
+RUN = 4_000
 # hexadecimal digits of the hash that place a document in a range
 PLACE = 12
 

@@ -124,7 +124,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.spaces = spaces
-        self.memory = WordMemory(self._learn)
+        self.memory = WordMemory(self.learn)
         # beginnings and ends of words that other words have as well
         self.stems = WordMemory(self._learn_stems, STEMS)
         self.ends = WordMemory(lambda ends: flattened(self._ids(ends.to_pylist())), ENDS)
@@ -171,8 +171,8 @@ class WordEncoder:
     def _ids(self, pieces: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
-    def _learn(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of new words. Both patterns cut between a letter and a sign."""
+    def learn(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words, and how many each has. Both patterns cut between a letter and a sign."""
         parts = pc.extract_regex(words, _STEM_AND_END)
         whole = parts.is_valid().to_numpy(zero_copy_only=False)
         pool, begins, counts = [], np.zeros((len(words), 2), np.int64), np.zeros((len(words), 2), int)
