@@ -10,7 +10,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import aggregates, joins, topk, windows
+from tidemark.operators import aggregates, joins, pointintime, topk, windows
 from tidemark.operators import history as h
 from tidemark.plans import reports
 
@@ -264,7 +264,7 @@ def test_two_versions_in_one_month_give_an_empty_interval(spark):
         ("new", july, dt.date(9999, 12, 31), True),
     }
     facts = spark.createDataFrame([(1, dt.date(2020, m, 1)) for m in (1, 6, 7, 12)], "k INT, m DATE")
-    seen = joins.pit_join(facts, dim.select("k", "a", "valid_from", "valid_to"), "k", at="m")
+    seen = pointintime.pit_join(facts, dim.select("k", "a", "valid_from", "valid_to"), "k", at="m")
     assert [r.a for r in seen.orderBy("m").collect()] == ["old", "old", "new", "new"]
 
 
@@ -276,13 +276,103 @@ def test_every_fact_row_meets_one_version(spark, seed):
     dim = h.to_dimension(h.build_history(df, "k", "m", [F.col("o").desc()]), "k", ["a"], "d")
     dim = dim.select("k", "a", "valid_from", "valid_to").cache()
     facts = df.select("k", "o", F.add_months("m", F.col("o") % 5 - 2).alias("month_date")).cache()
-    full = joins.pit_join(facts, dim, "k")
+    full = pointintime.pit_join(facts, dim, "k")
     assert full.count() == facts.count()
     merged = h.collapse_unchanged(dim, "k", ["a"])
     assert merged.count() < dim.count()
     pick = lambda d: sorted((r.o, r.a) for r in d.collect())
-    assert pick(joins.pit_join(facts, merged, "k")) == pick(full)
-    assert pick(joins.pit_join(facts, dim, "k", how="left", hot=[1, 2])) == pick(full)
+    assert pick(pointintime.pit_join(facts, merged, "k")) == pick(full)
+    assert pick(pointintime.pit_join(facts, dim, "k", how="left", hot=[1, 2])) == pick(full)
+
+
+def random_versions(seed):
+    """Facts and versions of twelve keys; keys 1 and 2 have most of the facts."""
+    rng = random.Random(seed)
+    day = dt.date(2020, 1, 1)
+    versions = []
+    for k in range(12):
+        cuts = sorted(rng.sample(range(400), rng.randint(1, 40)))
+        for a, b in zip(cuts, [*cuts[1:], 10_000]):
+            if rng.random() < 0.8:  # gaps
+                versions.append((k, k * 1000 + a, day + dt.timedelta(a), day + dt.timedelta(b)))
+        versions.append((k, -1, day + dt.timedelta(cuts[0]), day + dt.timedelta(cuts[0])))
+    versions.append((None, -2, day, day + dt.timedelta(900)))
+    facts = []
+    for i in range(600):
+        k = rng.choice([1, 1, 1, 2, 2, rng.randrange(14), None])
+        at = 77 if k == 1 and i % 3 else rng.randrange(420)
+        facts.append((i, k, None if i % 50 == 0 else day + dt.timedelta(at)))
+    return facts, versions
+
+
+def brute_matches(facts, versions):
+    return {
+        i: [v for key, v, a, b in versions if k is not None and key == k and at and a <= at < b]
+        for i, k, at in facts
+    }
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+@pytest.mark.parametrize("hot", ["none", "keys", "slices"])
+def test_point_in_time_join_by_timeline(spark, plain_shuffles, seed, hot):
+    facts, versions = random_versions(seed)
+    df = spark.createDataFrame(facts, "i INT, k INT, at DATE").repartition(5)
+    dim = spark.createDataFrame(versions, "k INT, v INT, valid_from DATE, valid_to DATE")
+    slices = pointintime.date_slices(df, "k", "at")
+    # a date with many rows is dealt to several copies
+    assert set(slices) >= {1, 2} and max(copies for _, copies in slices[1]) > 2
+    assert len(slices[1]) > 2 and sum(len(s) for s in slices.values()) <= 16 + len(slices)
+    spread = {"none": (), "keys": (1, 2, 99), "slices": slices}[hot]
+    want = brute_matches(facts, versions)
+    inner = pointintime.pit_join(df, dim, "k", "at", hot=spread)
+    assert inner.columns == ["i", "k", "at", "v"]
+    assert sorted((r.i, r.v) for r in inner.collect()) == sorted((i, v) for i, m in want.items() for v in m)
+    left = pointintime.pit_join(df, dim, "k", "at", "left", spread)
+    got = {r.i: r.v for r in left.collect()}
+    assert got == {i: m[0] if m else None for i, m in want.items()}
+    general = pointintime.pit_join(df, dim, "k", "at", "left", spread, overlapping=True)
+    assert {r.i: r.v for r in general.collect()} == got
+
+
+def test_point_in_time_join_makes_no_more_rows_than_it_reads(spark, plain_shuffles):
+    """120 versions and 120 facts of each key; a hot key costs a row per slice more."""
+    month = F.add_months(F.lit("2010-01-01").cast("date"), (F.col("id") % 120).cast("int"))
+    facts = spark.range(4800).select((F.col("id") / 120).cast("int").alias("k"), month.alias("at"))
+    dim = facts.select("k", F.col("at").alias("valid_from"), F.add_months("at", 1).alias("valid_to"))
+    assert pointintime.timeline(facts, dim, "k", "at").count() == 2 * 4800
+    joined = pointintime.pit_join(facts, dim.withColumn("v", F.lit(1)), "k", "at")
+    text = joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.count() == 4800 and "Join" not in text and text.count("Exchange hash") == 1
+    more = facts.unionByName(facts.filter("k = 7")).unionByName(facts.filter("k = 7").sample(1.0))
+    hot = pointintime.date_slices(more.unionByName(more.filter("k = 7")), "k", "at")
+    assert list(hot) == [7] and len(hot[7]) > 1
+    line = pointintime.timeline(facts, dim, "k", "at", hot=hot)
+    copies = sum(n for _, n in hot[7])
+    assert line.count() <= 2 * 4800 + copies
+    places = line.filter("_key = 7").groupBy("_place").count().collect()
+    assert len(places) == copies
+
+
+@pytest.mark.parametrize("hot", ["none", "slices"])
+def test_versions_are_counted_by_a_sweep(spark, plain_shuffles, hot):
+    """Overlaps and gaps, repeated row keys, and two dimensions in one pass."""
+    facts, versions = random_versions(9)
+    versions += [(k, -v, a, b) for k, v, a, b in versions[::3]]
+    df = spark.createDataFrame([(*f, f[0] % 500) for f in facts], "i INT, k INT, at DATE, r INT")
+    dim = spark.createDataFrame(versions, "k INT, v INT, valid_from DATE, valid_to DATE")
+    other = dim.withColumnRenamed("k", "i")
+    slices = {"a": pointintime.date_slices(df, "k", "at")} if hot == "slices" else {}
+    counted = pointintime.count_versions(df, {"a": (dim, "k"), "b": (other, "i")}, ["r"], "at", slices)
+    by_key = brute_matches(facts, versions)
+    by_row = brute_matches([(i, i, at) for i, _, at in facts], versions)
+    want = {(n, r): 0 for n in "ab" for r in range(500)}
+    for i, _, _ in facts:
+        want["a", i % 500] += len(by_key[i])
+        want["b", i % 500] += len(by_row[i])
+    assert {(r.dimension, r.r): r.nb_versions for r in counted.collect()} == want
+    assert {0, 1, 2} <= set(want.values())
+    text = counted._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Window ") == 1 and "SortMergeJoin" not in text
 
 
 @pytest.fixture

@@ -9,7 +9,7 @@ from tidemark.catalogue import tables as t
 from tidemark.catalogue.sql import dbl, kpis, rounded, with_tables
 from tidemark.catalogue.tables import AGE_COLUMNS, MEDIAN_DIVISORS, plain
 from tidemark.operators import history as h
-from tidemark.operators.joins import pit_join
+from tidemark.operators.pointintime import pit_join
 from tidemark.plans import marts, reports, silver, star
 from tidemark.plans.silver import LISTING_COLUMNS
 from tidemark.session import shared_dir
@@ -347,7 +347,7 @@ def census_g02(spark, sf_dir):
 def mart_listing_neighbourhood(spark, sf_dir):
     s = t.star(spark, sf_dir)
     return plain(
-        marts.dm_listing_neighbourhood(s.fact, s.dim_property, s.dim_host, s.hot_hosts)
+        marts.dm_listing_neighbourhood(s.fact, s.dim_property, s.dim_host, s.host_slices)
     )
 
 
@@ -362,14 +362,14 @@ def mart_listing_neighbourhood(spark, sf_dir):
 )
 def mart_property_type(spark, sf_dir):
     s = t.star(spark, sf_dir)
-    return plain(marts.dm_property_type(s.fact, s.dim_property, s.dim_host, s.hot_hosts))
+    return plain(marts.dm_property_type(s.fact, s.dim_property, s.dim_host, s.host_slices))
 
 
 @query("mart_host_neighbourhood", with_tables("host_area_kpis", "select * from host_area_kpis"))
 def mart_host_neighbourhood(spark, sf_dir):
     s = t.star(spark, sf_dir)
     areas = marts.dm_host_neighbourhood(
-        s.fact, s.dim_host, s.dim_suburb, s.hot_hosts, hot_suburbs=s.hot_suburbs
+        s.fact, s.dim_host, s.dim_suburb, s.host_slices, hot_suburbs=s.hot_suburbs
     )
     return plain(areas)
 
@@ -399,7 +399,7 @@ def mart_from_collapsed_history(spark, sf_dir):
             s.fact,
             h.to_dimension(homes, "listing_id", ["listing_neighbourhood"], "property"),
             h.to_dimension(hosts, "host_id", ["host_is_superhost"], "host"),
-            s.hot_hosts,
+            s.host_slices,
         )
     )
 
@@ -481,7 +481,7 @@ def demographics_top_bottom(spark, sf_dir):
 def rank_method_check(spark, sf_dir):
     s = t.star(spark, sf_dir)
     kpi = marts.dm_listing_neighbourhood(
-        s.fact, s.dim_property, s.dim_host, s.hot_hosts, medians=False
+        s.fact, s.dim_property, s.dim_host, s.host_slices, medians=False
     )
     return plain(reports.rank_method_check(s.fact, s.dim_lga, kpi))
 
@@ -683,7 +683,7 @@ def mortgage_coverage(spark, sf_dir):
 )
 def series(spark, sf_dir):
     s = t.star(spark, sf_dir)
-    kpi = marts.dm_listing_neighbourhood(s.fact, s.dim_property, s.dim_host, s.hot_hosts)
+    kpi = marts.dm_listing_neighbourhood(s.fact, s.dim_property, s.dim_host, s.host_slices)
     return plain(reports.series(kpi, "nation_7"))
 
 

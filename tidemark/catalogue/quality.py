@@ -15,13 +15,13 @@ from tidemark.plans import marts, star
 def _kpis(s):
     """No check reads the medians."""
     return marts.dm_listing_neighbourhood(
-        s.fact, s.dim_property, s.dim_host, s.hot_hosts, medians=False
+        s.fact, s.dim_property, s.dim_host, s.host_slices, medians=False
     )
 
 
 def _host_areas(s):
     return marts.dm_host_neighbourhood(
-        s.fact, s.dim_host, s.dim_suburb, s.hot_hosts, hot_suburbs=s.hot_suburbs
+        s.fact, s.dim_host, s.dim_suburb, s.host_slices, hot_suburbs=s.hot_suburbs
     )
 
 
@@ -154,7 +154,7 @@ def one_version(spark, sf_dir):
     """No row: every fact row has exactly one host and one property version."""
     s = t.star(spark, sf_dir)
     dims = {"host": (s.dim_host, "host_id"), "property": (s.dim_property, "listing_id")}
-    return q.one_version(s.fact, dims, {"host": s.hot_hosts})
+    return q.one_version(s.fact, dims, {"host": s.host_slices})
 
 
 @query(
@@ -169,7 +169,30 @@ def one_version_broken(spark, sf_dir):
     """The same check against a dimension that lost versions, which must report them."""
     s = t.star(spark, sf_dir)
     broken = s.dim_host.filter("NOT host_is_superhost")
-    return q.one_version(s.fact, {"host": (broken, "host_id")}, {"host": s.hot_hosts})
+    return q.one_version(s.fact, {"host": (broken, "host_id")}, {"host": s.host_slices})
+
+
+@query(
+    "quality_one_version_overlaps",
+    with_tables(
+        "fact dim_host dim_property",
+        """, hosts as (select * from dim_host where host_is_superhost is not null
+            union all select * from dim_host where host_is_superhost),
+          homes as (select * from dim_property
+            union all select * from dim_property where accommodates = 3) """
+        + _HITS.format(name="host", key="host_id", fact="fact", dim="hosts")
+        + " union all "
+        + _HITS.format(name="property", key="listing_id", fact="fact", dim="homes"),
+    ),
+)
+def one_version_overlaps(spark, sf_dir):
+    """Both dimensions in one pass, with facts that match no version, one, and two."""
+    s = t.star(spark, sf_dir)
+    hosts = s.dim_host.filter("host_is_superhost IS NOT NULL")
+    hosts = hosts.unionByName(hosts.filter("host_is_superhost"))
+    homes = s.dim_property.unionByName(s.dim_property.filter("accommodates = 3"))
+    dims = {"host": (hosts, "host_id"), "property": (homes, "listing_id")}
+    return q.one_version(s.fact, dims, {"host": s.host_slices})
 
 
 @query(
@@ -188,7 +211,7 @@ def one_version_broken(spark, sf_dir):
 def version_histogram(spark, sf_dir):
     s = t.star(spark, sf_dir)
     broken = s.dim_host.filter("NOT host_is_superhost")
-    return q.version_histogram(s.fact, broken, "host_id", hot=s.hot_hosts)
+    return q.version_histogram(s.fact, broken, "host_id", hot=s.host_slices)
 
 
 @query(
@@ -299,7 +322,7 @@ def row_counts(spark, sf_dir):
 def mart_row_counts(spark, sf_dir):
     s = t.star(spark, sf_dir)
     by_type = marts.dm_property_type(
-        s.fact, s.dim_property, s.dim_host, s.hot_hosts, medians=False
+        s.fact, s.dim_property, s.dim_host, s.host_slices, medians=False
     )
     return q.row_counts(
         {

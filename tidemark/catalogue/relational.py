@@ -25,6 +25,7 @@ from tidemark.functions.text import string_list
 from tidemark.operators import aggregates as agg
 from tidemark.operators import joins, topk, windows
 from tidemark.operators.history import collapse_unchanged, to_dimension
+from tidemark.operators.pointintime import date_slices, pit_join
 from tidemark.plans import star
 
 
@@ -281,7 +282,7 @@ def join_point_in_time_inner(spark, sf_dir):
     homes = s.dim_property.select(
         "listing_id", "listing_neighbourhood", "property_type", "valid_from", "valid_to"
     )
-    return joins.pit_join(fact, homes, "listing_id")
+    return pit_join(fact, homes, "listing_id")
 
 
 @query(
@@ -300,7 +301,7 @@ def join_point_in_time_left(spark, sf_dir):
     hosts = s.dim_host.filter("host_is_superhost").select(
         "host_id", "host_name", "host_is_superhost", "valid_from", "valid_to"
     )
-    joined = joins.pit_join(fact, hosts, "host_id", how="left", hot=s.hot_hosts)
+    joined = pit_join(fact, hosts, "host_id", how="left", hot=s.host_slices)
     return joined.drop("host_id")
 
 
@@ -319,8 +320,8 @@ def join_point_in_time_other_table(spark, sf_dir):
         "listing_id", "property_type", "listing_neighbourhood", "valid_from", "valid_to"
     )
     orders = _orders(spark, sf_dir).select("o_orderkey", "o_custkey", "month")
-    hot = joins.heavy_keys(orders, "o_custkey")
-    joined = joins.pit_join(orders, homes, ("o_custkey", "listing_id"), at="month", hot=hot)
+    hot = date_slices(orders, "o_custkey", "month")
+    joined = pit_join(orders, homes, ("o_custkey", "listing_id"), at="month", hot=hot)
     return joined.drop("o_custkey", "month")
 
 
@@ -340,9 +341,9 @@ def join_point_in_time_chain(spark, sf_dir):
     hosts = s.dim_host.select("host_id", "host_neighbourhood", "valid_from", "valid_to")
     suburbs = s.dim_suburb.select("suburb_name_key", "lga_name", "valid_from", "valid_to")
     fact = s.fact.select("listing_id", "month_date", "host_id")
-    lived = joins.pit_join(fact, hosts, "host_id", hot=s.hot_hosts)
+    lived = pit_join(fact, hosts, "host_id", hot=s.host_slices)
     key = (F.upper("host_neighbourhood"), "suburb_name_key")
-    return joins.pit_join(lived, suburbs, key, how="left", hot=s.hot_suburbs).drop("host_id")
+    return pit_join(lived, suburbs, key, how="left", hot=s.hot_suburbs).drop("host_id")
 
 
 @query(
@@ -361,7 +362,9 @@ def join_point_in_time_hot_names(spark, sf_dir):
     areas = s.dim_lga.select("lga_name_key", "lga_name", "valid_from", "valid_to")
     name = F.upper("listing_neighbourhood")
     hot = joins.heavy_keys(listings, name, share=1 / 64)
-    return joins.pit_join(listings, areas, (name, "lga_name_key"), how="left", hot=hot)
+    return pit_join(
+        listings, areas, (name, "lga_name_key"), how="left", hot=hot, overlapping=True
+    )
 
 
 @query(
@@ -408,7 +411,7 @@ def join_restrict_to_top(spark, sf_dir):
     orders = _orders(spark, sf_dir)
     spent = orders.groupBy("o_custkey").agg(F.sum("price").alias("spent"))
     best = topk.top_k(spent, F.col("spent").desc(), 5, [F.col("o_custkey")])
-    chosen = joins.restrict_to(orders.select("o_orderkey", "o_custkey"), best, "o_custkey", 5)
+    chosen = joins.restrict_to(orders.select("o_orderkey", "o_custkey"), best, "o_custkey")
     return plain(chosen.drop("o_custkey"))
 
 
@@ -995,4 +998,4 @@ def history_collapse_then_point_in_time(spark, sf_dir):
     s = t.star(spark, sf_dir)
     versions = s.dim_property.select("listing_id", "room_type", "valid_from", "valid_to")
     merged = collapse_unchanged(versions, "listing_id", ["room_type"])
-    return joins.pit_join(s.fact.select("listing_id", "month_date"), merged, "listing_id")
+    return pit_join(s.fact.select("listing_id", "month_date"), merged, "listing_id")

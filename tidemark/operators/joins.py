@@ -1,4 +1,4 @@
-"""Joins, including the point-in-time join and help against hot keys."""
+"""Equi joins of several kinds, and help against hot keys."""
 
 from __future__ import annotations
 
@@ -22,7 +22,7 @@ def heavy_keys(df: DataFrame, key: Column | str, share: float | None = None) ->
     tasks, never which rows are kept.
     """
     if share is None:
-        share = max(1 / _partitions(df), 1 / HOT_KEYS)
+        share = max(1 / partitions(df), 1 / HOT_KEYS)
     keys = df.select(col(key).alias("k")).filter(F.col("k").isNotNull())
     row = keys.agg(
         F.expr(f"approx_top_k(k, {HOT_KEYS}, {COUNTERS})").alias("top"),
@@ -31,13 +31,14 @@ def heavy_keys(df: DataFrame, key: Column | str, share: float | None = None) ->
     return [item["item"] for item in row["top"] or [] if item["count"] >= share * row["n"]]
 
 
-def _partitions(df: DataFrame) -> int:
+def partitions(df: DataFrame) -> int:
+    """The number of shuffle partitions of the session."""
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def _salts(df: DataFrame) -> int:
+def salts_of(df: DataFrame) -> int:
     """Enough for a key with a third of all rows to come down to one partition's share."""
-    return max(8, -(-_partitions(df) // 3))
+    return max(8, -(-partitions(df) // 3))
 
 
 def salted_join(
@@ -59,7 +60,7 @@ def salted_join(
     join the rows without a key are spread as well. By default a third of the shuffle
     partitions take part. ``right_key`` is dropped.
     """
-    salts = salts or _salts(left)
+    salts = salts or salts_of(left)
     nulls = F.col(left_key).isNull()
     spread = None
     if hot:
@@ -84,35 +85,6 @@ def salted_join(
     return left.join(right, on, how).drop(right_key, "_salt", "_copy")
 
 
-def pit_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: str | tuple[Column | str, str],
-    at: str = "month_date",
-    how: str = "inner",
-    hot: Sequence = (),
-) -> DataFrame:
-    """Join each fact row to the version valid at its date: ``valid_from <= at < valid_to``.
-
-    ``on`` is a shared column, or a pair of a left expression and a right
-    column. The key is an equi key and the interval a residual condition, so
-    Spark plans a hash or sort-merge join, never a nested loop. ``hot`` lists
-    the left keys to spread (see :func:`heavy_keys`).
-    """
-    left_key, right_key = (on, on) if isinstance(on, str) else on
-    attributes = [c for c in dim.columns if c not in (right_key, "valid_from", "valid_to")]
-    versions = dim.select(
-        F.col(right_key).alias("_key"),
-        F.col("valid_from").alias("_from"),
-        F.col("valid_to").alias("_to"),
-        *attributes,
-    )
-    valid = (F.col(at) >= F.col("_from")) & (F.col(at) < F.col("_to"))
-    keyed = fact.withColumn("_left_key", col(left_key))
-    joined = salted_join(keyed, versions, "_left_key", "_key", how, valid, hot)
-    return joined.drop("_left_key", "_from", "_to")
-
-
 def current_join(
     df: DataFrame,
     dim: DataFrame,
@@ -191,12 +163,13 @@ def not_in(
     return missing.crossJoin(F.broadcast(facts)).filter(keep).drop("_size", "_nulls")
 
 
-def restrict_to(df: DataFrame, top: DataFrame, on: str, k: int) -> DataFrame:
-    """Keep the rows of a chosen set of at most k keys and attach that set's columns.
+def restrict_to(df: DataFrame, top: DataFrame, on: str) -> DataFrame:
+    """Keep the rows of a chosen set of keys and attach that set's columns.
 
-    The limit bounds what is broadcast; a set that is larger is cut to k rows.
+    The set is the right side of an inner join without a hint: a top-k list is small enough for
+    Spark to broadcast, and a larger set is shuffled, so that no key is lost.
     """
-    return df.join(F.broadcast(top.limit(k)), on)
+    return df.join(top, on)
 
 
 def join_aggregates(a: DataFrame, b: DataFrame, on: str, how: str = "inner") -> DataFrame:

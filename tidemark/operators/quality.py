@@ -18,11 +18,11 @@ from tidemark.functions.text import string_list
 from tidemark.operators.joins import (
     current_join,
     not_in,
-    pit_join,
     salted_join,
     side_by_side,
     unmatched,
 )
+from tidemark.operators.pointintime import Hot, count_versions
 from tidemark.operators.topk import top_k
 
 
@@ -103,32 +103,15 @@ def column_tests(
 # --- versions ----------------------------------------------------------------
 
 
-def version_matches(
+def one_version(
     fact: DataFrame,
-    dim: DataFrame,
-    on: str,
+    dims: Mapping[str, tuple[DataFrame, str]],
+    hot: Mapping[str, Hot] = {},
     rows: Sequence[str] = ("listing_id", "month_date"),
     at: str = "month_date",
-    hot: Sequence = (),
-) -> DataFrame:
-    """Number of versions valid for each fact row, per ``rows`` key."""
-    keys = list(dict.fromkeys([*rows, on, at]))
-    versions = dim.select(on, "valid_from", "valid_to", F.lit(1).alias("_hit"))
-    joined = pit_join(fact.select(*keys), versions, on, at, "left", hot)
-    return joined.groupBy(*rows).agg(F.count("_hit").alias("nb_versions"))
-
-
-def one_version(
-    fact: DataFrame, dims: Mapping[str, tuple[DataFrame, str]], hot: Mapping[str, Sequence] = {}
 ) -> DataFrame:
     """Fact rows that do not match exactly one version; empty when all is well."""
-    bad = [
-        version_matches(fact, dim, on, hot=hot.get(name, ()))
-        .filter("nb_versions <> 1")
-        .select(F.lit(name).alias("dimension"), "*")
-        for name, (dim, on) in dims.items()
-    ]
-    return union_checks(*bad)
+    return count_versions(fact, dims, rows, at, hot).filter("nb_versions <> 1")
 
 
 def version_histogram(
@@ -136,11 +119,12 @@ def version_histogram(
     dim: DataFrame,
     on: str,
     rows: Sequence[str] = ("listing_id", "scraped_date"),
-    hot: Sequence = (),
+    hot: Hot = (),
+    at: str = "month_date",
 ) -> DataFrame:
     """How many fact rows match 0, 1, or more versions."""
     n = F.col("nb_versions")
-    return version_matches(fact, dim, on, rows, hot=hot).agg(
+    return count_versions(fact, {on: (dim, on)}, rows, at, {on: hot}).agg(
         F.count_if(n == 0).alias("none"),
         F.count_if(n == 1).alias("one"),
         F.count_if(n > 1).alias("many"),

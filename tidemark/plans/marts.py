@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.numbers import COUNT, half_up, percent, ratio
 from tidemark.operators.aggregates import exact_median
-from tidemark.operators.joins import pit_join
+from tidemark.operators.pointintime import Hot, pit_join
 from tidemark.operators.windows import pct_change
 
 PERIOD = "month_date"
@@ -19,7 +19,7 @@ def visits(
     dim_property: DataFrame,
     dim_host: DataFrame,
     keys: Sequence[str],
-    hot_hosts: Sequence = (),
+    hot_hosts: Hot = (),
 ) -> DataFrame:
     """Fact rows with the property and host version valid in their month."""
     wanted = fact.select(
@@ -43,7 +43,7 @@ def monthly_kpis(
     dim_property: DataFrame,
     dim_host: DataFrame,
     keys: Sequence[str],
-    hot_hosts: Sequence = (),
+    hot_hosts: Hot = (),
     medians: bool = True,
 ) -> DataFrame:
     """Measures per group and month, with the change against the month before.
@@ -136,7 +136,7 @@ def dm_listing_neighbourhood(
     fact: DataFrame,
     dim_property: DataFrame,
     dim_host: DataFrame,
-    hot_hosts: Sequence = (),
+    hot_hosts: Hot = (),
     medians: bool = True,
 ) -> DataFrame:
     keys = ["listing_neighbourhood"]
@@ -147,7 +147,7 @@ def dm_property_type(
     fact: DataFrame,
     dim_property: DataFrame,
     dim_host: DataFrame,
-    hot_hosts: Sequence = (),
+    hot_hosts: Hot = (),
     medians: bool = True,
 ) -> DataFrame:
     keys = ["property_type", "room_type", "accommodates"]
@@ -158,9 +158,9 @@ def dm_host_neighbourhood(
     fact: DataFrame,
     dim_host: DataFrame,
     dim_suburb: DataFrame,
-    hot_hosts: Sequence = (),
+    hot_hosts: Hot = (),
     unknown: str = "Unknown",
-    hot_suburbs: Sequence = (),
+    hot_suburbs: Hot = (),
 ) -> DataFrame:
     """Revenue by the area the host lives in; hosts without one form their own group.
 

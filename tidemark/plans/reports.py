@@ -18,7 +18,8 @@ from tidemark.functions.numbers import (
     weighted_mean,
 )
 from tidemark.operators.aggregates import bucketize, composition, exact_median, with_total
-from tidemark.operators.joins import current_join, null_safe_join, pit_join, restrict_to
+from tidemark.operators.joins import current_join, null_safe_join, restrict_to
+from tidemark.operators.pointintime import pit_join
 from tidemark.operators.topk import top_bottom, top_k
 from tidemark.operators.windows import (
     global_rank,
@@ -238,7 +239,7 @@ def types_in_best_areas(fact: DataFrame, dim_property: DataFrame, areas: int = 5
         areas,
         [F.col("listing_neighbourhood")],
     )
-    return restrict_to(by_type.drop("_revenue"), best, "listing_neighbourhood", areas)
+    return restrict_to(by_type.drop("_revenue"), best, "listing_neighbourhood")
 
 
 def best_types(

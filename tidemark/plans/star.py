@@ -10,7 +10,8 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.history import build_history, to_dimension
-from tidemark.operators.joins import heavy_keys, pit_join
+from tidemark.operators.joins import heavy_keys
+from tidemark.operators.pointintime import Slices, date_slices, pit_join
 from tidemark.plans.silver import (
     HOST_ATTRIBUTES,
     PROPERTY_ATTRIBUTES,
@@ -85,6 +86,8 @@ def fact_listings(listings: DataFrame, lga: DataFrame, hot: tuple = ()) -> DataF
         (F.upper("listing_neighbourhood"), "lga_name_key"),
         how="left",
         hot=hot,
+        # two areas may bear one name
+        overlapping=True,
     )
     nights = F.lit(NIGHTS) - F.col("availability_30")
     active = F.col("has_availability")
@@ -109,7 +112,8 @@ def fact_listings(listings: DataFrame, lga: DataFrame, hot: tuple = ()) -> DataF
 
 @dataclass(frozen=True)
 class Star:
-    """The gold layer. ``hot_hosts`` and ``hot_suburbs`` are the keys that joins should spread."""
+    """The gold layer. ``hot_hosts`` and ``hot_suburbs`` are the keys that joins should spread;
+    ``host_slices`` cuts the hot hosts by date as well."""
 
     listings: DataFrame
     fact: DataFrame
@@ -121,6 +125,7 @@ class Star:
     g02: DataFrame | None = None
     hot_hosts: tuple = field(default=())
     hot_suburbs: tuple = field(default=())
+    host_slices: Slices = field(default_factory=dict)
 
 
 def build_star(
@@ -155,9 +160,11 @@ def build_star(
         silver = write_table(listings, root, "silver", "listings")
         hot_areas = tuple(heavy_keys(silver, F.upper("listing_neighbourhood")))
         tables = _write_all(frames, root)
+    slices = date_slices(tables["fact"], "host_id", "month_date")
     return Star(
         listings=silver,
-        hot_hosts=tuple(heavy_keys(tables["fact"], "host_id")),
+        hot_hosts=tuple(slices),
+        host_slices=slices,
         hot_suburbs=tuple(heavy_keys(tables["dim_host"], F.upper("host_neighbourhood"))),
         **tables,
     )
