@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.history import HistoryTable
-from tidemark.plans import silver
+from tidemark.plans import marts, silver
 from tidemark.sources import load
 from tidemark.sources.paths import read_if_present
 from tidemark.sources.raw import has_split_cells, overlong_lines, read_raw_csv
@@ -250,7 +250,7 @@ def test_stream_orders_months_and_diverts_late_ones(spark, tmp_path):
     source.mkdir()
     for name, rows in MONTHS.items():
         write_month(source, name, rows)
-    warehouse = IncrementalWarehouse(spark, root, areas(spark))
+    warehouse = IncrementalWarehouse(spark, root, areas(spark), wanted_marts=())
     run_incremental(warehouse, str(source))
     assert facts(warehouse) == EXPECTED
     assert versions(warehouse) == HOST_VERSIONS
@@ -266,10 +266,12 @@ def test_stream_orders_months_and_diverts_late_ones(spark, tmp_path):
 def test_late_month_stops_the_run_and_replay_repairs_it(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
-    warehouse = IncrementalWarehouse(spark, str(tmp_path / "out"), areas(spark))
+    warehouse = IncrementalWarehouse(
+        spark, str(tmp_path / "out"), areas(spark), wanted_marts=()
+    )
     for name in ("05_2020.csv", "01_2021.csv"):
         write_month(source, name, MONTHS[name])
-    assert warehouse.process_batch(load.list_files(spark, str(source))) == [
+    assert warehouse.process_batch(load.list_files(spark, str(source)), at_once=1) == [
         "05_2020.csv", "01_2021.csv"
     ]
     write_month(source, "12_2020.csv", MONTHS["12_2020.csv"])
@@ -290,7 +292,7 @@ def test_a_run_after_a_replay_brings_the_forgotten_months_back(spark, tmp_path):
     source.mkdir()
     for name, rows in MONTHS.items():
         write_month(source, name, rows)
-    warehouse = IncrementalWarehouse(spark, root, areas(spark))
+    warehouse = IncrementalWarehouse(spark, root, areas(spark), wanted_marts=())
     run_incremental(warehouse, str(source))
     kept = {
         path.name: path.stat().st_mtime_ns
@@ -360,12 +362,69 @@ def test_area_and_suburb_files_make_histories(spark, tmp_path):
     assert suburbs_ == [("Bondi", 1, "1900-01-01"), ("Bondi", 2, "2020-07-01")]
 
 
+def test_reference_files_come_first_and_marts_follow_the_months(spark, tmp_path):
+    """A folder of all kinds of files; marts month by month equal those of the whole fact."""
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "lga_suburb_1.csv").write_text("LGA_NAME,SUBURB_NAME,\nSYDNEY,BONDI,\n")
+    (source / "lga_code_1.csv").write_text("lga_code,lga_name\n11,Sydney\n")
+    (source / "census_g01.csv").write_text("lga_code_2016,tot_p_p\nLGA11,7\n")
+    (source / "census_g02.csv").write_text("lga_code_2016,median_age_persons\nLGA11,35\n")
+    write_month(source, "05_2020.csv", MONTHS["05_2020.csv"])
+    warehouse = IncrementalWarehouse(
+        spark,
+        str(tmp_path / "out"),
+        clock=lambda: dt.datetime(2020, 5, 20),
+        wanted_marts=("dm_listing_neighbourhood", "dm_host_neighbourhood"),
+    )
+    run_incremental(warehouse, str(source))
+    for name in ("12_2020.csv", "01_2021.csv"):
+        write_month(source, name, MONTHS[name])
+    (source / "lga_code_2.csv").write_text("lga_code,lga_name\n11,Sydney\n12,Far\n")
+    warehouse.clock = lambda: dt.datetime(2021, 1, 3)
+    mart = tmp_path / "out/gold/dm_listing_neighbourhood/month_year=2020-05-01"
+    before = {f.name: f.stat().st_mtime_ns for f in mart.iterdir()}
+    run_incremental(warehouse, str(source))
+    # months that did not change were not written again
+    assert before == {f.name: f.stat().st_mtime_ns for f in mart.iterdir()}
+    names = {(r.lga_code, r.lga_name, str(r.valid_from)) for r in warehouse.dim_lga().collect()}
+    assert names == {
+        (11, "Sydney", "1900-01-01"), (11, "Sydney", "2021-01-01"), (12, "Far", "1900-01-01"),
+    }
+    assert [r.lga_code for r in warehouse.dim_suburb().collect()] == [11]
+    assert warehouse.census("g01").first().tot_p_p == 7
+    assert warehouse.census("g02").first().median_age_persons == 35
+    fact, homes, hosts = warehouse.fact(), warehouse.dim_property(), warehouse.dim_host()
+    for name, whole in (
+        ("dm_listing_neighbourhood", marts.dm_listing_neighbourhood(fact, homes, hosts)),
+        ("dm_host_neighbourhood", marts.dm_host_neighbourhood(fact, hosts, warehouse.dim_suburb())),
+    ):
+        stepped = warehouse.mart(name).select(*whole.columns)
+        assert sorted(map(str, stepped.collect())) == sorted(map(str, whole.collect())), name
+
+
+def test_a_fact_without_its_version_stops_the_step(spark, tmp_path, monkeypatch):
+    source = tmp_path / "in"
+    source.mkdir()
+    write_month(source, "05_2020.csv", MONTHS["05_2020.csv"])
+    warehouse = IncrementalWarehouse(
+        spark, str(tmp_path / "out"), areas(spark), wanted_marts=()
+    )
+    whole = warehouse.dim_property
+    monkeypatch.setattr(warehouse, "dim_property", lambda: whole().filter("listing_id <> 2"))
+    with pytest.raises(ValueError, match="not exactly one version.*property"):
+        warehouse.process_batch(load.list_files(spark, str(source)))
+    assert warehouse.finished().isEmpty()
+
+
 def test_rerun_after_a_crash_repeats_nothing(spark, tmp_path, monkeypatch):
     source = tmp_path / "in"
     source.mkdir()
     write_month(source, "05_2020.csv", MONTHS["05_2020.csv"])
-    warehouse = IncrementalWarehouse(spark, str(tmp_path / "out"), areas(spark))
-    monkeypatch.setattr(warehouse.properties, "apply", lambda df: 1 / 0)
+    warehouse = IncrementalWarehouse(
+        spark, str(tmp_path / "out"), areas(spark), wanted_marts=()
+    )
+    monkeypatch.setattr(warehouse.properties, "apply_all", lambda df: 1 / 0)
     with pytest.raises(ZeroDivisionError):
         warehouse.process_batch(load.list_files(spark, str(source)))
     monkeypatch.undo()

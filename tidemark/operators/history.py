@@ -77,6 +77,38 @@ def scd2_apply(
     return old.join(new, on, "full").select(F.explode(result).alias("_row")).select("_row.*")
 
 
+def scd2_apply_all(
+    current: DataFrame | None,
+    observations: DataFrame,
+    key: str,
+    updated_at: str,
+    order: Sequence[Column] = (),
+) -> DataFrame:
+    """The open versions ``current`` after the snapshots of several periods, in one shuffle.
+
+    Equal to :func:`scd2_apply` once per period, oldest first: observations not newer than the
+    open version of their key are ignored, each later period starts a version and closes the
+    one before. Of several observations of a key and period the first in ``order`` counts.
+    """
+    seen = observations.filter(F.col(key).isNotNull() & F.col(updated_at).isNotNull())
+    seen = latest_per_key(seen, [key, updated_at], order or [F.col(updated_at)])
+    steps = seen.select(
+        *observations.columns,
+        version_id(key, updated_at).alias("version_id"),
+        F.col(updated_at).alias("valid_from"),
+        F.lit(False).alias("_open"),
+    )
+    if current is not None:
+        known = current.drop("valid_to").withColumn("_open", F.lit(True))
+        steps = steps.unionByName(known)
+    of_key = Window.partitionBy(key)
+    since = F.max(F.when(F.col("_open"), F.col("valid_from"))).over(of_key)
+    newer = F.col("_since").isNull() | (F.col("valid_from") > F.col("_since"))
+    kept = steps.withColumn("_since", since).filter(F.col("_open") | newer)
+    until = F.lead("valid_from").over(of_key.orderBy("valid_from"))
+    return kept.withColumn("valid_to", until).drop("_open", "_since")
+
+
 class HistoryTable:
     """A history kept as Parquet, advanced one batch at a time.
 
@@ -139,6 +171,15 @@ class HistoryTable:
         self._write(stepped, batch + 1, base)
         return batch + 1
 
+    def apply_all(self, observations: DataFrame, order: Sequence[Column] = ()) -> int:
+        """The snapshot steps of several periods at once; returns the committed batch number."""
+        batch, base = self._last_commit()
+        stepped = scd2_apply_all(
+            self.open_versions(), observations, self.key, self.updated_at, order
+        )
+        self._write(stepped, batch + 1, base)
+        return batch + 1
+
     def cut(self, period: dt.date) -> int:
         """Forget every version that started at ``period`` or later and reopen the ones before."""
         started = F.col("valid_from") < F.lit(period)

@@ -130,15 +130,20 @@ def unload(spark: SparkSession, table: str, file_names: Iterable[str]) -> None:
     df = read_table(spark, table)
     if df is None:
         return
-    schema = df.drop("source_file").schema
-    empty = spark.createDataFrame([], schema)
+    empty_partitions(df.drop("source_file"), [_partition(table, name) for name in file_names])
 
-    def clear(name: str) -> None:
-        empty.write.mode("overwrite").parquet(_partition(table, name))
 
-    # nothing but one small job per file, so several run at a time
+def empty_partitions(rows: DataFrame, paths: Iterable[str]) -> None:
+    """Leave no row in the partitions at ``paths``, which hold the columns of ``rows``."""
+    spark = rows.sparkSession
+    empty = spark.createDataFrame([], rows.schema).coalesce(1)
+
+    def clear(path: str) -> None:
+        empty.write.mode("overwrite").parquet(path)
+
+    # nothing but one small job per partition, so several run at a time
     with ThreadPoolExecutor(8) as pool:
-        list(pool.map(inheritable_thread_target(spark)(clear), file_names))
+        list(pool.map(inheritable_thread_target(spark)(clear), paths))
 
 
 def unload_from(spark: SparkSession, table: str, period: dt.date) -> list[str]:
