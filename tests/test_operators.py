@@ -393,6 +393,49 @@ def test_versions_are_counted_by_a_sweep(spark, plain_shuffles, hot):
     assert text.count("Window ") == 1 and "SortMergeJoin" not in text
 
 
+def test_declared_tests_read_each_table_once(spark, plain_shuffles):
+    from tidemark.operators import quality
+
+    spark.createDataFrame(
+        [(1, "a", 1), (1, None, 2), (2, "a", 9), (None, None, None), (None, "b", 9)],
+        "id INT, name STRING, fk LONG",
+    ).write.mode("overwrite").parquet(f"{spark.conf.get('spark.checkpoint.dir')}/tested_a")
+    spark.createDataFrame([(1, 5), (2, 5), (7, None)], "pk INT, other INT").write.mode(
+        "overwrite"
+    ).parquet(f"{spark.conf.get('spark.checkpoint.dir')}/tested_b")
+    read = lambda n: spark.read.parquet(f"{spark.conf.get('spark.checkpoint.dir')}/tested_{n}")
+    tables = {"a": read("a"), "b": read("b"), "none": read("b").limit(0)}
+    found = quality.column_tests(
+        tables,
+        {"a": ["id", "name"], "b": ["pk", "other"], "none": ["pk"]},
+        {"a": ["id", "name", "fk"], "b": ["pk"], "none": ["other"]},
+        [("a", "fk", "b", "pk"), ("b", "other", "a", "id"), ("none", "pk", "a", "id"),
+         ("b", "pk", "none", "pk")],
+    )
+    assert {(r.table_name, r.column_name, r.test, r.failures) for r in found.collect()} == {
+        ("a", "id", "unique", 1), ("a", "name", "unique", 1), ("b", "pk", "unique", 0),
+        ("b", "other", "unique", 1), ("none", "pk", "unique", 0), ("a", "id", "not_null", 2),
+        ("a", "name", "not_null", 2), ("a", "fk", "not_null", 1), ("b", "pk", "not_null", 0),
+        ("none", "other", "not_null", 0), ("a", "fk", "relationships", 2),
+        ("b", "other", "relationships", 2), ("none", "pk", "relationships", 0),
+        ("b", "pk", "relationships", 3),
+    }
+    two = {n: tables[n] for n in "ab"}
+    plan = quality.column_tests(two, {"a": ["id", "name"], "b": ["pk"]}, {"a": ["fk"]}, [("a", "fk", "b", "pk")])
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 2 and "SortMergeJoin" not in text
+
+
+def test_best_types_scan_the_fact_once(spark, plain_shuffles):
+    from tidemark.catalogue import tables as t
+
+    s = t.star(spark, "/root/testdata/sf0.001")
+    for report in (reports.best_types, reports.best_types_by_occupancy):
+        plan = report(s.fact, s.dim_property)._jdf.queryExecution().executedPlan().toString()
+        # the fact and the dimension
+        assert plan.count("FileScan") == 2
+
+
 @pytest.fixture
 def plain_shuffles(spark):
     settings = {

@@ -671,6 +671,58 @@ def mortgage_coverage(spark, sf_dir):
     return plain(reports.mortgage_coverage(s.fact, s.dim_lga, s.g02, periods=1))
 
 
+# every host a customer with orders in up to twelve calendar months; one in seven has a listing
+# per order, the others one listing
+_CUSTOMER_FACT = """ cust as (
+    select o_custkey as host_id,
+      case when o_custkey % 7 = 0 then o_orderkey else o_custkey end as listing_id,
+      month(o_orderdate) as present_in, c_nationkey as lga_code,
+      cast(o_totalprice as decimal(13,2)) as revenue
+    from orders join customer on o_custkey = c_custkey)"""
+
+
+@query(
+    "report_mortgage_coverage_twelve_months",
+    with_tables(
+        "dim_lga g02",
+        f""", {_CUSTOMER_FACT}, hosts as (
+          select l.lga_name, h.revenue, h.present, g2.median_mortgage_repay_monthly * 36 as due
+          from (select host_id, count(distinct present_in) as present, min(lga_code) as lga_code,
+                  sum(revenue) as revenue
+                from cust group by host_id having count(distinct listing_id) = 1) h
+          join dim_lga l on h.lga_code = l.lga_code and l.is_current
+          join g02 g2 on h.lga_code = g2.lga_code)
+        select coalesce(lga_name, 'ALL LGAs') as lga_name, count(*) as nb_single_hosts,
+          cast(case when lga_name is not null then max(due) end as bigint) as annual_mortgage,
+          {rounded("percentile_cont(0.5) within group (order by cast(revenue as double))", 2)}
+            as median_revenue_12m,
+          count(*) filter (where revenue >= due) as hosts_covering,
+          {rounded("100.0 * count(*) filter (where revenue >= due) / count(*)", 1)} as pct_covering,
+          count(*) filter (where present = 12) as hosts_all_year,
+          {rounded('''100.0 * count(*) filter (where present = 12 and revenue >= due)
+             / nullif(count(*) filter (where present = 12), 0)''', 1)} as pct_covering_all_year
+        from hosts group by grouping sets ((lga_name), ())""",
+    ),
+)
+def mortgage_coverage_twelve_months(spark, sf_dir):
+    """Customers as hosts, so that some are present in all twelve months and some are not."""
+    orders = t.table(spark, sf_dir, "orders")
+    customer = t.table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    listing = F.when(F.col("o_custkey") % 7 == 0, F.col("o_orderkey")).otherwise(F.col("o_custkey"))
+    fact = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
+        F.col("o_custkey").alias("host_id"),
+        listing.alias("listing_id"),
+        F.make_date(F.lit(2020), F.month("o_orderdate"), F.lit(1)).alias("month_date"),
+        F.col("c_nationkey").cast("int").alias("lga_code"),
+        F.col("o_totalprice").cast("decimal(13,2)").alias("estimated_revenue"),
+    )
+    s = t.star(spark, sf_dir)
+    # figures of three years, which is about what the orders of a customer add up to
+    repay = (F.col("median_mortgage_repay_monthly") * 3).alias("median_mortgage_repay_monthly")
+    g02 = s.g02.select("lga_code", repay)
+    return plain(reports.mortgage_coverage(fact, s.dim_lga, g02, periods=12))
+
+
 @query(
     "report_series",
     with_tables(

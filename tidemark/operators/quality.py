@@ -65,39 +65,78 @@ def column_tests(
     required: Mapping[str, Sequence[str]],
     references: Sequence[tuple[str, str, str, str]] = (),
 ) -> DataFrame:
-    """All declared tests as rows (table, column, test, failures)."""
-
-    def row(table: str, column: str, test: str, failures: DataFrame) -> DataFrame:
-        return failures.select(
-            F.lit(table).alias("table_name"),
-            F.lit(column).alias("column_name"),
-            F.lit(test).alias("test"),
-            F.col("failures"),
-        )
+    """All declared tests as rows (table, column, test, failures), from one scan per table.
 
-    results = []
-    for table, columns in unique_keys.items():
-        for c in columns:
-            repeats = unique(tables[table], c).agg(F.count("*").alias("failures"))
-            results.append(row(table, c, "unique", repeats))
-    for table, columns in required.items():
-        wide = not_null(tables[table], *columns)
-        pairs = ", ".join(f"'{c}', `{c}`" for c in columns)
-        results.append(
-            wide.selectExpr(f"stack({len(columns)}, {pairs}) AS (column_name, failures)").select(
-                F.lit(table).alias("table_name"),
-                "column_name",
-                F.lit("not_null").alias("test"),
-                "failures",
-            )
-        )
+    The tested columns of a row become (column, value) pairs, which are counted; columns that are
+    only tested for NULL have one value for all that is known. A value that comes twice is no
+    unique one, the pair without a value counts the NULLs, and a key and the keys it refers to
+    meet by their value.
+    """
+    tests: list[tuple[str, str, str]] = []
+    roles: dict[tuple[str, str], list[tuple[int, str]]] = {}
+
+    def declare(test: str, *columns: tuple[str, str, str]) -> None:
+        for table, column, role in columns:
+            roles.setdefault((table, column), []).append((len(tests), role))
+        tests.append((*columns[0][:2], test))
+
+    for test, declared, role in (
+        ("unique", unique_keys, "unique"), ("not_null", required, "known")
+    ):
+        for table, columns in declared.items():
+            for c in columns:
+                declare(test, (table, c, role))
     for table, fk, target, pk in references:
-        # rows are counted per key first, so a frequent key is joined once
-        per_key = tables[table].groupBy(fk).agg(F.count("*").alias("n"))
-        orphans = relationships(per_key, fk, tables[target], pk)
-        rows = F.coalesce(F.sum("n"), F.lit(0)).alias("failures")
-        results.append(row(table, fk, "relationships", orphans.agg(rows)))
-    return union_checks(*results)
+        declare("relationships", (table, fk, "key"), (target, pk, "listed"))
+
+    numbers = {column: i for i, column in enumerate(roles)}
+    pairs = []
+    for name, df in tables.items():
+        values = []
+        for (table, c), uses in roles.items():
+            if table == name:
+                value = F.col(c).cast("string")
+                if all(role == "known" for _, role in uses):
+                    value = F.when(F.col(c).isNotNull(), F.lit(""))
+                values.append(F.struct(F.lit(numbers[table, c]).alias("column"), value.alias("value")))
+        if values:
+            pairs.append(df.select(F.inline(F.array(*values))))
+    spec = F.create_map(*[
+        x
+        for column, uses in roles.items()
+        for x in (
+            F.lit(numbers[column]),
+            F.array(*[F.struct(F.lit(t).alias("test"), F.lit(r).alias("role")) for t, r in uses]),
+        )
+    ])
+    counted = reduce(DataFrame.unionAll, pairs).groupBy("column", "value").agg(
+        F.count("*").alias("n")
+    )
+    used = counted.select("value", "n", F.inline(F.element_at(spec, F.col("column"))))
+    known, role, n = F.col("value").isNotNull(), F.col("role"), F.col("n")
+    by_value = F.when(role.isin("key", "listed"), F.col("value"))
+    met = used.groupBy("test", by_value.alias("by_value")).agg(
+        F.sum(
+            F.when((role == "unique") & known & (n > 1), 1)
+            .when((role == "known") & ~known, n)
+            .otherwise(0)
+        ).alias("failures"),
+        F.sum(F.when((role == "key") & known, n).otherwise(0)).alias("referring"),
+        F.max((role == "listed") & known).alias("listed"),
+    )
+    lost = F.when(F.col("listed"), 0).otherwise(F.col("referring"))
+    per_test = met.groupBy("test").agg(F.sum(F.col("failures") + lost).alias("failures"))
+    names = counted.sparkSession.createDataFrame(
+        [(i, *test) for i, test in enumerate(tests)],
+        "number INT, table_name STRING, column_name STRING, test_name STRING",
+    )
+    # as many rows as there are tests; those of empty tables fail nowhere
+    return names.join(F.broadcast(per_test), F.col("number") == F.col("test"), "left").select(
+        "table_name",
+        "column_name",
+        F.col("test_name").alias("test"),
+        F.coalesce("failures", F.lit(0)).alias("failures"),
+    )
 
 
 # --- versions ----------------------------------------------------------------

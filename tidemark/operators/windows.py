@@ -88,6 +88,13 @@ def top_k_per_group(
     return df.withColumn(rank_col, F.rank().over(window)).filter(F.col(rank_col) <= k)
 
 
+def group_spread(df: DataFrame, group: Sequence[str], column: str, name: str) -> DataFrame:
+    """:func:`spread` of a result already aggregated, by a window that shares the shuffle of
+    other windows over the same groups."""
+    whole = Window.partitionBy(*group)
+    return df.withColumn(name, F.max(column).over(whole) - F.min(column).over(whole))
+
+
 def spread(df: DataFrame, group: Sequence[str], column: str, name: str) -> DataFrame:
     """Add ``max - min`` of the group to each of its rows, from a pre-aggregated table."""
     gap = df.groupBy(*group).agg((F.max(column) - F.min(column)).alias(name))

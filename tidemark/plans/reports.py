@@ -18,14 +18,14 @@ from tidemark.functions.numbers import (
     weighted_mean,
 )
 from tidemark.operators.aggregates import bucketize, composition, exact_median, with_total
-from tidemark.operators.joins import current_join, null_safe_join, restrict_to
+from tidemark.operators.joins import current_join, null_safe_join
 from tidemark.operators.pointintime import pit_join
 from tidemark.operators.topk import top_bottom, top_k
 from tidemark.operators.windows import (
     global_rank,
     group_rank,
+    group_spread,
     share_of_total,
-    spread,
     top_k_per_group,
 )
 
@@ -208,8 +208,8 @@ def correlation_detail(fact: DataFrame, dim_lga: DataFrame, g02: DataFrame) -> D
 def types_in_best_areas(fact: DataFrame, dim_property: DataFrame, areas: int = 5) -> DataFrame:
     """Listing types inside the best areas by revenue, one row per type.
 
-    The point-in-time join runs once: the areas' revenue is the sum over their
-    types, so both levels come from the same aggregate.
+    The point-in-time join runs once: the areas' revenue is the sum over their types, so both
+    levels come from the same aggregate. A list holds the types of one area, not its rows.
     """
     wanted = fact.select(
         "listing_id", "month_date", ACTIVE, "number_of_stays", "price", "estimated_revenue"
@@ -225,13 +225,16 @@ def types_in_best_areas(fact: DataFrame, dim_property: DataFrame, areas: int = 5
         half_up(mean("estimated_revenue", active), 2).alias("avg_revenue_per_active_listing"),
         F.sum("estimated_revenue").alias("_revenue"),
     )
+    # an area's types travel with its revenue, so that the fact is read once
+    types = [c for c in by_type.columns if c not in ("listing_neighbourhood", "_revenue")]
     per_area = by_type.groupBy("listing_neighbourhood").agg(
         ratio(
             F.sum("_revenue").cast("decimal(28,2)"),
             F.sum("active_listing_months").cast(COUNT),
         )
         .cast("decimal(18,6)")
-        .alias("area_revenue")
+        .alias("area_revenue"),
+        F.collect_list(F.struct(*types)).alias("_types"),
     )
     best = top_k(
         per_area.filter("listing_neighbourhood IS NOT NULL"),
@@ -239,7 +242,7 @@ def types_in_best_areas(fact: DataFrame, dim_property: DataFrame, areas: int = 5
         areas,
         [F.col("listing_neighbourhood")],
     )
-    return restrict_to(by_type.drop("_revenue"), best, "listing_neighbourhood")
+    return best.select("listing_neighbourhood", F.inline("_types"), "area_revenue")
 
 
 def best_types(
@@ -291,7 +294,7 @@ def best_types_by_occupancy(
         F.col("total_stays").desc_nulls_last()
     )
     types = types.withColumn("rank_by_total_stays", F.rank().over(by_stays))
-    types = spread(types, ["listing_neighbourhood"], "avg_stays_per_month", "spread_in_the_area")
+    types = group_spread(types, ["listing_neighbourhood"], "avg_stays_per_month", "spread_in_the_area")
     ranked = top_k_per_group(
         types,
         ["listing_neighbourhood"],
@@ -446,13 +449,15 @@ def mortgage_coverage(
         ],
         total_label,
     )
-    medians = exact_median(hosts, ["lga_name"], "revenue", "median").withColumn(
-        "is_total", F.lit(0)
+    # revenues are counted once per area and once for all, and both medians found together
+    levels = F.array(
+        F.struct(F.col("lga_name"), F.lit(0).alias("is_total")),
+        F.struct(F.lit(total_label).alias("lga_name"), F.lit(1).alias("is_total")),
     )
-    overall = exact_median(hosts, [], "revenue", "median").withColumns(
-        {"lga_name": F.lit(total_label), "is_total": F.lit(1)}
-    )
-    rows = null_safe_join(rows, medians.unionByName(overall), ["lga_name", "is_total"], "left")
+    counted = hosts.groupBy("lga_name", "revenue").agg(F.count("*").alias("n"))
+    counted = counted.select("revenue", "n", F.inline(levels))
+    medians = exact_median(counted, ["lga_name", "is_total"], "revenue", "median", "n")
+    rows = null_safe_join(rows, medians, ["lga_name", "is_total"], "left")
     return (
         rows.withColumn(
             "annual_mortgage", F.when(F.col("is_total") == 0, F.col("annual_mortgage"))
