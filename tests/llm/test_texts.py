@@ -400,3 +400,17 @@ def test_sketches_merge_and_contain(spark):
     ).first()
     assert set(got["m"]) == set(got["z"]) and got["inside"] == 1.0
     assert 0.5 < got["around"] < 0.85
+
+
+def test_a_short_text_in_a_long_one_is_contained_or_not_estimated(spark):
+    r = random.Random(6)
+    word = lambda: "".join(r.choices("abcdefgh", k=6))
+    rows = []
+    for _ in range(120):
+        short = " ".join(word() for _ in range(r.randrange(5, 13)))
+        around = [" ".join(word() for _ in range(500)) for _ in range(2)]
+        rows.append((short, f"{around[0]} {short} {around[1]}"))
+    texts = spark.createDataFrame(rows, "short STRING, long STRING")
+    inside = sketches.containment(sketches.sketch(F.col("short")), sketches.sketch(F.col("long")))
+    got = [row[0] for row in texts.select(inside).collect()]
+    assert set(got) == {1.0, None} and 10 < got.count(None) < 110

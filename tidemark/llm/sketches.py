@@ -69,8 +69,13 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def containment(a: Column, b: Column) -> Column:
-    """Estimated share of the first text's shingles that the second has; null if it has none."""
-    return F.size(F.array_intersect(a, b)) / F.nullif(F.size(a), F.lit(0))
+    """Estimated share of the first text's shingles that the second has.
+
+    Null where there is no estimate: the first text has no shingle, or keeps none below the
+    threshold and stands for itself by its smallest hash, which a longer text need not keep.
+    """
+    kept = F.forall(a, lambda h: (h >= 0) & (h < 1 << (64 - SHIFT)))
+    return F.when(kept, F.size(F.array_intersect(a, b)) / F.nullif(F.size(a), F.lit(0)))
 
 
 def as_text(kept: Column) -> Column:
