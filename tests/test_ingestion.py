@@ -456,6 +456,39 @@ def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
 
 
+def test_marts_use_the_buckets_of_gold(spark, tmp_path):
+    """Fact and properties in buckets within months: no shuffle of either for their join."""
+    from tidemark.operators.pointintime import pit_join
+
+    month = F.make_date(F.lit(2020), (F.col("id") % 3 + 1).cast("int"), F.lit(1))
+    listing = (F.col("id") % 50).alias("listing_id")
+    fact = spark.range(600).select(listing, "id", month.alias("month_date"))
+    versions = [("1900-01-01", "2020-02-01", "a"), ("2020-02-01", "9999-12-31", "b")]
+    dim = spark.range(40).select(F.col("id").alias("listing_id")).crossJoin(
+        spark.createDataFrame(versions, "f STRING, t STRING, kind STRING")
+    ).selectExpr("listing_id", "date(f) AS valid_from", "date(t) AS valid_to", "kind")
+    root = str(tmp_path / "gold")
+    a = load.write_table(fact, root, "gold", "f", "month_date", "listing_id", 4, "gold_f_buckets")
+    b = load.write_table(dim, root, "gold", "d", None, "listing_id", 4, "gold_d_buckets")
+    assert a.columns == fact.columns
+    files = [p.relative_to(tmp_path) for p in tmp_path.rglob("*.parquet")]
+    assert len([p for p in files if "month_date=2020-01-01" in str(p)]) <= 4
+
+    def rows(df):
+        return sorted((r.listing_id, r.id, r.month_date, r.kind or "") for r in df.collect())
+
+    for how in ("inner", "left"):
+        met = pit_join(a, b, "listing_id", how=how)
+        assert met.columns == ["listing_id", "id", "month_date", "kind"]
+        assert rows(met) == rows(pit_join(fact, dim, "listing_id", how=how))
+        text = met._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in text and "Window" in text
+        # a hot key leaves its bucket
+        hot = pit_join(a, b, "listing_id", how=how, hot=[3])
+        assert rows(hot) == rows(met)
+        assert "Exchange hashpartitioning(_key" in hot._jdf.queryExecution().executedPlan().toString()
+
+
 def test_an_unreadable_table_is_not_taken_for_an_absent_one(spark, tmp_path):
     assert read_if_present(spark, str(tmp_path / "none")) is None
     (tmp_path / "bad").mkdir()

@@ -160,6 +160,75 @@ def test_spearman_of_a_monotone_pair(spark):
     assert reports.spearman(df, "x", "y").first()[0] == pytest.approx(1.0)
 
 
+def ranks_of(values, ties):
+    """The rank of each value among all, ties at their first place or their middle."""
+    below = {v: sum(w < v for w in values) for v in set(values)}
+    same = {v: values.count(v) for v in set(values)}
+    return [below[v] + (1 if ties == "min" else (same[v] + 1) / 2) for v in values]
+
+
+@pytest.mark.parametrize("ties", ["min", "average"])
+@pytest.mark.parametrize("hot", [False, True])
+def test_spearman_counts_equal_pairs_once(spark, ties, hot):
+    """Half of all rows share x, money on the other side, rows without a value are left out."""
+    rng = random.Random(11)
+    rows = []
+    for _ in range(500):
+        x = rng.choice([7, 7, rng.randint(-40, 40), None])
+        rows.append((x, rng.choice([None, money((x or 0) * 50 + rng.randint(-900, 900))])))
+    df = spark.createDataFrame(rows, "x INT, y DECIMAL(12,2)")
+    full = [(x, y) for x, y in rows if x is not None and y is not None]
+    want = statistics.correlation(*[ranks_of(list(side), ties) for side in zip(*full)])
+    some = {"hot_x": (7,), "hot_y": (Decimal("3.50"),)} if hot else {}
+    assert reports.spearman(df, "x", "y", ties, **some).first()[0] == pytest.approx(want, abs=1e-12)
+
+
+@pytest.mark.parametrize("ties", ["min", "average"])
+def test_spearman_without_spread_is_null(spark, ties):
+    df = spark.range(30).select(F.lit(3).alias("x"), F.col("id").alias("y"))
+    for rows in (df, df.limit(1), df.limit(0)):
+        assert reports.spearman(rows, "x", "y", ties).first()[0] is None
+
+
+def test_spearman_sends_pairs_and_not_rows(spark, plain_shuffles):
+    """After the count of pairs, whose shuffle is partial already, no row meets a rank."""
+    rows = spark.range(20_000).select((F.col("id") % 4).alias("x"), (F.col("id") % 3).alias("y"), "id")
+    corr = reports.spearman(rows, "x", "y")
+    text = corr._jdf.queryExecution().executedPlan().toString()
+    # the rows are read for the counts alone; margins and pairs share one shuffle of them
+    assert text.count("Range (") == 1 and text.count("ReusedExchange") >= 2
+    assert corr.first()[0] == pytest.approx(0.0, abs=1e-3)
+
+
+def test_portfolios_against_plain_python(spark, plain_shuffles):
+    """Listings that move, repeat a month or have no id, hosts and months that are not known."""
+    rng = random.Random(3)
+    months = [dt.date(2020, m, 1) for m in (5, 6, 7)] + [None]
+    rows = [
+        (rng.choice([1, 1, 1, *range(2, 40), None]), rng.choice([*range(60), None]),
+         rng.choice(months), rng.choice([10, 10, 10, 20, 30, None]))
+        for _ in range(900)
+    ]
+    df = spark.createDataFrame(rows, "host_id INT, listing_id INT, month_date DATE, lga_code INT")
+    hosts = reports.host_portfolios(df.repartition(7))
+    want = {}
+    for host in {h for h, _, _, a in rows if a is not None}:
+        own = {(x, m, a) for h, x, m, a in rows if h == host and a is not None}
+        in_month = [{(x, a) for x, k, a in own if k == m} for m in {m for _, m, _ in own}]
+        listings = [len({x for x, _ in s} - {None}) for s in in_month]
+        want[host] = (
+            len({x for x, _, _ in own} - {None}),
+            len({a for _, _, a in own}),
+            max(listings),
+            max(len({a for _, a in s}) for s in in_month),
+            sum(listings),
+        )
+    assert {r[0]: tuple(r[1:]) for r in hosts.collect()} == want
+    text = hosts._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in text and "Join" not in text and text.count("Exchange ") == 4
+    assert hosts.filter("host_id IS NULL").count() == 1
+
+
 def test_latest_per_key_limits_before_the_shuffle(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("k"), "id")
     plan = windows.latest_per_key(df, ["k"], [F.col("id").desc()])

@@ -9,6 +9,7 @@ from tidemark.catalogue import tables as t
 from tidemark.catalogue.sql import dbl, kpis, rounded, with_tables
 from tidemark.catalogue.tables import AGE_COLUMNS, MEDIAN_DIVISORS, plain
 from tidemark.operators import history as h
+from tidemark.operators.joins import partitions
 from tidemark.operators.pointintime import pit_join
 from tidemark.plans import marts, reports, silver, star
 from tidemark.plans.silver import LISTING_COLUMNS
@@ -351,6 +352,16 @@ def mart_listing_neighbourhood(spark, sf_dir):
     )
 
 
+@query("mart_copartitioned_gold", with_tables("area_kpis", "select * from area_kpis"))
+def mart_copartitioned_gold(spark, sf_dir):
+    """The same mart from a fact and properties in equal buckets within the months."""
+    built = t.star(spark, sf_dir)
+    s = star.co_partitioned(built, shared_dir(spark, "buckets"), partitions(built.fact))
+    return plain(
+        marts.dm_listing_neighbourhood(s.fact, s.dim_property, s.dim_host, s.host_slices)
+    )
+
+
 @query(
     "mart_property_type",
     with_tables(

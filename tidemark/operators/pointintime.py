@@ -85,7 +85,8 @@ def pit_join(
         found = [F.col(f"_version.{c}").alias(c) for c in names]
     else:
         found = [F.when(valid, F.col(f"_version.{c}")).alias(c) for c in names]
-    return met.select(*fact.columns, *found)
+    own = [F.col("_key").alias(c) if c == on else F.col(c) for c in fact.columns]
+    return met.select(*own, *found)
 
 
 def timeline(
@@ -100,6 +101,8 @@ def timeline(
 
     A version is a row of the slices it is valid in, so only those of hot keys are repeated.
     Versions that are never valid are left out, as are facts without a key in an inner join.
+    A shared key column is ``_key`` alone, so that two tables with equal buckets on it
+    stay in their buckets and need no shuffle.
     """
     left_key, right_key = (on, on) if isinstance(on, str) else on
     names = [c for c in dim.columns if c not in (right_key, "valid_from", "valid_to")]
@@ -110,6 +113,8 @@ def timeline(
         F.struct(F.col("valid_to").alias("_to"), *names).alias("_version"),
     )
     facts = fact.withColumns({"_key": col(left_key), "_at": F.col(at), "_kind": F.lit(1)})
+    if isinstance(on, str):
+        facts = facts.drop(on)
     kinds = {df.schema["_at"].dataType for df in (facts, versions)}
     if len(kinds) > 1:
         facts, versions = (df.withColumn("_at", F.col("_at").cast(T.TimestampType())) for df in (facts, versions))
@@ -118,7 +123,9 @@ def timeline(
     facts = _placed_facts(facts, hot)
     versions = versions.filter("_key IS NOT NULL")
     versions = _placed_versions(versions, F.col("_at"), F.col("_version._to"), hot)
-    return facts.unionByName(versions, allowMissingColumns=True)
+    line = facts.unionByName(versions, allowMissingColumns=True)
+    # buckets would hold a hot key together
+    return line.repartition("_key", "_place") if hot else line
 
 
 def count_versions(

@@ -154,22 +154,36 @@ def global_rank(
 ) -> DataFrame:
     """Rank over all rows without sorting them in one task.
 
-    Equal values are counted first. The counts are then placed on a scale of
-    10**6-wide cells, and each window runs over cells or over the values of one
-    cell, which bounds it by 10**6 rows whatever the table's size. ``ties`` is
-    ``min`` (SQL rank) or ``average``. NULL gets no rank.
+    Equal values are counted first and ranked by :func:`value_ranks`, so the rows themselves
+    are only joined to the rank of their value. ``ties`` is ``min`` (SQL rank) or ``average``.
+    NULL gets no rank.
     """
     units, precision, _ = scaled_units(df, column)
     units = -units if descending else units
     valued = df.withColumn("_units", units)
-    counts = valued.filter("_units IS NOT NULL").groupBy("_units").agg(F.count("*").alias("_n"))
-    levels = cells(F.col("_units"), precision)
+    single = valued.filter("_units IS NOT NULL").select("_units", F.lit(1).alias("_n"))
+    ranks = value_ranks(single, precision, name, ties).select("_value", name)
+    return salted_join(valued, ranks, "_units", "_value", "left", hot=hot).drop("_units")
+
+
+def value_ranks(
+    counts: DataFrame, precision: int, name: str = "rank", ties: str = "min"
+) -> DataFrame:
+    """(_value, _n, rank) of values ``counts`` (_units, _n) of ``precision`` digits, summed here.
+
+    The sums are placed on a scale of 10**6-wide cells, and each window runs over cells or
+    over the values of one cell, which bounds it by 10**6 rows whatever the table's size.
+    """
+    levels = cells(F.col("_own"), precision)
     names = [f"_cell_{i}" for i in range(len(levels) - 1)] + ["_value"]
-    ranked = counts.select(*[c.alias(n) for c, n in zip(levels, names)], "_n")
-    ranked = ranked.withColumn("_below", F.lit(0).cast("bigint"))
+    # cells of an aggregated column: what the joins below imply of a cell then stays above
+    # the sums, so that all branches share the shuffle of one and the same plan
+    summed = counts.groupBy("_units").agg(F.sum("_n").alias("_n"), F.min("_units").alias("_own"))
+    placed = summed.select(*[c.alias(n) for c, n in zip(levels, names)], "_n")
+    ranked = placed.withColumn("_below", F.lit(0).cast("bigint"))
     for depth in range(1, len(names)):
         path = names[:depth]
-        sizes = ranked.groupBy(*path).agg(F.sum("_n").alias("_size"))
+        sizes = placed.groupBy(*path).agg(F.sum("_n").alias("_size"))
         window = Window.partitionBy(*path[:-1]).orderBy(path[-1])
         before = sizes.withColumn("_before", F.sum("_size").over(window) - F.col("_size"))
         ranked = (
@@ -183,5 +197,4 @@ def global_rank(
         rank = below + 1
     else:
         rank = (below.cast("double") + (F.col("_n") + 1) / 2).cast("double")
-    ranks = ranked.select("_value", rank.alias(name))
-    return salted_join(valued, ranks, "_units", "_value", "left", hot=hot).drop("_units")
+    return ranked.select("_value", "_n", rank.alias(name))

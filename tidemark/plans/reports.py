@@ -18,15 +18,16 @@ from tidemark.functions.numbers import (
     weighted_mean,
 )
 from tidemark.operators.aggregates import bucketize, composition, exact_median, with_total
-from tidemark.operators.joins import current_join, null_safe_join
+from tidemark.operators.joins import current_join, null_safe_join, salted_join
 from tidemark.operators.pointintime import pit_join
 from tidemark.operators.topk import top_bottom, top_k
 from tidemark.operators.windows import (
-    global_rank,
     group_rank,
     group_spread,
+    scaled_units,
     share_of_total,
     top_k_per_group,
+    value_ranks,
 )
 
 ACTIVE = "has_availability"
@@ -148,11 +149,39 @@ def spearman(
     df: DataFrame, x: str, y: str, ties: str = "min", hot_x: tuple = (), hot_y: tuple = ()
 ) -> DataFrame:
     """Rank correlation as one row. ``ties='min'`` ranks ties at their first place,
-    ``'average'`` at their middle. The ranks come from value counts, not a global sort."""
-    ranked = global_rank(df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()), x, "_rx",
-                         ties=ties, hot=hot_x)
-    ranked = global_rank(ranked, y, "_ry", ties=ties, hot=hot_y)
-    return ranked.agg(pearson("_rx", "_ry").alias("spearman_corr"))
+    ``'average'`` at their middle. NULL when a side has one value only.
+
+    Equal pairs (x, y) are counted once, and only those counts go on: each side's ranks come
+    from its margin, and the correlation weighs a pair by its count. ``hot_x`` and ``hot_y``
+    are values with many different partners.
+    """
+    sides = {"_x": (x, hot_x), "_y": (y, hot_y)}
+    scales = {side: scaled_units(df, column) for side, (column, _) in sides.items()}
+    pairs = (
+        df.select(*[units.alias(side) for side, (units, _, _) in scales.items()])
+        .filter("_x IS NOT NULL AND _y IS NOT NULL")
+        .groupBy(*sides)
+        .agg(F.count("*").alias("_n"))
+    )
+    weighed = pairs
+    for side, (_, hot) in sides.items():
+        _, precision, scale = scales[side]
+        margin = pairs.select(F.col(side).alias("_units"), "_n")
+        ranks = value_ranks(margin, precision, "_rank", ties)
+        weight = F.col("_n") * F.col("_rank").cast("double")
+        middle = ranks.agg((F.sum(weight) / F.sum("_n")).alias("_mean"))
+        # the distance of each value from the mean rank, which is one row
+        placed = ranks.crossJoin(F.broadcast(middle)).select(
+            "_value", (F.col("_rank") - F.col("_mean")).alias(f"_from{side}")
+        )
+        spread_over = [int(value * 10**scale) for value in hot]
+        weighed = salted_join(weighed, placed, side, "_value", hot=spread_over)
+
+    def moment(a: str, b: str) -> Column:
+        return F.sum(F.col("_n") * F.col(a) * F.col(b))
+
+    deviations = F.sqrt(moment("_from_x", "_from_x")) * F.sqrt(moment("_from_y", "_from_y"))
+    return weighed.agg(ratio(moment("_from_x", "_from_y"), deviations).alias("spearman_corr"))
 
 
 def _attributes_and_revenue(fact: DataFrame, dim_lga: DataFrame, g02: DataFrame) -> DataFrame:
@@ -326,28 +355,49 @@ def best_types_by_occupancy(
 def host_portfolios(fact: DataFrame) -> DataFrame:
     """Per host: distinct listings and areas, over all months and in the busiest one.
 
-    The first step reduces to (host, month, listing, area), spread by all four,
-    so that a host with a third of all rows is not gathered in one task.
+    The first step gathers the months and areas of each (host, listing), so that a host with a
+    third of all rows is spread over its listings. From there on a listing counts where it is
+    first seen, overall and in each month, and counting needs neither a row expansion nor a
+    join: sums per (host, month), then one row per host. Lists are bounded by the months of a
+    listing and by the areas of the area table.
     """
-    seen = (
+    seen = F.array_sort(F.collect_set(F.struct("month_date", "lga_code")))
+    places = (
         fact.filter("lga_code IS NOT NULL")
-        .select("host_id", "month_date", "listing_id", "lga_code")
-        .distinct()
+        .groupBy("host_id", "listing_id")
+        .agg(seen.alias("_seen"))
+        .select(
+            "host_id",
+            F.col("listing_id").isNotNull().alias("_named"),
+            "_seen",
+            F.posexplode("_seen").alias("_i", "_place"),
+        )
+    )
+    first = F.col("_i") == 0
+    new_month = first | ~F.col("_seen")[F.col("_i") - 1]["month_date"].eqNullSafe(
+        F.col("_place.month_date")
     )
-    per_month = seen.groupBy("host_id", "month_date").agg(
-        F.count_distinct("listing_id").alias("listings"),
-        F.count_distinct("lga_code").alias("lgas"),
+    per_month = (
+        places.select(
+            "host_id",
+            "_place.*",
+            (F.col("_named") & first).alias("_first"),
+            (F.col("_named") & new_month).alias("_first_in_month"),
+        )
+        .groupBy("host_id", "month_date")
+        .agg(
+            F.count_if("_first").alias("fresh"),
+            F.count_if("_first_in_month").alias("listings"),
+            F.collect_set("lga_code").alias("lgas"),
+        )
     )
-    busiest = per_month.groupBy("host_id").agg(
+    return per_month.groupBy("host_id").agg(
+        F.sum("fresh").alias("nb_listings"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("lgas")))).cast("bigint").alias("nb_lga"),
         F.max("listings").alias("max_listings_in_one_month"),
-        F.max("lgas").alias("max_lgas_in_one_month"),
+        F.max(F.size("lgas")).cast("bigint").alias("max_lgas_in_one_month"),
         F.sum("listings").alias("listing_months"),
     )
-    overall = seen.groupBy("host_id").agg(
-        F.count_distinct("listing_id").alias("nb_listings"),
-        F.count_distinct("lga_code").alias("nb_lga"),
-    )
-    return null_safe_join(overall, busiest, ["host_id"])
 
 
 def portfolio_scope(fact: DataFrame) -> DataFrame:

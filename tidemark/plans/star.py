@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -24,6 +25,8 @@ from tidemark.sources.load import write_table
 LGA_ATTRIBUTES = ("lga_name", "lga_name_key")
 SUBURB_ATTRIBUTES = ("suburb_name", "lga_code", "lga_name")
 NIGHTS = 30
+# the tables that the marts join by listing
+BUCKETED = ("fact", "dim_property")
 
 
 def host_history(listings: DataFrame) -> DataFrame:
@@ -135,12 +138,14 @@ def build_star(
     g01: DataFrame | None = None,
     g02: DataFrame | None = None,
     root: str | None = None,
+    buckets: int = 0,
 ) -> Star:
     """All of gold from silver.
 
     With ``root`` the listings, the fact and the dimensions are written below it
     and read back, as marts and reports use each of them several times; without
-    it everything stays lazy.
+    it everything stays lazy. ``buckets`` writes the fact and the properties in equal buckets
+    (see :func:`co_partitioned`).
     """
     frames = {
         "dim_host": lambda: dim_host(host_history(silver)),
@@ -159,7 +164,7 @@ def build_star(
     else:
         silver = write_table(listings, root, "silver", "listings")
         hot_areas = tuple(heavy_keys(silver, F.upper("listing_neighbourhood")))
-        tables = _write_all(frames, root)
+        tables = _write_all(frames, root, buckets)
     slices = date_slices(tables["fact"], "host_id", "month_date")
     return Star(
         listings=silver,
@@ -170,16 +175,34 @@ def build_star(
     )
 
 
+def co_partitioned(star: Star, root: str, buckets: int) -> Star:
+    """The star with its fact and properties written again in equal buckets of the listing.
+
+    Joins of the two by listing then need no shuffle, in whichever mart or check. A bucket
+    is read by one task in each scan, so ``buckets`` should be a multiple of the cores, and so
+    many that a bucket of all months fits a task's memory. Listings are never hot: they have
+    one row a month. Hosts may be, so the second join of the marts keeps its shuffle.
+    """
+    frames = {name: (lambda df=getattr(star, name): df) for name in BUCKETED}
+    return replace(star, **_write_all(frames, root, buckets))
+
+
 def _write_all(
-    frames: Mapping[str, Callable[[], DataFrame | None]], root: str
+    frames: Mapping[str, Callable[[], DataFrame | None]], root: str, buckets: int = 0
 ) -> dict[str, DataFrame | None]:
     """Write independent tables at the same time; their jobs share the cluster."""
 
     def write(name: str) -> DataFrame | None:
         df = frames[name]()
+        if df is None:
+            return None
         # readers of one month open one partition
         by = "month_date" if name == "fact" else None
-        return df if df is None else write_table(df, root, "gold", name, by)
+        if not buckets or name not in BUCKETED:
+            return write_table(df, root, "gold", name, by)
+        # several warehouses may share a catalog
+        own = f"gold_{name}_{zlib.crc32(root.encode()):08x}"
+        return write_table(df, root, "gold", name, by, "listing_id", buckets, own)
 
     spark = SparkSession.active()
     with ThreadPoolExecutor(len(frames)) as pool:

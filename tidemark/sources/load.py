@@ -163,24 +163,23 @@ def write_table(
     partition_by: str | None = None,
     bucket_by: str | None = None,
     buckets: int = 0,
+    table: str | None = None,
 ) -> DataFrame:
     """Materialise a table and return it read back, which cuts its lineage.
 
-    Bucketed tables are registered as ``<layer>_<name>``; two tables with equal
-    buckets on their join key are joined without a shuffle.
+    Bucketed tables are registered as ``table``, by default ``<layer>_<name>``; two tables with
+    equal buckets on their join key are joined without a shuffle. With ``partition_by`` as well
+    every partition has its own buckets: one file each, as one task writes a bucket.
     """
     path = f"{root.rstrip('/')}/{layer}/{name}"
     if bucket_by:
-        # one task per bucket, so a bucket is one sorted file
-        (
-            df.repartition(buckets, bucket_by)
-            .write.mode("overwrite")
-            .bucketBy(buckets, bucket_by)
-            .sortBy(bucket_by)
-            .option("path", path)
-            .saveAsTable(f"{layer}_{name}")
-        )
-        return df.sparkSession.table(f"{layer}_{name}")
+        table = table or f"{layer}_{name}"
+        # the hash of the shuffle is that of the buckets, so a task has the rows of one bucket
+        writer = df.repartition(buckets, bucket_by).write.mode("overwrite").option("path", path)
+        if partition_by:
+            writer = writer.partitionBy(partition_by)
+        writer.bucketBy(buckets, bucket_by).sortBy(bucket_by).saveAsTable(table)
+        return df.sparkSession.table(table).select(df.columns)
     rows = one_writer_per(df, partition_by) if partition_by else df
     writer = rows.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS)
     if partition_by:
