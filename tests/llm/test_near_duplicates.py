@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 
 import numpy as np
@@ -140,7 +141,7 @@ def brute_links(rows, threshold=0.93):
                 continue
             if any(x is None or not np.isfinite(x) for x in (*u, *v)):
                 continue
-            u, v = np.array(u, np.float32).astype(float), np.array(v, np.float32).astype(float)
+            u, v = np.array(u, float), np.array(v, float)
             size = np.linalg.norm(u) * np.linalg.norm(v)
             if size and u @ v / size >= threshold:
                 links.append((i, j))
@@ -184,6 +185,49 @@ def test_embedding_links_equal_brute_force(spark, make_docs, monkeypatch, tile):
     assert got == want
 
 
+def test_embedding_components_stay_doubles(spark):
+    """Pairs that only more than 24 bits of a component can tell apart; sizes beyond a float."""
+    near, far = [1.0, math.tan(math.acos(0.93)) - 1e-12], [1.0, math.tan(math.acos(0.93)) + 1e-9]
+    rows = [(1, 0, [1.0, 0.0]), (2, 0, near), (3, 1, [1.0, 0.0]), (4, 1, far)]
+    rows += [(5, 2, [1e200, 2e200]), (6, 2, [1e-200, 2e-200]), (7, 2, [3e200, -1e200])]
+    df = spark.createDataFrame(rows, "vec_id LONG, label INT, embedding ARRAY<DOUBLE>")
+    assert found(embedding_dedup.near_duplicates(df)) == {
+        1: (1, 1), 2: (1, 1), 3: (0, 3), 4: (0, 4), 5: (1, 5), 6: (1, 5), 7: (0, 7),
+    }
+
+
+def test_tables_follow_the_bits():
+    assert embedding_dedup.tables_for(8, 0.93) == 16
+    for bits in (8, 12, 17, 24):
+        p = 1 - math.acos(0.93) / math.pi
+        tables = embedding_dedup.tables_for(bits, 0.93)
+        assert (1 - p**bits) ** tables <= embedding_dedup.MISS < (1 - p**bits) ** (tables - 1)
+    assert embedding_dedup.tables_for(30, 1.0) == 1
+
+
+@pytest.mark.parametrize("n", [1_500, 15_000])
+def test_large_labels_get_more_bits(spark, monkeypatch, n):
+    """Pairs at exactly 0.93 and above, planted among unrelated vectors of a large label."""
+    monkeypatch.setattr(embedding_dedup, "FULL", 2)
+    r = np.random.default_rng(8)
+    base = r.normal(size=(n, 32))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    side = r.normal(size=(n // 5, 32))
+    side -= (side * base[: n // 5]).sum(1, keepdims=True) * base[: n // 5]
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    cosines = r.choice([0.9301, 0.95, 0.92], n // 5)[:, None]
+    every = np.concatenate([base, cosines * base[: n // 5] + np.sqrt(1 - cosines**2) * side])
+    rows = [(i, 0 if i % 10 else 1, v.tolist()) for i, v in enumerate(every)]
+    pairs = [(i, n + i) for i in range(n // 5) if (i % 10 > 0) == ((n + i) % 10 > 0) and cosines[i, 0] > 0.93]
+    df = spark.createDataFrame(rows, "vec_id LONG, label INT, embedding ARRAY<DOUBLE>").repartition(6)
+    classes = df.withColumnsRenamed({"vec_id": "id"})
+    bits = {row["bits"] for row in embedding_dedup.signatures(classes).select("bits").distinct().collect()}
+    assert max(bits) == math.ceil(math.log2(0.9 * 1.2 * n / 2)) and len(bits) == 2
+    got = found(embedding_dedup.near_duplicates(df))
+    hit = sum(got[i][1] == got[j][1] for i, j in pairs)
+    assert hit >= 0.99 * len(pairs) and sum(c for c, _ in got.values()) <= 2 * len(pairs)
+
+
 def test_embedding_query(spark):
     rows = spark.read.parquet(f"{SF_DIR}/embeddings.parquet").collect()
     want = brute_links([(r["vec_id"], r["label"], r["embedding"]) for r in rows])
