@@ -150,6 +150,37 @@ def test_license_texts_are_found_without_title_wrapped_and_inside(make_docs):
     assert rows[8]["digest"] != rows[9]["digest"] != rows[10]["digest"]
 
 
+def test_licenses_with_many_holders_other_titles_and_typography(make_docs):
+    grant = licenses.KNOWN["MIT-text"]
+    holders = ", ".join(f"Holder Number {i} <h{i}@example.org>" for i in range(400))
+    curly = grant.replace('"Software"', "\u201cSoftware\u201d").replace('"AS IS"', "\u201eAS IS\u201c")
+    docs = make_docs([
+        (1, "MIT License\n\nCopyright (c) 2020 " + holders + "\n" + grant),
+        (2, curly.replace("to deal", "to\u00a0deal").replace(", free", " \u2013 free")),
+        (3, "\ufeff\u2022 " + grant + " \u2026"),
+        (4, "The MIT License\n\n" + grant), (5, "# The new BSD licence #\r\n" + licenses.ALL_KNOWN["BSD-3-Clause-text"]),
+        (6, "Copyright by " + "x\U0001f600" * 100_000 + " 2020 and " + "y" * 300_000 + "\n" + grant),
+        (7, "This is the license of a work that has far more words\n" + grant),
+        (8, "License\nReleased under the MIT License."), (9, "license " * 50_000), (10, "License\n"),
+        (11, "\u00a9 " + holders + " Permission is hereby granted" + grant[len("Permission is hereby granted"):]),
+    ])
+    got = {r["doc_id"]: r["license_id"] for r in licenses.scan(docs).collect()}
+    assert got == {
+        1: "MIT", 2: "MIT-text", 3: "MIT-text", 4: "MIT-text", 5: "BSD-3-Clause-text", 6: "MIT-text",
+        7: None, 8: None, 9: None, 10: None, 11: "MIT-text",
+    }
+
+
+def test_license_lines_of_the_body_stay(make_docs):
+    """Words of a license that begin a line with "copyright" are no copyright line."""
+    bsd = licenses.ALL_KNOWN["BSD-2-Clause-text"]
+    at = bsd.index("COPYRIGHT HOLDERS AND")
+    docs = make_docs([(1, bsd[:at] + "\n" + bsd[at:]), (2, "copyright notice and all of its words")])
+    got = {r["doc_id"]: r for r in licenses.scan(docs).collect()}
+    assert got[1]["license_id"] == "BSD-2-Clause-text"
+    assert got[2]["digest"] == hashlib.sha256(b"copyright notice and all of its words").hexdigest()
+
+
 def test_licenses_stay_in_the_jvm(odd_docs):
     plan = licenses.scan(odd_docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan

@@ -32,14 +32,22 @@ _NOT_HOLDER = (
 )
 HOLDER_LINE = (
     r"^[^a-z0-9\n]*(?:copyright[^a-z0-9\n]*(?:\(c\)|©)"
-    r"|(?:copyright|\(c\))[^\n]{0,60}?\b(?:19|20)[0-9]{2}\b|©"
+    r"|(?:copyright|\(c\))[^\n]*?\b(?:19|20)[0-9]{2}\b|©"
     rf"|copyright[ \t:]+(?!(?:{_NOT_HOLDER})\b)(?![^\n]*\b(?:liable|shall|notice)\b)"
     r"|all rights reserved(?=[^a-z0-9\n]*$))"
-    rf"(?:(?!{_BODY})[^\n]){{0,120}}(?=$|{_BODY})"
+    # possessive, so that a line of any length needs neither a second look nor a deep stack
+    rf"(?:(?!{_BODY})[^\n])*+"
 )
 # words of a known text that is looked for in runs of lines, at least
 LONG = 40
-PUNCTUATION = r"[^a-z0-9\x{80}-\x{10FFFF}]+"
+# all but ASCII letters and digits, and of the rest of Unicode the no-break space, guillemets, middle
+# dot, general punctuation (quotes, dashes, bullets, spaces), CJK punctuation and byte order mark
+PUNCTUATION = (
+    r"[^a-z0-9\x{80}-\x{9F}\x{A1}-\x{AA}\x{AC}-\x{B6}\x{B8}-\x{BA}\x{BC}-\x{1FFF}"
+    r"\x{2070}-\x{2FFF}\x{3040}-\x{FEFE}\x{FF00}-\x{10FFFF}]+"
+)
+# a first line of at most eight words that speaks of a license
+TITLE = r"(?id)\A\s*+(?=[^\n]*licen[sc]e)(?:[^\s]++[ \t]*+){1,8}+\r?\n"
 
 # Spellings that license matching treats as the same word.
 SPELLINGS = (
@@ -123,10 +131,15 @@ def known_digests(spark: SparkSession, known: dict[str, str] = ALL_KNOWN) -> Dat
     return found.groupBy("digest").agg(F.min("license_id").alias("license_id"))
 
 
+def _long(known: dict[str, str]) -> dict[str, str]:
+    """The license texts without title; a title is a line of its own, and the text below it is
+    known as well."""
+    return {i: t for i, t in known.items() if len(t.split()) >= LONG and "\n" not in t}
+
+
 def _in_lines(base: DataFrame, known: dict[str, str]) -> DataFrame:
     """(doc_id, license_id) of the long known texts without title that are whole lines of a text."""
-    # a title is a line of its own, and the text below it is known as well
-    long = {i: t for i, t in known.items() if len(t.split()) >= LONG and "\n" not in t}
+    long = _long(known)
     if not long:
         return base.select("doc_id", F.lit("").alias("license_id")).limit(0)
     # no text holds one of them without its longest word
@@ -154,7 +167,8 @@ def _in_lines(base: DataFrame, known: dict[str, str]) -> DataFrame:
 def scan(docs: DataFrame, known: dict[str, str] = ALL_KNOWN) -> DataFrame:
     """(doc_id, digest, license_id, notices), one row per row of ``docs``.
 
-    ``license_id`` names the known text that the whole document is, or is null.
+    ``license_id`` names the known text that the whole document is, be it below a title of its
+    own, or is null.
     ``notices`` lists the known texts among its lines that hold "licen", and the long ones
     without title among all runs of its lines, ascending, separated by commas. A null text counts as empty; the empty text is no license. Rows
     that repeat a doc_id share their notices; a row without a doc_id has none. Other
@@ -166,9 +180,18 @@ def scan(docs: DataFrame, known: dict[str, str] = ALL_KNOWN) -> DataFrame:
     )
     # as many rows as there are known texts
     table = F.broadcast(known_digests(docs.sparkSession, known))
-    whole = base.select("doc_id", digest(F.col("text")).alias("digest")).join(
+    below = F.when(F.col("text").rlike(TITLE), digest(F.regexp_replace("text", TITLE, "")))
+    whole = base.select("doc_id", digest(F.col("text")).alias("digest"), below.alias("below")).join(
         table, "digest", "left"
     )
+    long = _long(known)
+    if long:
+        texts = known_digests(docs.sparkSession, long).withColumnsRenamed(
+            {"digest": "below", "license_id": "titled"}
+        )
+        whole = whole.join(F.broadcast(texts), "below", "left").withColumn(
+            "license_id", F.coalesce("license_id", "titled")
+        )
     speaks = F.filter(
         F.split("text", "\n"),
         lambda line: F.translate(line, _UPPER, _LOWER).contains("licen"),
