@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import packing, quality_gam, simhash_dedup, suffix_dedup
 from tidemark.llm.common import documents, keep, ship
@@ -19,12 +19,13 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of SimHash near-duplicates the document with the smallest doc_id stays.
 
-    A document without a doc_id stays. Rows that repeat a doc_id stay or go together.
+    A document without a doc_id stays. Rows that repeat a doc_id stay or go together: they stay
+    where one of them stands for its group, so that no group is lost whole.
     """
     ship(spark)
     found = simhash_dedup.near_duplicates(docs, shingle=3, distance=3)
-    gone = found.filter("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    gone = found.groupBy("doc_id").agg(F.bool_or("kept").alias("kept")).filter("not kept")
+    return docs.join(gone.select("doc_id"), "doc_id", "left_anti").select(docs.columns)
 
 
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
