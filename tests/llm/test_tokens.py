@@ -348,6 +348,15 @@ def test_pipeline_stages(spark):
     check_packed(packed.collect(), [(i, r["text"]) for i, r in after.items()])
 
 
+def test_near_dedup_of_repeated_ids_loses_no_group(spark, make_docs):
+    """Document 5 repeats with two texts and stands for one of the groups."""
+    a, b = ("one two three four five six seven", "some quite other words that are not alike")
+    docs = make_docs([(5, a), (5, b), (7, a), (1, b), (9, a), (None, a)])
+    kept = corpus_pipeline.near_dedup(spark, docs, SF_DIR)
+    got = sorted((r["doc_id"] or 0, r["text"]) for r in kept.collect())
+    assert got == sorted([(0, a), (1, b), (5, a), (5, b)]) and kept.columns == docs.columns
+
+
 def test_pipeline_of_odd_documents(spark, odd_docs, make_docs):
     for docs in (odd_docs, make_docs([])):
         columns = docs.columns
