@@ -109,6 +109,20 @@ def test_not_in(spark, listed, kept):
     assert sorted(got, key=str) == sorted(kept, key=str)
 
 
+def test_first_qualifying_key_is_known(spark, tmp_path):
+    """The first customer with three states; orders without a customer come last."""
+    from tidemark.catalogue import relational
+
+    rows = [(k, who, s, 10.0, dt.datetime(2020, 1, 1)) for k, who, s in [
+        (1, None, "F"), (2, None, "O"), (3, None, "P"), (4, 7, "F"), (5, 7, "O"), (6, 7, "P"),
+        (6, 7, "P"), (7, 9, "F"), (8, 9, "O"), (9, 9, "P"), (10, 1, "F"),
+    ]]
+    schema = "o_orderkey INT, o_custkey INT, o_orderstatus STRING, o_totalprice DOUBLE, o_orderdate TIMESTAMP"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/orders.parquet")
+    found = relational.filter_first_qualifying(spark, str(tmp_path))
+    assert sorted(r.o_orderkey for r in found.collect()) == [4, 5, 6, 6]
+
+
 def test_top_bottom_keeps_ties_and_tags_both_tails_as_top(spark):
     rows = [("a", 9), ("b", 9), ("c", 8), ("d", 8), ("e", 1), ("f", None)]
     df = spark.createDataFrame(rows, "g STRING, v INT")

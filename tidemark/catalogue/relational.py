@@ -198,8 +198,8 @@ def filter_first_qualifying(spark, sf_dir):
     varied = agg.having(
         orders, ["o_custkey"], [F.count_distinct("o_orderstatus").alias("k")], "k > 2"
     )
-    first = joins.pick_first(varied.select("o_custkey"), [F.col("o_custkey")])
-    chosen = joins.restrict_to(orders, first, "o_custkey", 1)
+    first = joins.pick_first(varied.select("o_custkey"), [F.col("o_custkey").asc_nulls_last()])
+    chosen = joins.restrict_to(orders, first, "o_custkey")
     return plain(chosen.select("o_orderkey", "price"))
 
 
