@@ -559,3 +559,47 @@ def test_heavy_keys_follow_the_number_of_partitions(spark, plain_shuffles):
     df = spark.range(1600).select(F.when(F.col("id") < 120, 5).otherwise(F.col("id")).alias("k"))
     assert joins.heavy_keys(df, "k") == [5]
     assert joins.heavy_keys(df, "k", share=0.1) == []
+
+
+def test_latest_per_key_sorts_once_where_hot_keys_are_known(spark):
+    """Rows of hot keys and without a key are limited before the shuffle, others only after it."""
+    rows = [(i % 50 if i % 3 else 1, i % 4, i) for i in range(600)] + [(None, 0, i) for i in range(9)]
+    df = spark.createDataFrame(rows, "k INT, m INT, v INT")
+    order = [F.col("v").desc()]
+    want = {tuple(r) for r in windows.latest_per_key(df, ["k", "m"], order).collect()}
+    for hot in ([], [1], [1, 99]):
+        for by in (None, ["k"]):
+            got = windows.latest_per_key(df, ["k", "m"], order, hot, by)
+            assert {tuple(r) for r in got.collect()} == want
+
+
+def test_history_is_shuffled_once_where_hot_keys_are_known(spark):
+    rows = [r for seed in range(3) for r in random_observations(seed)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    order = [F.col("o").desc()]
+    df = df.dropDuplicates(["k", "m", "o"])
+    want = sorted(map(str, h.build_history(df, "k", "m", order).collect()))
+    for hot in ((), (3, 4)):
+        assert sorted(map(str, h.build_history(df, "k", "m", order, hot).collect())) == want
+    plan = h.build_history(df.filter("k > 0"), "k", "m", order, ())
+    # one on the key for all rows, one on key and month for the (absent) rows without a key
+    assert plan._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression") == 1
+
+
+def test_a_star_on_demand_writes_what_is_read(spark, tmp_path):
+    from tidemark.catalogue import tables as t
+    from tidemark.plans.star import StarOnDemand
+
+    sf_dir = "/root/testdata/sf0.001"
+    built = t.star(spark, sf_dir)
+    own = StarOnDemand(
+        t.silver(spark, sf_dir), t.lga_loads(spark, sf_dir), t.suburb_loads(spark, sf_dir),
+        None, None, str(tmp_path),
+    )
+    assert own.written() == []
+    assert own.listings.count() == built.listings.count()
+    assert [p.rsplit("/", 1)[1] for p in own.written()] == ["listings"]
+    assert own.dim_host.count() == built.dim_host.count()
+    assert [p.rsplit("/", 1)[1] for p in own.written()] == ["listings", "dim_host"]
+    assert own.g01 is None and own.dim_host is own.dim_host
+    assert set(own.write()) == set(own.TABLES) and own.fact.count() == built.fact.count()

@@ -34,7 +34,8 @@ SILVER_OUT = """listing_id, host_id, scraped_date, month_date, host_since, host_
 @query("silver_clean_listings", with_tables("silver", f"select {SILVER_OUT} from silver"))
 def clean_listings(spark, sf_dir):
     raw = t.raw_listings(spark, sf_dir)
-    cleaned = silver.clean_listings(raw, tie_break=t.TIE_BREAK)
+    hot = t.hot_listings(spark, sf_dir)
+    cleaned = silver.clean_listings(raw, tie_break=t.TIE_BREAK, hot=hot)
     return plain(cleaned.withColumn("loaded_at", F.to_date("loaded_at")))
 
 
@@ -122,7 +123,7 @@ def _bounds(df):
 
 @query("history_hosts", with_tables("host_versions", HOST_HISTORY))
 def host_history(spark, sf_dir):
-    return _bounds(star.host_history(t.silver(spark, sf_dir)))
+    return _bounds(star.host_history(t.silver(spark, sf_dir), t.hot_hosts(spark, sf_dir)))
 
 
 @query(
@@ -135,7 +136,7 @@ def host_history(spark, sf_dir):
     ),
 )
 def property_history(spark, sf_dir):
-    return _bounds(star.property_history(t.silver(spark, sf_dir)))
+    return _bounds(star.property_history(t.silver(spark, sf_dir), ()))
 
 
 def _dated(df):
@@ -235,7 +236,7 @@ def snapshot_step_hosts(spark, sf_dir):
     ),
 )
 def collapse_unchanged(spark, sf_dir):
-    versions = star.host_history(t.silver(spark, sf_dir)).select(
+    versions = star.host_history(t.silver(spark, sf_dir), t.hot_hosts(spark, sf_dir)).select(
         "host_id", "host_is_superhost", "valid_from", "valid_to"
     )
     return h.collapse_unchanged(versions, "host_id", ["host_is_superhost"])
@@ -250,7 +251,7 @@ def collapse_unchanged(spark, sf_dir):
     ),
 )
 def changed_entities(spark, sf_dir):
-    versions = star.host_history(t.silver(spark, sf_dir))
+    versions = star.host_history(t.silver(spark, sf_dir), t.hot_hosts(spark, sf_dir))
     return h.changed_entities(versions, "host_id", "host_is_superhost")
 
 
@@ -264,7 +265,7 @@ def changed_entities(spark, sf_dir):
     ),
 )
 def timeline(spark, sf_dir):
-    versions = star.host_history(t.silver(spark, sf_dir))
+    versions = star.host_history(t.silver(spark, sf_dir), t.hot_hosts(spark, sf_dir))
     return _bounds(h.timeline(versions, "host_id", "host_is_superhost"))
 
 
@@ -278,13 +279,13 @@ PROPERTY_DIM = """property_version_id, listing_id, listing_neighbourhood, proper
 
 @query("star_dim_host", with_tables("dim_host", f"select {HOST_DIM} from dim_host"))
 def dim_host(spark, sf_dir):
-    dim = star.dim_host(star.host_history(t.silver(spark, sf_dir)))
+    dim = star.dim_host(star.host_history(t.silver(spark, sf_dir), t.hot_hosts(spark, sf_dir)))
     return plain(dim)
 
 
 @query("star_dim_property", with_tables("dim_property", f"select {PROPERTY_DIM} from dim_property"))
 def dim_property(spark, sf_dir):
-    dim = star.dim_property(star.property_history(t.silver(spark, sf_dir)))
+    dim = star.dim_property(star.property_history(t.silver(spark, sf_dir), ()))
     return plain(dim)
 
 
@@ -356,7 +357,7 @@ def mart_listing_neighbourhood(spark, sf_dir):
 def mart_copartitioned_gold(spark, sf_dir):
     """The same mart from a fact and properties in equal buckets within the months."""
     built = t.star(spark, sf_dir)
-    s = star.co_partitioned(built, shared_dir(spark, "buckets"), partitions(built.fact))
+    s = star.co_partitioned(built, shared_dir(spark, "buckets"), partitions(built.listings))
     return plain(
         marts.dm_listing_neighbourhood(s.fact, s.dim_property, s.dim_host, s.host_slices)
     )
@@ -393,8 +394,8 @@ def mart_from_collapsed_history(spark, sf_dir):
     """The same mart from histories without unchanged versions."""
     s = t.star(spark, sf_dir)
     listings = s.listings
-    hosts = star.host_history(listings).drop("month_date", "version_id")
-    homes = star.property_history(listings).drop("month_date", "version_id")
+    hosts = star.host_history(listings, s.hot_hosts).drop("month_date", "version_id")
+    homes = star.property_history(listings, ()).drop("month_date", "version_id")
     hosts = h.collapse_unchanged(
         hosts.select("host_id", "host_is_superhost", "valid_from", "valid_to"),
         "host_id",

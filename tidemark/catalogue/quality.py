@@ -231,8 +231,8 @@ def version_counts(spark, sf_dir):
     parts = [
         q.version_counts(history, key).withColumn("dimension", F.lit(name))
         for name, history, key in (
-            ("host", star.host_history(s.listings), "host_id"),
-            ("property", star.property_history(s.listings), "listing_id"),
+            ("host", star.host_history(s.listings, s.hot_hosts), "host_id"),
+            ("property", star.property_history(s.listings, ()), "listing_id"),
         )
     ]
     return q.union_checks(*parts)
@@ -247,7 +247,8 @@ def version_counts(spark, sf_dir):
     ),
 )
 def changed_count(spark, sf_dir):
-    history = star.host_history(t.star(spark, sf_dir).listings)
+    s = t.star(spark, sf_dir)
+    history = star.host_history(s.listings, s.hot_hosts)
     return q.changed_count(history, "host_id", "host_is_superhost")
 
 
@@ -279,7 +280,9 @@ def multi_current(spark, sf_dir):
 )
 def rebuild_counts(spark, sf_dir):
     s = t.star(spark, sf_dir)
-    histories = star.host_history(s.listings), star.property_history(s.listings)
+    histories = (
+        star.host_history(s.listings, s.hot_hosts), star.property_history(s.listings, ())
+    )
     return q.rebuild_counts(_kpis(s), *histories)
 
 

@@ -784,7 +784,8 @@ def window_latest_per_key(spark, sf_dir):
     with_tables("host_versions", "select host_id, month_date, n as version_num from host_versions"),
 )
 def window_version_number(spark, sf_dir):
-    history = star.host_history(t.star(spark, sf_dir).listings).select("host_id", "month_date")
+    s = t.star(spark, sf_dir)
+    history = star.host_history(s.listings, s.hot_hosts).select("host_id", "month_date")
     return plain(windows.version_number(history, "host_id", "month_date"))
 
 
