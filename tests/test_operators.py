@@ -603,3 +603,18 @@ def test_a_star_on_demand_writes_what_is_read(spark, tmp_path):
     assert [p.rsplit("/", 1)[1] for p in own.written()] == ["listings", "dim_host"]
     assert own.g01 is None and own.dim_host is own.dim_host
     assert set(own.write()) == set(own.TABLES) and own.fact.count() == built.fact.count()
+
+
+def test_versions_are_counted_on_short_rows(spark):
+    """Keys of one whole type are not made texts; mixed types still meet as texts."""
+    day = dt.date(2020, 1, 1)
+    fact = spark.createDataFrame([(1, day), (2, day), (None, day)], "k INT, m DATE")
+    rows = [(1, day, dt.date(2021, 1, 1)), (1, day, dt.date(2021, 1, 1))]
+    for kind in ("INT", "BIGINT"):
+        dim = spark.createDataFrame(rows, f"k {kind}, valid_from DATE, valid_to DATE")
+        for hot in ({}, {"a": [1]}):
+            found = pointintime.count_versions(fact, {"a": (dim, "k"), "b": (dim, "k")}, ["k"], "m", hot)
+            want = {(d, k, n) for d in "ab" for k, n in ((1, 2), (2, 0), (None, 0))}
+            assert {tuple(r) for r in found.collect()} == want
+            plan = found._jdf.queryExecution().optimizedPlan().toString()
+            assert ("cast(k#" in plan and "as string" in plan) == (kind == "BIGINT")

@@ -140,22 +140,29 @@ def count_versions(
     A running sum of starts minus ends over the timeline of each key, for all
     dimensions in one pass over the facts. Versions may overlap or leave gaps.
     """
+    kinds = {df.schema[on].dataType for dim, on in dims.values() for df in (fact, dim)}
+    # whole numbers of one type stay as they are, and dimensions are numbered: rows to sort are short
+    text = len(kinds) > 1 or not isinstance(next(iter(kinds)), (T.IntegerType, T.LongType))
+
+    def key_of(on: str) -> Column:
+        return (F.col(on).cast("string") if text else F.col(on)).alias("_key")
+
     keyed = F.explode(
         F.array(*[
-            F.struct(F.lit(name).alias("_dimension"), F.col(on).cast("string").alias("_key"))
-            for name, (_, on) in dims.items()
+            F.struct(F.lit(i).alias("_dimension"), key_of(on))
+            for i, (_, on) in enumerate(dims.values())
         ])
     )
     facts = fact.select(*dict.fromkeys(rows), F.col(at).alias("_at"), keyed.alias("_k")).select(
         *dict.fromkeys(rows), "_at", F.col("_k._dimension"), F.col("_k._key"), F.lit(1).alias("_kind")
     )
     lines = None
-    for name, (dim, on) in dims.items():
-        slices = _as_text(hot.get(name, ()))
-        own = _placed_facts(facts.filter(F.col("_dimension") == name), slices)
+    for i, (name, (dim, on)) in enumerate(dims.items()):
+        slices = _as_text(hot.get(name, ())) if text else hot.get(name, ())
+        own = _placed_facts(facts.filter(F.col("_dimension") == i), slices)
         versions = dim.filter("valid_from < valid_to").select(
-            F.lit(name).alias("_dimension"),
-            F.col(on).cast("string").alias("_key"),
+            F.lit(i).alias("_dimension"),
+            key_of(on),
             F.lit(0).alias("_kind"),
             "valid_from",
             "valid_to",
@@ -172,9 +179,9 @@ def count_versions(
     counted = lines.withColumn("_valid", F.coalesce(valid, F.lit(0))).filter("_kind = 1")
     # a fact without a date meets no version
     counted = counted.withColumn("_valid", F.when(F.col("_at").isNull(), 0).otherwise(F.col("_valid")))
-    return counted.groupBy(F.col("_dimension").alias("dimension"), *rows).agg(
-        F.sum("_valid").alias("nb_versions")
-    )
+    summed = counted.groupBy("_dimension", *rows).agg(F.sum("_valid").alias("nb_versions"))
+    name = F.get(F.array(*[F.lit(n) for n in dims]), F.col("_dimension"))
+    return summed.select(name.alias("dimension"), *dict.fromkeys(rows), "nb_versions")
 
 
 def _as_text(hot: Hot) -> Hot:
