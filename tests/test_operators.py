@@ -321,6 +321,27 @@ def test_several_snapshots_at_once_equal_one_after_the_other(spark, seed, tmp_pa
     assert {(k, start, end) for k, _, start, end in got} == {(k, start, end) for k, _, start, end in want}
 
 
+@pytest.mark.parametrize("hot", [(), (1, 2)])
+def test_snapshots_with_known_hot_keys_share_one_shuffle(spark, hot, tmp_path):
+    """As without them, with a column that only settles the order and is not kept."""
+    rows = random_observations(5)
+    months = sorted({r[1] for r in rows})
+    df = spark.createDataFrame(rows, SCHEMA)
+    order, kept = [F.col("o").desc()], [c for c in df.columns if c != "o"]
+    table = h.HistoryTable(spark, str(tmp_path / "t"), "k", "m")
+    for part in (F.col("m") <= F.lit(months[6]), F.col("m") > F.lit(months[6])):
+        steps = h.scd2_apply_all(
+            table.open_versions(), df.filter(part), "k", "m", order, hot, kept
+        )
+        plan = steps._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange ") == (2 if hot else 1)
+        table.apply_all(df.filter(part), order, hot, kept)
+    found = table.read()
+    assert as_set(found) == stepwise(rows) and "o" not in found.columns
+    ids = found.filter(F.col("version_id").eqNullSafe(h.version_id("k", "valid_from")))
+    assert ids.count() == found.count()
+
+
 def test_snapshot_step_rules(spark):
     day = lambda d: dt.date(2020, 1, d)
     first = spark.createDataFrame([(1, "x", day(5)), (2, "x", day(5))], "k INT, a STRING, u DATE")
