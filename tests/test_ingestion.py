@@ -495,3 +495,11 @@ def test_an_unreadable_table_is_not_taken_for_an_absent_one(spark, tmp_path):
     (tmp_path / "bad" / "part-0.parquet").write_text("not parquet")
     with pytest.raises(Exception):
         read_if_present(spark, str(tmp_path / "bad"))
+
+
+def test_loads_are_packed(spark, tmp_path):
+    """Rows of a load are stored as small as those of the other tables."""
+    rows = spark.createDataFrame([("a", "05_2020.csv")], "cell STRING, source_file STRING")
+    load.load_files(rows, str(tmp_path / "t"))
+    files = [f.name for f in (tmp_path / "t").rglob("*.parquet")]
+    assert files and all(".zstd." in f for f in files)

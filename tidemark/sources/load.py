@@ -56,6 +56,7 @@ def load_files(df: DataFrame, table: str) -> None:
         .partitionBy("source_file")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", MAX_RECORDS)
+        .option("compression", "zstd")
         .parquet(table)
     )
 
