@@ -503,3 +503,40 @@ def test_loads_are_packed(spark, tmp_path):
     load.load_files(rows, str(tmp_path / "t"))
     files = [f.name for f in (tmp_path / "t").rglob("*.parquet")]
     assert files and all(".zstd." in f for f in files)
+
+
+def test_sums_per_host_and_price_share_a_shuffle(spark):
+    """One shuffle for both sums without hot hosts; the same rows with them."""
+    day = dt.date(2020, 5, 1)
+    facts = [
+        (i, i % 3, day, i % 4 > 0, 10 + i % 5, 4, i % 7, 5 * i) if i % 11 else
+        (i, None, day, None, None, None, 0, 0)
+        for i in range(60)
+    ]
+    fact = spark.createDataFrame(
+        facts,
+        "listing_id LONG, host_id LONG, month_date DATE, has_availability BOOLEAN, price INT, "
+        "review_scores_rating INT, number_of_stays INT, estimated_revenue INT",
+    ).withColumns(
+        {
+            "price": F.col("price").cast("decimal(10,2)"),
+            "review_scores_rating": F.col("review_scores_rating").cast("decimal(5,2)"),
+            "estimated_revenue": F.col("estimated_revenue").cast("decimal(13,2)"),
+        }
+    )
+    ever = (dt.date(1900, 1, 1), dt.date(9999, 12, 31))
+    homes = spark.createDataFrame(
+        [(i, *ever, "ab"[i % 2]) for i in range(60)],
+        "listing_id LONG, valid_from DATE, valid_to DATE, listing_neighbourhood STRING",
+    )
+    hosts = spark.createDataFrame(
+        [(i, *ever, i == 1) for i in range(3)],
+        "host_id LONG, valid_from DATE, valid_to DATE, host_is_superhost BOOLEAN",
+    )
+    plain, spread = (marts.dm_listing_neighbourhood(fact, homes, hosts, hot) for hot in ((), [1]))
+    assert plain.count() == 2
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, spread.collect()))
+    sums = marts.dm_listing_neighbourhood(fact, homes, hosts, medians=False)
+    text = sums._jdf.queryExecution().executedPlan().toString()
+    by_host = [line for line in text.splitlines() if "Exchange hashpartitioning(listing_n" in line]
+    assert sum("host_id" in line for line in by_host) == 1

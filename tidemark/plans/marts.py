@@ -57,6 +57,10 @@ def monthly_kpis(
     rows = visits(fact, dim_property, dim_host, keys, hot_hosts)
     active = F.col("has_availability")
     at = [*keys, PERIOD]
+    if not hot_hosts:
+        # rows of a host and price are few, so nothing is summed before the shuffle, and both sums
+        # below share this one; a hot host is spread over its prices first
+        rows = rows.repartition(*at, "host_id")
     narrow = rows.groupBy(*at, "host_id", F.when(active, F.col("price")).alias("price")).agg(
         F.count("*").alias("total"),
         F.count_if(active).alias("active"),
