@@ -159,6 +159,18 @@ def test_side_by_side_equals_the_heap():
         assert [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])] == want
 
 
+def test_merges_come_from_a_table_of_few_layers():
+    r = random.Random(4)
+    known = merge_dropout.vocabulary(PIECES)
+    assert 1 < len(known.layers) < 9
+    pairs = list(known.merges) + [
+        (r.randrange(-50, len(known.scores)), r.randrange(-50, len(known.scores)))
+        for _ in range(20_000)
+    ]
+    left, right = np.array(pairs, np.int64).T
+    assert known.merge_of(left, right).tolist() == [known.merges.get(p, -1) for p in pairs]
+
+
 def test_dropout_query_and_odd_documents(spark, odd_docs, make_docs):
     import hashlib
 

@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+import sys
 import zlib
 from collections.abc import Callable, Iterator
 from functools import cache
@@ -80,17 +81,54 @@ class Vocabulary:
             for k in range(1, len(p))
             if p[:k] in plain and p[k:] in plain
         }
-        keys = np.array([a << 32 | b for a, b in self.merges], np.int64)
-        order = np.argsort(keys)
-        self.keys = keys[order]
-        self.merged = np.array(list(self.merges.values()), np.int64)[order]
+        self.bits = len(self.scores).bit_length()
+        # short numbers keep the table small, as all workers of a machine share its cache
+        kind = np.int32 if 2 * self.bits < 32 else np.int64
+        self._fill(
+            np.array([a << self.bits | b for a, b in self.merges], kind),
+            np.array(list(self.merges.values()), np.int32),
+        )
+        # the piece of each character, or -1; ``plain_signs`` for texts before ``_marked``
+        self.signs = np.full(sys.maxunicode + 1, -1, np.int32)
+        for p, i in plain.items():
+            if len(p) == 1:
+                self.signs[ord(p)] = i
+        self.plain_signs = self.signs.copy()
+        self.plain_signs[[ord(" "), ord(SPACE)]] = self.signs[[ord(SPACE), 0]]
         self.pieces = pa.array(self.bytes_of, pa.large_binary())
 
+    def _fill(self, keys: np.ndarray, merged: np.ndarray) -> None:
+        """Layers of a hash table: the first key of each place in the first, the next in another."""
+        self.shift = np.uint64(64 - max(4, (8 * len(keys)).bit_length()))
+        size = 1 << 64 - int(self.shift)
+        place = self._place(keys)
+        self.layers = []
+        while len(keys):
+            _, first = np.unique(place, return_index=True)
+            held = np.full(size, np.iinfo(keys.dtype).min, keys.dtype)
+            made = np.full(size, -1, np.int32)
+            held[place[first]], made[place[first]] = keys[first], merged[first]
+            self.layers.append((held, made))
+            keys, merged, place = (np.delete(x, first) for x in (keys, merged, place))
+
+    def _place(self, pairs: np.ndarray) -> np.ndarray:
+        return (pairs.astype(np.uint64) * _STEP >> self.shift).astype(np.int64)
+
     def merge_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The piece of each pair, or -1. Parts below 0 are no pieces."""
-        want = left << 32 | right
-        at = np.minimum(np.searchsorted(self.keys, want), len(self.keys) - 1)
-        return np.where((self.keys[at] == want) & (left >= 0) & (right >= 0), self.merged[at], -1)
+        # negative, as no key is, where a part is below 0
+        kind = self.layers[0][0].dtype
+        want, none = (left << self.bits | right).astype(kind), np.iinfo(kind).min
+        found = np.full(len(want), -1, np.int64)
+        place, rows = self._place(want), np.arange(len(want))
+        for held, made in self.layers:
+            there = held[place]
+            same = there == want
+            found[rows[same]] = made[place[same]]
+            # a later layer holds only what an earlier one had no room for
+            on = ~same & (there != none)
+            want, place, rows = want[on], place[on], rows[on]
+        return found
 
 
 def _word_key(word: str, seed: int, variant: int) -> int:
@@ -177,7 +215,9 @@ def agendas(
             def skip(r: np.ndarray, c: np.ndarray, middle: np.ndarray, end: np.ndarray):
                 return _skipped(own[r], c << 16 | end, middle, limit)
 
-            ids, each = _side_by_side(vocabulary, [words[k] for k in some], skip if limit else None)
+            ids, each = _side_by_side(
+                vocabulary, [words[k] for k in some], skip if limit else None, vocabulary.signs
+            )
             parts.append(ids)
             counts[some] = each
     for k in order[len(short) :].tolist():
@@ -193,11 +233,12 @@ def _side_by_side(
     vocabulary: Vocabulary,
     words: list[str],
     skip: Callable[..., np.ndarray] | None,
+    pieces: np.ndarray,
     met: list[tuple[np.ndarray, ...]] | None = None,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Symbols are linked lists in one row per word; a symbol stands where its text begins.
 
-    ``skip`` tells for rows, beginnings, middles and ends of candidates which of them are
+    ``pieces`` has the piece of each character. ``skip`` tells for rows, beginnings, middles and ends of candidates which of them are
     skipped; those that are not are added to ``met``.
     """
     size = np.fromiter(map(len, words), np.int64, len(words))
@@ -206,12 +247,11 @@ def _side_by_side(
     columns = np.arange(width)
     inside = columns < size[:, None]
     signs = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
-    distinct, at = np.unique(signs, return_inverse=True)
-    known = np.array([vocabulary.ids.get(chr(c), -1) for c in distinct.tolist()], np.int64)
+    known = pieces[signs]
     none = -1 - width
     symbols = np.full((len(words), width), none, np.int64)
     place = np.broadcast_to(columns, symbols.shape)[inside]
-    symbols[inside] = np.where(known[at] >= 0, known[at], -1 - place)
+    symbols[inside] = np.where(known >= 0, known, -1 - place)
     after = np.minimum(columns + 1, size[:, None])
     before = np.broadcast_to(columns - 1, symbols.shape).copy()
     merged = np.zeros(symbols.shape, np.int64)
@@ -258,7 +298,8 @@ def _packed(begin: np.ndarray, middle: np.ndarray, end: np.ndarray) -> np.ndarra
 def agendas_without(
     vocabulary: Vocabulary, words: list[str], skips: np.ndarray, counts: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """As ``agendas``, for words of SIDE_BY_SIDE characters at most, with named candidates skipped.
+    """As ``agendas``, for words before ``_marked`` of SIDE_BY_SIDE characters at most, with
+    named candidates skipped.
 
     ``counts`` of the packed ``skips`` belong to each word. Also gives the packed candidates
     that were met and not skipped, and how many of them each word has.
@@ -279,8 +320,11 @@ def agendas_without(
 
         met: list[tuple[np.ndarray, ...]] = []
         chosen = [words[k] for k in some.tolist()]
-        ids, sizes[some] = _side_by_side(vocabulary, chosen, skip if len(held) else None, met)
-        rows = np.concatenate([r for r, _ in met])
+        ids, sizes[some] = _side_by_side(
+            vocabulary, chosen, skip if len(held) else None, vocabulary.plain_signs, met
+        )
+        # at most 8,192 rows: numbers of 16 bits are sorted without comparisons
+        rows = np.concatenate([r for r, _ in met]).astype(np.uint16)
         parts.append(ids)
         found.append(np.concatenate([c for _, c in met])[np.argsort(rows, kind="stable")])
         many[some] = np.bincount(rows, minlength=len(some))
@@ -341,7 +385,7 @@ class DropoutEncoder:
         """The numbers of new walks. A word of too many characters has no ids and no candidates."""
         short = np.fromiter((len(w) <= SIDE_BY_SIDE for w in words), bool, len(words))
         some = [w if s else "" for w, s in zip(words, short.tolist())]
-        ids, sizes, met, many = agendas_without(self.vocabulary, _marked(some), skips, counts)
+        ids, sizes, met, many = agendas_without(self.vocabulary, some, skips, counts)
         begin = len(self.ids.begins)
         self.ids.add(*self._in_bytes(some, ids, sizes))
         self.met.add(met, many)
