@@ -118,7 +118,7 @@ def unique(spark, sf_dir):
 )
 def not_null(spark, sf_dir):
     columns = ("host_neighbourhood", "host_is_superhost", "has_availability", "availability_30")
-    return q.not_null(t.star(spark, sf_dir).listings, *columns)
+    return q.not_null(t.star(spark, sf_dir).once("listings").listings, *columns)
 
 
 @query(
@@ -461,7 +461,7 @@ def null_counts(spark, sf_dir):
 )
 def ranges(spark, sf_dir):
     columns = ["price", "availability_30", "review_scores_rating"]
-    return plain(q.ranges(t.star(spark, sf_dir).listings, columns))
+    return plain(q.ranges(t.star(spark, sf_dir).once("listings").listings, columns))
 
 
 @query(
@@ -488,7 +488,7 @@ def mart_ranges(spark, sf_dir):
     ),
 )
 def flag_distribution(spark, sf_dir):
-    return q.flag_distribution(t.star(spark, sf_dir).listings, "has_availability")
+    return q.flag_distribution(t.star(spark, sf_dir).once("listings").listings, "has_availability")
 
 
 @query(
@@ -500,7 +500,7 @@ def flag_distribution(spark, sf_dir):
     ),
 )
 def outliers(spark, sf_dir):
-    return q.outliers(t.star(spark, sf_dir).listings, "price", 100000)
+    return q.outliers(t.star(spark, sf_dir).once("listings").listings, "price", 100000)
 
 
 @query(

@@ -99,7 +99,7 @@ def project_cast_all_except(spark, sf_dir):
     ),
 )
 def filter_nulls(spark, sf_dir):
-    rows = t.star(spark, sf_dir).listings
+    rows = t.star(spark, sf_dir).once("listings").listings
     kept = rows.filter("host_neighbourhood IS NULL AND availability_30 IS NOT NULL")
     return kept.select("listing_id", "month_date", "has_availability")
 

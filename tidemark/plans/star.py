@@ -206,7 +206,9 @@ class StarOnDemand:
             "fact": lambda: fact_listings(self.listings, areas, self.hot_areas),
             "g01": lambda: g01,
             "g02": lambda: g02,
+            "listings": lambda: self._silver,
         }
+        self._whole = False
         areas = dim_lga(lga_history(lga_loads))
 
     def __getattr__(self, name: str) -> DataFrame | None:
@@ -215,19 +217,31 @@ class StarOnDemand:
         return self.write(names=(name,))[name]
 
     def write(self, buckets: int = 0, names: Sequence[str] = TABLES) -> dict[str, DataFrame | None]:
-        """Write the tables that are not there yet."""
+        """Write the tables that are not there yet, by default all."""
         missing = {name: self._frames[name] for name in names if name not in vars(self)}
         # what several tables need, before they are written side by side
         for needed, of in (("hot_hosts", "dim_host"), ("hot_areas", "fact"), ("listings", "dim_property")):
             if of in missing:
                 getattr(self, needed)
         vars(self).update(_write_all(missing, self._root, buckets))
+        self._whole = self._whole or set(names) == set(self.TABLES)
         return {name: vars(self)[name] for name in names}
 
     def frame(self, name: str) -> DataFrame | None:
         """A table as it is written, or as it would be."""
         return vars(self)[name] if name in vars(self) else self._frames[name]()
 
+    def once(self, *names: str) -> StarOnDemand | _Changed:
+        """The star for a query that scans each of the named tables a single time.
+
+        They are computed on the way to it, with the columns that it needs, as a table that nobody
+        reads again is not worth writing. What the query does then does not depend on the
+        tables that others have asked for; only a star that was written as a whole is read.
+        """
+        if self._whole:
+            return self
+        return _Changed(self, {name: self._frames[name]() for name in names})
+
     def written(self) -> list[str]:
         """Paths of the tables written so far."""
         silver = [f"{self._root}/silver/listings"] if "listings" in vars(self) else []
