@@ -53,6 +53,7 @@ def given(spark, tmp_path, monkeypatch):
     "name, written",
     [
         ("filter_nulls", []),
+        ("quality_resolution_rate", ["listings", "dim_suburb"]),
     ],
 )
 def test_a_single_scan_writes_no_table(spark, given, name, written):

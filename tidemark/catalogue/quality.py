@@ -540,7 +540,7 @@ def unmatched_names(spark, sf_dir):
     ),
 )
 def unmatched_rate(spark, sf_dir):
-    s = t.star(spark, sf_dir)
+    s = t.star(spark, sf_dir).once("dim_host")
     return q.unmatched_rate(s.dim_host, "host_neighbourhood", s.dim_suburb, "suburb_name_key")
 
 
@@ -585,7 +585,7 @@ def key_difference(spark, sf_dir):
     ),
 )
 def resolution_rate(spark, sf_dir):
-    s = t.star(spark, sf_dir)
+    s = t.star(spark, sf_dir).once("dim_host")
     return q.resolution_rate(
         s.dim_host, "host_neighbourhood", s.dim_suburb, "suburb_name_key", "lga_code"
     )
