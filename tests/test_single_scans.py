@@ -54,6 +54,7 @@ def given(spark, tmp_path, monkeypatch):
     [
         ("filter_nulls", []),
         ("quality_resolution_rate", ["listings", "dim_suburb"]),
+        ("mart_host_neighbourhood", ["listings", "dim_suburb"]),
     ],
 )
 def test_a_single_scan_writes_no_table(spark, given, name, written):

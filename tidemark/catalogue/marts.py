@@ -379,7 +379,7 @@ def mart_property_type(spark, sf_dir):
 
 @query("mart_host_neighbourhood", with_tables("host_area_kpis", "select * from host_area_kpis"))
 def mart_host_neighbourhood(spark, sf_dir):
-    s = t.star(spark, sf_dir)
+    s = t.star(spark, sf_dir).once("fact", "dim_host")
     areas = marts.dm_host_neighbourhood(
         s.fact, s.dim_host, s.dim_suburb, s.host_slices, hot_suburbs=s.hot_suburbs
     )

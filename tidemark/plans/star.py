@@ -267,7 +267,7 @@ class StarOnDemand:
 
     @cached_property
     def hot_suburbs(self) -> tuple:
-        return tuple(heavy_keys(self.dim_host, F.upper("host_neighbourhood")))
+        return tuple(heavy_keys(self.frame("dim_host"), F.upper("host_neighbourhood")))
 
 
 class _Changed:
