@@ -347,7 +347,7 @@ def census_g02(spark, sf_dir):
 
 @query("mart_listing_neighbourhood", with_tables("area_kpis", "select * from area_kpis"))
 def mart_listing_neighbourhood(spark, sf_dir):
-    s = t.star(spark, sf_dir)
+    s = t.star(spark, sf_dir).once("fact", "dim_property", "dim_host")
     return plain(
         marts.dm_listing_neighbourhood(s.fact, s.dim_property, s.dim_host, s.host_slices)
     )
@@ -373,7 +373,7 @@ def mart_copartitioned_gold(spark, sf_dir):
     ),
 )
 def mart_property_type(spark, sf_dir):
-    s = t.star(spark, sf_dir)
+    s = t.star(spark, sf_dir).once("fact", "dim_property", "dim_host")
     return plain(marts.dm_property_type(s.fact, s.dim_property, s.dim_host, s.host_slices))
 
 
