@@ -56,6 +56,7 @@ def given(spark, tmp_path, monkeypatch):
         ("quality_resolution_rate", ["listings", "dim_suburb"]),
         ("mart_host_neighbourhood", ["listings", "dim_suburb"]),
         ("quality_mart_ranges", ["listings"]),
+        ("window_version_number", []),
     ],
 )
 def test_a_single_scan_writes_no_table(spark, given, name, written):

@@ -784,8 +784,10 @@ def window_latest_per_key(spark, sf_dir):
     with_tables("host_versions", "select host_id, month_date, n as version_num from host_versions"),
 )
 def window_version_number(spark, sf_dir):
-    s = t.star(spark, sf_dir)
-    history = star.host_history(s.listings, s.hot_hosts).select("host_id", "month_date")
+    s = t.star(spark, sf_dir).once("listings")
+    # the line items' hot hosts: silver is scanned once
+    hot = t.hot_hosts(spark, sf_dir)
+    history = star.host_history(s.listings, hot).select("host_id", "month_date")
     return plain(windows.version_number(history, "host_id", "month_date"))
 
 
