@@ -456,6 +456,28 @@ def test_point_in_time_join_by_timeline(spark, plain_shuffles, seed, hot):
     assert {r.i: r.v for r in general.collect()} == got
 
 
+@pytest.mark.parametrize("seed", [5, 6])
+def test_facts_and_versions_are_sent_apart(spark, plain_shuffles, seed):
+    """The same rows; versions that a window has just made, and sums by key, are not sent again."""
+    facts, versions = random_versions(seed)
+    df = spark.createDataFrame(facts, "i INT, k INT, at DATE").repartition(5)
+    dim = spark.createDataFrame(versions, "k INT, v INT, valid_from DATE, valid_to DATE")
+    numbered = windows.version_number(dim, "k", "valid_from")
+    for hot in ((), (1, 2)):
+        for how in ("inner", "left"):
+            want = pointintime.pit_join(df, numbered, "k", "at", how, hot)
+            got = pointintime.pit_join(df, numbered, "k", "at", how, hot, apart=True)
+            assert got.columns == want.columns
+            assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    sums = [
+        pointintime.pit_join(df, numbered, "k", "at", apart=apart).groupBy("k", "at", "v").count()
+        for apart in (True, False)
+    ]
+    assert sorted(map(str, sums[0].collect())) == sorted(map(str, sums[1].collect()))
+    plans = [s._jdf.queryExecution().executedPlan().toString() for s in sums]
+    assert [p.count("Exchange hash") for p in plans] == [2, 3]
+
+
 def test_point_in_time_join_makes_no_more_rows_than_it_reads(spark, plain_shuffles):
     """120 versions and 120 facts of each key; a hot key costs a row per slice more."""
     month = F.add_months(F.lit("2010-01-01").cast("date"), (F.col("id") % 120).cast("int"))

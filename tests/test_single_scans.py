@@ -8,6 +8,8 @@ import pytest
 
 from tidemark import catalogue
 from tidemark.catalogue import tables as t
+from tidemark.operators import quality
+from tidemark.plans import marts
 
 catalogue.load_all()
 
@@ -57,6 +59,7 @@ def given(spark, tmp_path, monkeypatch):
         ("mart_host_neighbourhood", ["listings", "dim_suburb"]),
         ("quality_mart_ranges", ["listings"]),
         ("window_version_number", []),
+        ("quality_mart_row_counts", ["listings", "dim_suburb"]),
     ],
 )
 def test_a_single_scan_writes_no_table(spark, given, name, written):
@@ -70,3 +73,31 @@ def test_a_single_scan_writes_no_table(spark, given, name, written):
     files = {f.split("/gold/")[-1].split("/silver/")[-1].split("/")[0] for f in again.inputFiles()}
     assert files <= {"listings", *star.TABLES}
     assert sorted(map(str, again.collect())) == found
+
+
+def test_marts_by_listing_and_by_type_share_their_joins(spark, given):
+    """The same figures as one by one; facts and visits are sent to their key once for both."""
+    s = t.star(spark, given).once("fact", "dim_property", "dim_host")
+    gold = s.fact, s.dim_property, s.dim_host, s.host_slices
+    shared = marts.shared_visits(*gold, apart=True)
+    both = marts.dm_listing_neighbourhood, marts.dm_property_type
+    for mart in both:
+        for medians in (True, False):
+            want = sorted(map(str, mart(*gold, medians=medians).collect()))
+            got = mart(*gold, medians=medians, apart=True, rows=shared).collect()
+            assert want and sorted(map(str, got)) == want
+    homes = s.dim_host, s.dim_suburb, s.host_slices
+    want = sorted(map(str, marts.dm_host_neighbourhood(s.fact, *homes).collect()))
+    got = marts.dm_host_neighbourhood(s.fact, *homes, apart=True).collect()
+    assert want and sorted(map(str, got)) == want
+    # no hot hosts, as otherwise a third shuffle spreads theirs
+    gold = *gold[:3], ()
+    how = {"medians": False, "apart": True, "rows": marts.shared_visits(*gold, apart=True)}
+    counts = quality.row_counts({mart.__name__: mart(*gold, **how) for mart in both})
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = counts._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sent = [line for line in plan.splitlines() if "Exchange hashpartitioning(_key" in line]
+    assert len([line for line in sent if "ReusedExchange" not in line]) == 2 < len(sent), plan

@@ -323,15 +323,22 @@ def row_counts(spark, sf_dir):
     ),
 )
 def mart_row_counts(spark, sf_dir):
-    s = t.star(spark, sf_dir)
-    by_type = marts.dm_property_type(
-        s.fact, s.dim_property, s.dim_host, s.host_slices, medians=False
-    )
+    """The marts by listing and by type share their joins."""
+    s = t.star(spark, sf_dir).once("fact", "dim_property", "dim_host")
+    gold = s.fact, s.dim_property, s.dim_host, s.host_slices
+    how = {"medians": False, "apart": True, "rows": marts.shared_visits(*gold, apart=True)}
     return q.row_counts(
         {
-            "dm_listing_neighbourhood": _kpis(s),
-            "dm_property_type": by_type,
-            "dm_host_neighbourhood": _host_areas(s),
+            "dm_listing_neighbourhood": marts.dm_listing_neighbourhood(*gold, **how),
+            "dm_property_type": marts.dm_property_type(*gold, **how),
+            "dm_host_neighbourhood": marts.dm_host_neighbourhood(
+                s.fact,
+                s.dim_host,
+                s.dim_suburb,
+                s.host_slices,
+                hot_suburbs=s.hot_suburbs,
+                apart=True,
+            ),
         }
     )
 

@@ -63,6 +63,7 @@ def pit_join(
     how: str = "inner",
     hot: Hot = (),
     overlapping: bool = False,
+    apart: bool = False,
 ) -> DataFrame:
     """Join each fact row to the version valid at its date: ``valid_from <= at < valid_to``.
 
@@ -70,13 +71,14 @@ def pit_join(
     left keys to spread: the result of :func:`date_slices`, or keys alone. The versions
     of a key must not overlap. Where nothing rules that out, as with versions of several
     entities under one name, ``overlapping`` asks for an equi join with the interval as residual
-    condition, which gives a row per valid version; it suits tables of few versions.
+    condition, which gives a row per valid version; it suits tables of few versions. ``apart`` as
+    in :func:`timeline`.
     """
     left_key, right_key = (on, on) if isinstance(on, str) else on
     names = [c for c in dim.columns if c not in (right_key, "valid_from", "valid_to")]
     if overlapping:
         return _interval_join(fact, dim, left_key, right_key, names, at, how, hot)
-    line = timeline(fact, dim, on, at, how, hot)
+    line = timeline(fact, dim, on, at, how, hot, apart)
     version = F.last("_version", ignorenulls=True).over(_up_to_now())
     met = line.withColumn("_version", version).filter("_kind = 1")
     valid = F.col("_at") < F.col("_version._to")
@@ -96,6 +98,7 @@ def timeline(
     at: str = "month_date",
     how: str = "inner",
     hot: Hot = (),
+    apart: bool = False,
 ) -> DataFrame:
     """Facts (``_kind`` 1) and version starts (``_kind`` 0) of each key, in places (_key, _place).
 
@@ -103,6 +106,10 @@ def timeline(
     Versions that are never valid are left out, as are facts without a key in an inner join.
     A shared key column is ``_key`` alone, so that two tables with equal buckets on it
     stay in their buckets and need no shuffle.
+
+    ``apart`` sends facts and versions to their key one by one, in an inner join on a shared column
+    without hot keys. Versions that a window over the key has just made then stay where they are,
+    and so does what is grouped by the key after the join. It is not for tables in buckets.
     """
     left_key, right_key = (on, on) if isinstance(on, str) else on
     names = [c for c in dim.columns if c not in (right_key, "valid_from", "valid_to")]
@@ -120,8 +127,13 @@ def timeline(
         facts, versions = (df.withColumn("_at", F.col("_at").cast(T.TimestampType())) for df in (facts, versions))
     if how == "inner":
         facts = facts.filter("_key IS NOT NULL")
-    facts = _placed_facts(facts, hot)
     versions = versions.filter("_key IS NOT NULL")
+    if apart and how == "inner" and isinstance(on, str) and not hot:
+        # Spark leaves out the second of two equal shuffles
+        sent = (df.withColumn("_place", F.lit(0)).repartition("_key") for df in (facts, versions))
+        facts, versions = sent
+        return facts.unionByName(versions, allowMissingColumns=True)
+    facts = _placed_facts(facts, hot)
     versions = _placed_versions(versions, F.col("_at"), F.col("_version._to"), hot)
     line = facts.unionByName(versions, allowMissingColumns=True)
     # buckets would hold a hot key together

@@ -12,6 +12,8 @@ from tidemark.operators.pointintime import Hot, pit_join
 from tidemark.operators.windows import pct_change
 
 PERIOD = "month_date"
+LISTING_KEYS = ("listing_neighbourhood",)
+TYPE_KEYS = ("property_type", "room_type", "accommodates")
 
 
 def visits(
@@ -20,6 +22,7 @@ def visits(
     dim_host: DataFrame,
     keys: Sequence[str],
     hot_hosts: Hot = (),
+    apart: bool = False,
 ) -> DataFrame:
     """Fact rows with the property and host version valid in their month."""
     wanted = fact.select(
@@ -34,8 +37,22 @@ def visits(
     )
     properties = dim_property.select("listing_id", "valid_from", "valid_to", *keys)
     hosts = dim_host.select("host_id", "valid_from", "valid_to", "host_is_superhost")
-    placed = pit_join(wanted, properties, "listing_id").drop("listing_id")
-    return pit_join(placed, hosts, "host_id", hot=hot_hosts)
+    placed = pit_join(wanted, properties, "listing_id", apart=apart).drop("listing_id")
+    return pit_join(placed, hosts, "host_id", hot=hot_hosts, apart=apart)
+
+
+def shared_visits(
+    fact: DataFrame,
+    dim_property: DataFrame,
+    dim_host: DataFrame,
+    hot_hosts: Hot = (),
+    apart: bool = False,
+) -> DataFrame:
+    """:func:`visits` for the marts of listings and of types, which a query then joins once."""
+    keys = [*LISTING_KEYS, *TYPE_KEYS]
+    rows = visits(fact, dim_property, dim_host, keys, hot_hosts, apart)
+    # always true: every mart reads all keys, so that all have the same exchange below them
+    return rows.filter(F.hash(*keys) <= 2**31 - 1)
 
 
 def monthly_kpis(
@@ -45,6 +62,8 @@ def monthly_kpis(
     keys: Sequence[str],
     hot_hosts: Hot = (),
     medians: bool = True,
+    apart: bool = False,
+    rows: DataFrame | None = None,
 ) -> DataFrame:
     """Measures per group and month, with the change against the month before.
 
@@ -52,14 +71,20 @@ def monthly_kpis(
     host counts and the medians need, so the joins run once. Hosts are counted by
     aggregating per host, without a row expansion for the two distinct counts; medians come
     from value counts. ``medians=False`` leaves that column out, and its work.
+
+    ``apart`` is that of :func:`~tidemark.operators.pointintime.timeline`, for versions that a window
+    makes on the way; ``rows`` are the :func:`shared_visits` of several marts, made with the
+    same ``hot_hosts`` and ``apart``.
     """
     keys = list(keys)
-    rows = visits(fact, dim_property, dim_host, keys, hot_hosts)
+    if rows is None:
+        rows = visits(fact, dim_property, dim_host, keys, hot_hosts, apart)
     active = F.col("has_availability")
     at = [*keys, PERIOD]
-    if not hot_hosts:
+    if not hot_hosts and (medians or not apart):
         # rows of a host and price are few, so nothing is summed before the shuffle, and both sums
-        # below share this one; a hot host is spread over its prices first
+        # below share this one; a hot host is spread over its prices first. Rows joined apart are
+        # with their host, and only a median would have them joined again
         rows = rows.repartition(*at, "host_id")
     narrow = rows.groupBy(*at, "host_id", F.when(active, F.col("price")).alias("price")).agg(
         F.count("*").alias("total"),
@@ -142,9 +167,12 @@ def dm_listing_neighbourhood(
     dim_host: DataFrame,
     hot_hosts: Hot = (),
     medians: bool = True,
+    apart: bool = False,
+    rows: DataFrame | None = None,
 ) -> DataFrame:
-    keys = ["listing_neighbourhood"]
-    return monthly_kpis(fact, dim_property, dim_host, keys, hot_hosts, medians)
+    return monthly_kpis(
+        fact, dim_property, dim_host, LISTING_KEYS, hot_hosts, medians, apart, rows
+    )
 
 
 def dm_property_type(
@@ -153,9 +181,10 @@ def dm_property_type(
     dim_host: DataFrame,
     hot_hosts: Hot = (),
     medians: bool = True,
+    apart: bool = False,
+    rows: DataFrame | None = None,
 ) -> DataFrame:
-    keys = ["property_type", "room_type", "accommodates"]
-    return monthly_kpis(fact, dim_property, dim_host, keys, hot_hosts, medians)
+    return monthly_kpis(fact, dim_property, dim_host, TYPE_KEYS, hot_hosts, medians, apart, rows)
 
 
 def dm_host_neighbourhood(
@@ -165,15 +194,17 @@ def dm_host_neighbourhood(
     hot_hosts: Hot = (),
     unknown: str = "Unknown",
     hot_suburbs: Hot = (),
+    apart: bool = False,
 ) -> DataFrame:
     """Revenue by the area the host lives in; hosts without one form their own group.
 
     The fact is first summed per host, month and suburb, so the second hop joins
-    aggregates instead of rows. ``hot_suburbs`` lists upper-case names to spread.
+    aggregates instead of rows. ``hot_suburbs`` lists upper-case names to spread. ``apart`` as
+    in :func:`monthly_kpis`.
     """
     wanted = fact.select("host_id", PERIOD, "has_availability", "estimated_revenue")
     homes = dim_host.select("host_id", "valid_from", "valid_to", "host_neighbourhood")
-    lived = pit_join(wanted, homes, "host_id", hot=hot_hosts)
+    lived = pit_join(wanted, homes, "host_id", hot=hot_hosts, apart=apart)
     earned = F.when(F.col("has_availability"), F.col("estimated_revenue"))
     sums = lived.groupBy("host_neighbourhood", PERIOD, "host_id").agg(
         F.sum(earned).alias("revenue"), F.count(earned).alias("revenue_n")

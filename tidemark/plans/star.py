@@ -267,7 +267,8 @@ class StarOnDemand:
 
     @cached_property
     def hot_suburbs(self) -> tuple:
-        return tuple(heavy_keys(self.frame("dim_host"), F.upper("host_neighbourhood")))
+        # hosts have a version for each month of their listings; no table is made for the names
+        return tuple(heavy_keys(self.listings, F.upper("host_neighbourhood")))
 
 
 class _Changed:
