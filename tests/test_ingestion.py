@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import gzip
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.history import HistoryTable
 from tidemark.plans import marts, silver
+from tidemark.session import freed_shuffles
 from tidemark.sources import load
 from tidemark.sources.paths import read_if_present
 from tidemark.sources.raw import has_split_cells, overlong_lines, read_raw_csv
@@ -195,6 +198,94 @@ def test_one_row_per_listing_and_month(spark, tmp_path):
     assert odd.host_since == dt.date(2014, 7, 3)
 
 
+@pytest.mark.parametrize("hot", [[], [1]])
+def test_listings_of_a_month_lie_in_a_few_parts(spark, tmp_path, hot):
+    """The same rows after one shuffle, which has the months of the table to be written."""
+    for name in ("07_2020.csv", "08_2020.csv"):
+        rows = [
+            listing(listing_id="" if i == 29 else i % 9, scraped_date=f"2020-07-{i % 5 + 1:02}", price=i)
+            for i in range(30)
+        ]
+        write_month(tmp_path, name, rows)
+    raw = read_raw_csv(spark, str(tmp_path), LISTINGS, multi_line=False)
+    raw = raw.withColumn("loaded_at", F.lit(dt.datetime(2020, 9, 1)))
+    want = sorted(map(str, silver.clean_listings(raw).collect()))
+    dealt = silver.clean_listings(raw, hot=hot, parts=2)
+    assert sorted(map(str, dealt.collect())) == want and len(want) == 20
+    placed = dealt.select("month_date", F.spark_partition_id().alias("task"))
+    tasks = placed.groupBy("month_date").agg(F.count_distinct("task").alias("n"))
+    assert all(r.n <= 2 for r in tasks.collect())
+    plan = dealt.repartition(1)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [month_date" in plan
+
+
+def test_rows_that_are_together_are_loaded_without_a_shuffle(spark, tmp_path):
+    for k, name in enumerate(("07_2020.csv", "08_2020.csv")):
+        write_month(tmp_path, name, [listing(listing_id=i + k) for i in range(5)])
+    raw = read_raw_csv(spark, str(tmp_path), LISTINGS, multi_line=False)
+    for gathered in (False, True):
+        load.load_files(raw, str(tmp_path / f"t{gathered}"), gathered)
+    stored = [load.read_table(spark, str(tmp_path / f"t{g}")).drop("loaded_at") for g in (False, True)]
+    assert sorted(map(str, stored[0].collect())) == sorted(map(str, stored[1].collect()))
+
+
+def test_packed_files_have_their_own_names(spark, tmp_path):
+    """Monthly and reference files packed by gzip, alone or as parts of a folder."""
+    source = tmp_path / "in"
+    (source / "file=12_2020.csv").mkdir(parents=True)
+    for name, rows in list(MONTHS.items()):
+        write_month(tmp_path, name, rows)
+        at = "file=12_2020.csv/part-0.csv.gz" if name == "12_2020.csv" else f"{name}.gz"
+        (source / at).write_bytes(gzip.compress((tmp_path / name).read_bytes()))
+    codes = gzip.compress(b"lga_code,lga_name\n11,Sydney\n")
+    (source / "lga_code_1.csv.gz").write_bytes(codes)
+    warehouse = IncrementalWarehouse(
+        spark, str(tmp_path / "out"), clock=lambda: dt.datetime(2020, 5, 20), wanted_marts=()
+    )
+    run_incremental(warehouse, str(source))
+    assert facts(warehouse) == EXPECTED
+    assert versions(warehouse) == HOST_VERSIONS
+    assert sorted(r[0] for r in warehouse.finished().collect()) == sorted(MONTHS)
+    assert [r[0] for r in load.loaded_files(spark, f"{tmp_path}/out/bronze/raw_lga_code").collect()] == [
+        "lga_code_1.csv"
+    ]
+
+
+def test_shuffle_files_go_with_their_statement(spark, tmp_path):
+    def shuffles():
+        manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager()
+        files = manager.diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size())}
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    kept, before = spark.conf.get(setting), shuffles()
+    with freed_shuffles(spark):
+        rows = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+        rows.write.parquet(str(tmp_path / "t"))
+    for _ in range(50):
+        if not (left := {f for f in shuffles() - before if f.startswith("shuffle_")}):
+            break
+        time.sleep(0.1)
+    assert not left and spark.read.parquet(str(tmp_path / "t")).count() == 7
+    with pytest.raises(ZeroDivisionError), freed_shuffles(spark):
+        assert spark.conf.get(setting) == "true"
+        1 / 0
+    assert spark.conf.get(setting) == kept
+
+
+def test_months_are_brought_together_on_short_rows(spark):
+    """The same texts as without; the shuffle has the line items and two names."""
+    from tidemark.catalogue import tables as t
+
+    sf_dir = "/root/testdata/sf0.001"
+    plain, gathered = t.raw_listings(spark, sf_dir), t.raw_listings(spark, sf_dir, gathered=True)
+    assert gathered.columns == plain.columns
+    assert gathered.exceptAll(plain).isEmpty() and plain.count() == gathered.count()
+    plan = gathered._jdf.queryExecution().optimizedPlan().toString()
+    below = plan.split("RebalancePartitions", 1)[1]
+    assert "scrape_id" not in below and "host_name" not in below
+
+
 def test_suburb_in_two_areas_takes_the_first(spark):
     raw = spark.createDataFrame(
         [("SYDNEY", "BLACK-TOWN "), ("BAYSIDE", "BLACK-TOWN"), ("NOWHERE", "O'CONNELL"), ("X", None)],

@@ -342,6 +342,49 @@ def test_snapshots_with_known_hot_keys_share_one_shuffle(spark, hot, tmp_path):
     assert ids.count() == found.count()
 
 
+@pytest.mark.parametrize("seed", [3, 6])
+def test_a_cut_writes_open_versions_only(spark, seed, tmp_path):
+    """As if the months since then had never come, over several cuts and the steps between them."""
+    rows = random_observations(seed)
+    df = spark.createDataFrame(rows, SCHEMA)
+    months = sorted({r[1] for r in rows})
+    order = [F.col("o").desc()]
+    table = h.HistoryTable(spark, str(tmp_path / "t"), "k", "m")
+    table.apply_all(df.filter(F.col("m") <= F.lit(months[5])), order)
+    table.apply_all(df.filter(F.col("m") > F.lit(months[5])), order)
+    upto = lambda n: [r for r in rows if r[1] < months[n]]
+    for n in (7, 4):
+        batch = table.cut(months[n])
+        assert as_set(table.read()) == stepwise(upto(n))
+        states = {p.parent.name for p in (tmp_path / f"t/versions/batch={batch}").rglob("*.parquet")}
+        assert states == {"state=open"}
+        assert {r.valid_to for r in table.open_versions().collect()} == {None}
+        table.vacuum()
+        assert as_set(table.read()) == stepwise(upto(n))
+        # a month comes again, then all
+        table.apply_all(df.filter(F.col("m") == F.lit(months[n])), order)
+        assert as_set(table.read()) == stepwise(upto(n + 1))
+    table.apply_all(df.filter(F.col("m") > F.lit(months[4])), order)
+    assert as_set(table.read()) == stepwise(rows)
+
+
+def test_version_ids_are_made_by_readers(spark, tmp_path):
+    """An id that follows from key and start is not stored, any other one is."""
+    rows = [(1, dt.date(2020, 1, 1), "x", 1), (2, dt.date(2020, 1, 1), "y", 1)]
+    table = h.HistoryTable(spark, str(tmp_path / "t"), "k", "m")
+    history = h.build_history(spark.createDataFrame(rows, SCHEMA), "k", "m")
+    own = F.when(F.col("k") == 2, "own").otherwise(F.col("version_id"))
+    table.replace(history.withColumn("version_id", own))
+    want = {r.k: r.version_id for r in history.collect()} | {2: "own"}
+    assert {r.k: r.version_id for r in table.read().collect()} == want
+    files = [str(p) for p in (tmp_path / "t/versions").rglob("*.parquet")]
+    assert all(".zstd." in f for f in files)
+    stored = spark.read.parquet(str(tmp_path / "t/versions")).collect()
+    assert {r.k: r.version_id for r in stored} == {1: None, 2: "own"}
+    table.apply_all(spark.createDataFrame([(k, dt.date(2020, 2, 1), "z", 1) for k in (1, 2)], SCHEMA))
+    assert {r.k: r.version_id for r in table.read().filter("a <> 'z'").collect()} == want
+
+
 def test_snapshot_step_rules(spark):
     day = lambda d: dt.date(2020, 1, d)
     first = spark.createDataFrame([(1, "x", day(5)), (2, "x", day(5))], "k INT, a STRING, u DATE")
@@ -519,6 +562,28 @@ def test_versions_are_counted_by_a_sweep(spark, plain_shuffles, hot):
     assert text.count("Window ") == 1 and "SortMergeJoin" not in text
 
 
+@pytest.mark.parametrize("hot", ["none", "slices"])
+def test_versions_are_counted_apart(spark, plain_shuffles, hot):
+    """The same counts, facts without a key included; versions of a window are not sent again."""
+    facts, versions = random_versions(9)
+    versions += [(k, -v, a, b) for k, v, a, b in versions[::3]]
+    df = spark.createDataFrame([(*f, f[0] % 500) for f in facts], "i INT, k INT, at DATE, r INT")
+    df = df.unionByName(df.limit(20).withColumn("k", F.lit(None).cast("int")))
+    dim = spark.createDataFrame(versions, "k INT, v INT, valid_from DATE, valid_to DATE")
+    dim = windows.version_number(dim, "k", "valid_from")
+    other = windows.version_number(dim.withColumnRenamed("k", "i"), "i", "valid_from")
+    slices = {"a": pointintime.date_slices(df, "k", "at")} if hot == "slices" else {}
+    dims = {"a": (dim, "k"), "b": (other, "i")}
+    want, got = (
+        pointintime.count_versions(df, dims, ["r"], "at", slices, apart) for apart in (False, True)
+    )
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    if hot == "none":
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        # of each dimension the versions and the facts, then the sums
+        assert plan.count("Exchange hash") - plan.count("ReusedExchange") <= 5
+
+
 def test_declared_tests_read_each_table_once(spark, plain_shuffles):
     from tidemark.operators import quality
 
